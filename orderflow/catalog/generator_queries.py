@@ -16,10 +16,10 @@ from orderflow.catalog.registry import (
     persons,
     query,
     restaurants,
-    sql_below,
     sql_by_hash,
     sql_digest,
     sql_distinct,
+    sql_draw,
     sql_pick,
     sql_repeated,
     sql_uuid4,
@@ -50,13 +50,16 @@ _O = "(SELECT o_orderkey AS i FROM orders)"
 
 
 def _email(row_id: str) -> str:
-    d = sql_digest("email", row_id, 16)
-    chars = sql_repeated(d, draws.ACCOUNT_CHARS, draws.EMAIL_MAX)
-    size = f"({sql_below(d, 12, draws.EMAIL_MAX - draws.EMAIL_MIN + 1)} + {draws.EMAIL_MIN})::INT"
     domains, exts = ("[" + ", ".join(f"'{x}'" for x in xs) + "]" for xs in (draws.EMAIL_DOMAINS, draws.EMAIL_EXTENSIONS))
-    domain = f"list_extract({domains}, ({sql_below(d, 13, len(draws.EMAIL_DOMAINS))})::INT + 1)"
-    ext = f"list_extract({exts}, ({sql_below(d, 14, len(draws.EMAIL_EXTENSIONS))})::INT + 1)"
-    return f"(substr({chars}, 1, {size}) || '@' || {domain} || '.' || {ext})"
+    d = sql_digest("email", row_id, 1)
+    size = f"({sql_draw(d, 0, draws.EMAIL_MAX - draws.EMAIL_MIN + 1)} + {draws.EMAIL_MIN})::INT"
+    domain = sql_draw(d, draws.draws_per_number(len(draws.EMAIL_DOMAINS)), len(draws.EMAIL_DOMAINS))
+    ext = sql_draw(d, 2 * draws.draws_per_number(len(draws.EMAIL_EXTENSIONS)), len(draws.EMAIL_EXTENSIONS))
+    account = sql_repeated("account", row_id, draws.ACCOUNT_CHARS, draws.EMAIL_MAX)
+    return (
+        f"(substr({account}, 1, {size}) || '@' || list_extract({domains}, ({domain})::INT + 1) "
+        f"|| '.' || list_extract({exts}, ({ext})::INT + 1))"
+    )
 
 
 def _password(row_id: str) -> str:
@@ -75,7 +78,7 @@ def _phone_bracketed(row_id: str = "i") -> str:
 
 
 def _phone_dashed(row_id: str = "i") -> str:
-    s = sql_repeated(sql_digest("phone", row_id, 10), draws.DIGITS[1:], 10)
+    s = sql_repeated("phone", row_id, draws.DIGITS[1:], 10)
     return f"(SELECT substr(s, 1, 3) || '-' || substr(s, 4, 3) || '-' || substr(s, 7, 4) FROM (SELECT {s} AS s))"
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.functions import draws
 from orderflow.session import fresh_path
 from orderflow.sources.tables import table
 
@@ -203,28 +204,38 @@ def sql_pick(purpose: str, row_id: str, seed: int = SEED) -> str:
     return f"('0x' || substr(md5('{seed}:{purpose}:' || {row_id}), 1, 8))::BIGINT"
 
 
-def sql_digest(purpose: str, row_id: str, n_slices: int, seed: int = SEED) -> str:
-    blocks = -(-n_slices // 16)
+def sql_digest(purpose: str, row_id: str, blocks: int, seed: int = SEED) -> str:
     return "(" + " || ".join(f"sha256('{seed}:{purpose}/{b}:' || {row_id})" for b in range(blocks)) + ")"
 
 
-def sql_below(digest: str, i: int, n: int) -> str:
-    return f"(('0x' || substr({digest}, {4 * i + 1}, 4))::BIGINT % {n})"
+def sql_draw(digest: str, j: int, n: int) -> str:
+    per = draws.draws_per_number(n)
+    block, which = divmod(j // per, 4)
+    return f"(('0x' || substr({digest}, {64 * block + 15 * which + 1}, 15))::BIGINT // {n ** (j % per)} % {n})"
 
 
 def sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _sql_chars(purpose: str, row_id: str, alphabet: str, count: int) -> list[str]:
+    n = len(alphabet)
+    d = sql_digest(purpose, row_id, -(-count // (4 * draws.draws_per_number(n))))
+    return [f"substr({sql_text(alphabet)}, ({sql_draw(d, j, n)} + 1)::INT, 1)" for j in range(count)]
+
+
 def sql_distinct(purpose: str, row_id: str, alphabet: str, size: int) -> str:
     n = len(alphabet)
-    d = sql_digest(purpose, row_id, n)
+    if draws.sparse(alphabet, size):
+        drawn = "[" + ", ".join(_sql_chars(purpose, row_id, alphabet, draws.sparse_draws(size)) + [sql_text(ch) for ch in alphabet]) + "]"
+        return f"(SELECT array_to_string(list_slice(list_filter(l, lambda x, i: list_position(l, x) = i), 1, {size}), '') FROM (SELECT {drawn} AS l))"
+    d = sql_digest(purpose, row_id, -(-n // 16))
     tagged = f"list_transform(range(0, {n}), lambda k: substr({d}, (4 * k + 1)::INT, 4) || substr({sql_text(alphabet)}, (k + 1)::INT, 1))"
     return f"regexp_replace(array_to_string(list_slice(list_sort({tagged}), 1, {size}), ''), '....(.)', '\\1', 'g')"
 
 
-def sql_repeated(digest: str, alphabet: str, size: int) -> str:
-    return " || ".join(f"substr('{alphabet}', ({sql_below(digest, i, len(alphabet))} + 1)::INT, 1)" for i in range(size))
+def sql_repeated(purpose: str, row_id: str, alphabet: str, size: int) -> str:
+    return " || ".join(_sql_chars(purpose, row_id, alphabet, size))
 
 
 def sql_uuid4(purpose: str, row_id: str, seed: int = SEED) -> str:

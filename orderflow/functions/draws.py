@@ -2,13 +2,15 @@
 
 A draw is a function of (seed, purpose, row id) through a digest, so it is the same under task
 retries, speculative execution and any repartitioning, which ``rand()`` and ``uuid()`` are not.
-One SHA-256 gives sixteen 4-digit slices; strings are cut from slices instead of hashing each
-character, and everything is built from ordinary expressions, with no lambda, so that it stays in
-generated code.
+One SHA-256 feeds a whole string instead of one hash per character: 15 hex digits make a 60-bit
+number, whose digits in base n are draws below n.  Everything is built from ordinary expressions,
+with no lambda, so that it stays in generated code.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +26,9 @@ EMAIL_DOMAINS = ("gmail", "yahoo", "comcast", "verizon", "hotmail")
 EMAIL_MIN, EMAIL_MAX = 4, 12
 PASSWORD_LENGTH = 12
 
-_SLICES = 16  # four-digit slices in one SHA-256
+_TAGS = 16  # four-digit tags in one SHA-256
+_NUMBERS = 4  # 15-digit numbers in one SHA-256
+_DRAW_BITS = 52  # bits of a number used for draws; the rest keep the bias below 1/256
 
 
 def _key(seed: int, purpose: str, row_id: Column) -> Column:
@@ -45,32 +49,63 @@ def uniform(seed: int, purpose: str, row_id: Column, high: float = 1.0) -> Colum
     return pick(seed, purpose, row_id) / F.lit(4294967296.0) * F.lit(float(high))
 
 
-def _digest(seed: int, purpose: str, row_id: Column, n_slices: int) -> Column:
-    blocks = -(-n_slices // _SLICES)
+def _digest(seed: int, purpose: str, row_id: Column, blocks: int) -> Column:
     return F.concat(*[F.sha2(_key(seed, f"{purpose}/{b}", row_id), 256) for b in range(blocks)])
 
 
-def _slice(digest: Column, i: int) -> Column:
-    return F.substring(digest, 4 * i + 1, 4)
+def draws_per_number(n: int) -> int:
+    return int(_DRAW_BITS / math.log2(n))
+
+
+def _blocks(n: int, count: int) -> int:
+    """Digests needed for ``count`` draws below ``n``."""
+    return -(-count // (_NUMBERS * draws_per_number(n)))
+
+
+def _draw(digest: Column, j: int, n: int) -> Column:
+    """The ``j``-th draw below ``n``: a base-n digit of one of the digest's numbers."""
+    per = draws_per_number(n)
+    block, which = divmod(j // per, _NUMBERS)
+    number = F.conv(F.substring(digest, 64 * block + 15 * which + 1, 15), 16, 10).cast("long")
+    return (F.call_function("div", number, F.lit(n ** (j % per))) % n).cast("int")
 
 
-def _slice_below(digest: Column, i: int, n: int) -> Column:
-    return F.conv(_slice(digest, i), 16, 10).cast("int") % n
+def _char(alphabet: str, at: Column) -> Column:
+    return F.substring(F.lit(alphabet), at + 1, F.lit(1))
 
 
 def repeated_chars(seed: int, purpose: str, row_id: Column, alphabet: str, size: int) -> Column:
     """``size`` characters drawn with replacement."""
-    d = _digest(seed, purpose, row_id, size)
-    chars = [F.substring(F.lit(alphabet), _slice_below(d, i, len(alphabet)) + 1, F.lit(1)) for i in range(size)]
-    return F.concat(*chars)
+    d = _digest(seed, purpose, row_id, _blocks(len(alphabet), size))
+    return F.concat(*[_char(alphabet, _draw(d, j, len(alphabet))) for j in range(size)])
+
+
+def sparse(alphabet: str, size: int) -> bool:
+    """Whether few of the characters are wanted, so that repeated draws soon give enough."""
+    return 4 * size <= len(alphabet)
+
+
+def sparse_draws(size: int) -> int:
+    return 2 * size + 4
 
 
 def distinct_chars(seed: int, purpose: str, row_id: Column, alphabet: str, size: int) -> Column:
-    """``size`` different characters: the alphabet ordered by its slices, cut to ``size``."""
-    if size > len(alphabet):
+    """``size`` different characters of the alphabet, in random order."""
+    n = len(alphabet)
+    if size > n:
         raise ValueError("cannot draw more distinct characters than there are")
-    d = _digest(seed, purpose, row_id, len(alphabet))
-    tagged = F.array(*[F.concat(_slice(d, i), F.lit(ch)) for i, ch in enumerate(alphabet)])
+    if sparse(alphabet, size):
+        # Draw with replacement and keep first occurrences.  Should they not suffice, which is all
+        # but impossible, the alphabet itself makes up the rest.
+        count = sparse_draws(size)
+        d = _digest(seed, purpose, row_id, _blocks(n, count))
+        drawn = F.array(*[_char(alphabet, _draw(d, j, n)) for j in range(count)])
+        first = F.array_distinct(drawn)
+        whole = F.array_distinct(F.concat(drawn, F.array(*map(F.lit, alphabet))))
+        return F.array_join(F.slice(F.when(F.size(first) >= size, first).otherwise(whole), 1, size), "")
+    # The alphabet ordered by a tag per character, cut to size.
+    d = _digest(seed, purpose, row_id, -(-n // _TAGS))
+    tagged = F.array(*[F.concat(F.substring(d, 4 * i + 1, 4), F.lit(ch)) for i, ch in enumerate(alphabet)])
     chosen = F.array_join(F.slice(F.sort_array(tagged), 1, size), "")
     return F.regexp_replace(chosen, "....(.)", "$1")  # drop the four tag digits of each
 
@@ -89,16 +124,20 @@ def uuid4_hex(seed: int, purpose: str, row_id: Column) -> Column:
 
 
 def email(seed: int, row_id: Column) -> Column:
-    """account@domain.ext with an account of 4 to 12 characters; one digest per address."""
-    d = _digest(seed, "email", row_id, _SLICES)
-    n_chars = len(ACCOUNT_CHARS)
-    chars = F.concat(
-        *[F.substring(F.lit(ACCOUNT_CHARS), _slice_below(d, i, n_chars) + 1, F.lit(1)) for i in range(EMAIL_MAX)]
+    """account@domain.ext with an account of 4 to 12 characters."""
+    account = repeated_chars(seed, "account", row_id, ACCOUNT_CHARS, EMAIL_MAX)
+    d = _digest(seed, "email", row_id, 1)
+    size = _draw(d, 0, EMAIL_MAX - EMAIL_MIN + 1) + EMAIL_MIN
+    # A fresh number for each draw of another base.
+    domain = _draw(d, draws_per_number(len(EMAIL_DOMAINS)), len(EMAIL_DOMAINS))
+    ext = _draw(d, 2 * draws_per_number(len(EMAIL_EXTENSIONS)), len(EMAIL_EXTENSIONS))
+    return F.concat(
+        F.substring(account, F.lit(1), size),
+        F.lit("@"),
+        F.element_at(F.array(*map(F.lit, EMAIL_DOMAINS)), domain + 1),
+        F.lit("."),
+        F.element_at(F.array(*map(F.lit, EMAIL_EXTENSIONS)), ext + 1),
     )
-    size = _slice_below(d, 12, EMAIL_MAX - EMAIL_MIN + 1) + EMAIL_MIN
-    domain = F.element_at(F.array(*map(F.lit, EMAIL_DOMAINS)), _slice_below(d, 13, len(EMAIL_DOMAINS)) + 1)
-    ext = F.element_at(F.array(*map(F.lit, EMAIL_EXTENSIONS)), _slice_below(d, 14, len(EMAIL_EXTENSIONS)) + 1)
-    return F.concat(F.substring(chars, F.lit(1), size), F.lit("@"), domain, F.lit("."), ext)
 
 
 def phone_bracketed(seed: int, row_id: Column) -> Column:

@@ -1,8 +1,9 @@
 """Ingest jobs: read, check, append, report.
 
 Each job returns an ``Ingest`` whose rows carry a reason or none.  ``save`` appends the accepted
-rows.  Checks run before anything is written, and rows already stored are refused by their key,
-so a job that failed half way can be run again.
+rows.  The file is parsed once, into a staged table; the checks stage only the few keys that break
+a rule, so counting outcomes, listing rejects and saving each are one scan of the staged rows.
+Rows already stored are refused by their key, so a job that failed half way can be run again.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from orderflow.operators.rules import (
     outcome_counts,
 )
 from orderflow.schema import DRIVER, ORDER, RESTAURANT, TABLES, USER, Entity, Table
-from orderflow.session import stage
 from orderflow.sinks import tables as sink
 from orderflow.sources.files import CONTROL, read_entity
 
@@ -99,23 +99,23 @@ def _read(spark: SparkSession, path: str, entity: Entity, strict: bool, **option
 
 
 def ingest_users(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
-    rows = stage(check_users(_read(spark, path, USER, strict, **options), tables["user"]), "checked")
+    rows = check_users(_read(spark, path, USER, strict, **options), tables["user"])
     return Ingest(rows, {"user": sink.user_rows(_good(rows))})
 
 
 def ingest_orders(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
-    rows = stage(check_orders(_read(spark, path, ORDER, strict, **options), tables), "checked")
+    rows = check_orders(_read(spark, path, ORDER, strict, **options), tables)
     return Ingest(rows, {"order": sink.order_rows(_good(rows), tables["order"], ["_pos"])})
 
 
 def ingest_drivers(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
-    rows = stage(check_drivers(_read(spark, path, DRIVER, strict, **options), tables), "checked")
+    rows = check_drivers(_read(spark, path, DRIVER, strict, **options), tables)
     return Ingest(rows, {"driver": sink.driver_rows(_good(rows))})
 
 
 def ingest_restaurants(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
     """Addresses are made for accepted restaurants only."""
-    rows = stage(check_restaurants(_read(spark, path, RESTAURANT, strict, **options), tables), "checked")
+    rows = check_restaurants(_read(spark, path, RESTAURANT, strict, **options), tables)
     parts = sink.address_and_restaurant_rows(_good(rows), tables["address"], tables["restaurant"], ["_pos"])
     return Ingest(rows, parts)
 

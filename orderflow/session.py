@@ -11,24 +11,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_dirs: dict[str, str] = {}
 
 
+# What the jobs gain from, on a cluster as in tests.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    # re-plan at run time: coalesce small partitions, split skewed ones, broadcast what proves small
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM never compiles methods above 8000 bytes; beyond it separate expressions run faster
+    # than one fused stage, which the wide generators otherwise become
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
-    """Session for tests and benchmarks; a cluster brings its own."""
-    builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName("orderflow")
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-    )
-    for key, value in conf.items():
+    """Session for tests and benchmarks; a cluster brings its own, with ``SETTINGS``."""
+    builder = SparkSession.builder.master(f"local[{cores}]").appName("orderflow")
+    local = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+    }
+    for key, value in {**local, **SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -47,13 +57,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/orderflow/{label}-{uuid.uuid4().hex}"
+    """A path nothing has used yet, in the folder of this application, which can be deleted with it."""
+    return f"{shared_dir(spark)}/orderflow/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder once and return the frame that reads it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_watched(df: DataFrame, label: str, **watched: Column) -> tuple[DataFrame, dict[str, object]]:
+    """``stage``, with aggregates of the rows taken while they are written, at no extra pass.
+
+    Only minima and maxima belong here: a task that runs twice cannot change them.
+    """
+    seen = Observation()
+    staged = stage(df.observe(seen, *[c.alias(name) for name, c in watched.items()]), label)
+    return staged, seen.get

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from orderflow.errors import IngestError
 from orderflow.functions.casts import _CASTS, all_of, bad_field, missing_field
 from orderflow.schema import Entity
-from orderflow.session import stage
+from orderflow.session import stage, stage_watched
 from orderflow.sources import records
 from orderflow.sources.records import WHOLE_FILE_LIMIT
 
@@ -188,30 +188,39 @@ def type_rows(df: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
-def settle(staged: DataFrame, strict: bool) -> DataFrame:
-    """Apply the whole-file rules to staged rows: raise on broken or, if strict, incomplete input;
-    if strict, give every row of a file with a wrong field count that reason."""
-    raising = ["malformed"] + (["missing_field", "bad_value"] if strict else [])
-    worst = [
-        F.min(F.when(F.col("reject_reason") == r, F.coalesce("reject_detail", "_file"))).alias(r) for r in raising
-    ]
-    split = F.max("_mark").alias("marked")
-    found = staged.agg(*worst, split, F.max(F.col("reject_reason") == "field_count").alias("uneven")).first()
-    if found["marked"] is not None:
+_RAISING = ("malformed", "missing_field", "bad_value")
+
+
+def settle(typed: DataFrame, strict: bool, label: str = "read") -> DataFrame:
+    """Stage typed rows and apply the whole-file rules to them: raise on broken or, if strict,
+    incomplete input; if strict, give every row of a file with a wrong field count that reason.
+
+    What the rules need to know is gathered while the rows are written.
+    """
+    reason = F.col("reject_reason")
+    found_at = F.coalesce("reject_detail", "_file")
+    staged, found = stage_watched(
+        typed,
+        label,
+        **{r: F.min(F.when(reason == r, found_at)) for r in _RAISING},
+        split=F.max("_mark"),
+        uneven=F.max(reason == "field_count"),
+    )
+    if found["split"] is not None:
         broken = records.broken_files(staged).limit(1).collect()
         if broken:
             raise IngestError("malformed", broken[0]["_file"])
-    for reason in raising:
-        if found[reason] is not None:
-            raise IngestError(reason, found[reason])
+    for r in _RAISING if strict else _RAISING[:1]:
+        if found[r] is not None:
+            raise IngestError(r, found[r])
     rows = staged.filter(records.is_record()).drop("_mark")
     if not (strict and found["uneven"]):
         return rows
     # Staged, the set of bad files has a known size, from which the join strategy is chosen.
-    bad = stage(rows.filter(F.col("reject_reason") == "field_count").select("_file").distinct(), "bad-files")
+    bad = stage(rows.filter(reason == "field_count").select("_file").distinct(), "bad-files")
     marked = rows.join(bad.withColumn("_refused", F.lit(True)), "_file", "left")
-    reason = F.when(F.col("_refused"), F.lit("field_count")).otherwise(F.col("reject_reason"))
-    return marked.withColumn("reject_reason", reason).select(*rows.columns)
+    refused = F.when(F.col("_refused"), F.lit("field_count")).otherwise(reason)
+    return marked.withColumn("reject_reason", refused).select(*rows.columns)
 
 
 def raw_rows(
@@ -237,7 +246,7 @@ def read_entity(
     The text is parsed once; everything later reads the staged Parquet copy.
     """
     typed = type_rows(raw_rows(spark, path, entity, strict, format, tag, limit), entity)
-    rows = settle(stage(typed, f"read-{entity.name}"), strict)
+    rows = settle(typed, strict, f"read-{entity.name}")
     return entity.derive(rows) if entity.derive else rows
 
 
