@@ -139,7 +139,7 @@ def json_rows(spark: SparkSession, path: str, columns: list[str], limit: int = W
 
 
 def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    options = {"columnNameOfCorruptRecord": _BAD, "rowTag": tag}
+    options = {"columnNameOfCorruptRecord": _BAD, "rowTag": tag, "ignoreSurroundingSpaces": "false"}
     if records.needs_splitting(spark, path, limit):
         rows = records.xml_records(spark, path, tag)
         return _unpacked(rows.withColumn("_rec", F.from_xml("_raw", _text_struct(columns), options)), columns)
@@ -147,7 +147,7 @@ def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], limit
     docs = records.text_rows(spark, path, whole=True).filter(records.not_blank())
     row = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     schema = T.StructType([T.StructField(tag, T.ArrayType(row)), T.StructField(_BAD, T.StringType())])
-    doc = F.from_xml("_raw", schema, {"columnNameOfCorruptRecord": _BAD})
+    doc = F.from_xml("_raw", schema, options)
     broken = F.col("_doc").isNull() | F.col(f"_doc.{_BAD}").isNotNull()
     return (
         docs.withColumn("_doc", doc)

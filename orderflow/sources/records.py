@@ -50,10 +50,11 @@ def needs_splitting(spark: SparkSession, path: str, limit: int) -> bool:
 
 
 def json_records(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """Records of JSON arrays, or of JSON Lines."""
-    head = [r[0] for r in spark.read.option("lineSep", "{").text(path).limit(2).collect()]
-    opening = head[0].strip() if head else ""
-    if opening == "" and len(head) == 2:
+    """Records of JSON arrays, or of JSON Lines.  A blank file holds none: Spark writes one for an
+    empty table."""
+    pieces = spark.read.text(path, lineSep="{").filter(not_blank("value"))
+    head = [r[0] for r in pieces.limit(2).collect()]
+    if not head or not head[0].lstrip().startswith("["):
         return text_rows(spark, path).filter(not_blank())
     if not needs_splitting(spark, path, limit):
         return _json_whole(spark, path)
@@ -67,7 +68,7 @@ def json_records(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT)
 
 
 def _json_whole(spark: SparkSession, path: str) -> DataFrame:
-    docs = text_rows(spark, path, whole=True)
+    docs = text_rows(spark, path, whole=True).filter(not_blank())
     # Parsed as an array of text, each element keeps its own JSON; a broken document gives NULL.
     parsed = docs.withColumn("_items", F.from_json("_raw", "array<string>"))
     broken = F.col("_items").isNull()
