@@ -3,8 +3,7 @@
 The rows of a batch are not shuffled to be checked.  For each rule the *distinct* key values of
 the batch are compared with the stored keys (partial aggregation shrinks a key that fills a third
 of the rows to one row per task), and only the violating keys are staged.  They are normally few;
-as a staged table their size is known, so the optimizer broadcasts them when they fit under its
-threshold and otherwise joins by shuffle, where AQE splits a hot key.
+as a staged table their size is known: few are broadcast, many are joined with hot keys set apart.
 """
 
 from __future__ import annotations
@@ -16,12 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.casts import all_of, first_failing
+from orderflow.operators.skew import LOOKUP_ROWS, left_join_unique
 from orderflow.schema import Table
 from orderflow.session import stage
 
-# Violating groups up to this many are looked up by key; beyond it, rows are matched to winners.
-LOOKUP_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -67,7 +64,7 @@ def violating_keys(batch: DataFrame, rule: Rule) -> DataFrame:
     return asked.join(stored, names, how).select(_text_key([F.col(n) for n in names]).alias("key"))
 
 
-def check_rules(batch: DataFrame, rules: list[Rule]) -> DataFrame:
+def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
     """``reject_reason`` = the first rule a row breaks, in the given order; earlier reasons stay.
 
     The stored keys need not be distinct: semi and anti joins never multiply rows.
@@ -85,7 +82,7 @@ def check_rules(batch: DataFrame, rules: list[Rule]) -> DataFrame:
         if hit.get(i):
             keys = violations.filter(F.col("rule") == i).select(F.col("key").alias(f"_key{i}"), F.lit(True).alias(f"_hit{i}"))
             own = _text_key([rule.batch_key(j) for j in range(len(rule.columns))])
-            out = out.join(keys, own == F.col(f"_key{i}"), "left").drop(f"_key{i}")
+            out = left_join_unique(out, keys, own, f"_key{i}", hit[i], lookup_rows)
             broken = F.coalesce(F.col(f"_hit{i}"), F.lit(False))
         if rule.null_fails:
             broken = broken | reduce(lambda a, b: a | b, [F.col(c).isNull() for c in rule.columns])
@@ -126,7 +123,7 @@ def mark_duplicates(
     if n_repeated == 0:
         return batch
     if n_repeated <= lookup_rows:
-        marked = batch.join(repeated, key, "left")
+        marked = batch.join(F.broadcast(repeated), key, "left")
         later = F.col("_first").isNotNull() & (place != F.col("_first"))
     else:
         winners = groups.select(*key, F.col("_first"), F.lit(True).alias("_won"))
@@ -160,14 +157,17 @@ def outcome_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(outcome).agg(F.count(F.lit(1)).alias("n"))
 
 
-def mark_conflicts(batch: DataFrame, uniques: dict[str, str], position: str) -> DataFrame:
+def mark_conflicts(
+    batch: DataFrame, uniques: dict[str, str], position: str, lookup_rows: int = LOOKUP_ROWS
+) -> DataFrame:
     """Several unique columns at once, as inserting row by row would decide.
 
     ``uniques`` maps a column to the reason given when an *inserted* earlier row has its value.  A
     row loses only to a row that itself got in, so the columns cannot be handled one after the
     other.  Rows are decided in rounds: whoever is first in all of its groups gets in, whoever
     shares a value with such a row is out, the rest go on.  Only rows in repeated groups take
-    part, as keys and positions, and each round decides the earliest row of every conflict.
+    part, as keys and positions, and each round decides the earliest row of every conflict; the
+    number of rounds is that of the longest chain of conflicts, mostly one or two.
     """
     if "reject_reason" not in batch.columns:
         batch = batch.withColumn("reject_reason", F.lit(None).cast("string"))
@@ -187,9 +187,10 @@ def mark_conflicts(batch: DataFrame, uniques: dict[str, str], position: str) ->
             first = named.unionByName(first.filter(F.col(k).isNull()))
         winners = stage(first, "winners")
         rest = open_rows.join(winners.select("_at"), "_at", "left_anti")
+        n_winners = winners.count()
         for c, k in keys.items():
             taken = winners.select(F.col(k).alias("_taken"), F.lit(uniques[c]).alias(f"_why{k}")).dropna()
-            rest = rest.join(taken, F.col(k) == F.col("_taken"), "left").drop("_taken")
+            rest = left_join_unique(rest, taken, F.col(k), "_taken", n_winners, lookup_rows)
         why = F.coalesce(*[F.col(f"_why{k}") for k in keys.values()])
         rest = stage(rest.select("_at", *keys.values(), why.alias("_why")), "conflicts")
         losers.append(rest.filter(F.col("_why").isNotNull()).select("_at", "_why"))

@@ -24,12 +24,12 @@ def insert_one_by_one(rows, existing_ids, existing_mails):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_two_unique_columns_decide_like_row_by_row_inserts(spark, seed):
+@pytest.mark.parametrize(("seed", "lookup_rows"), [(1, 100_000), (2, 100_000), (3, 0)])
+def test_two_unique_columns_decide_like_row_by_row_inserts(spark, seed, lookup_rows):
     rnd = random.Random(seed)
     rows = [(i, f"k{rnd.randrange(25)}", rnd.choice([None, f"m{rnd.randrange(20)}"])) for i in range(80)]
     df = spark.createDataFrame(rows, "pos long, id string, mail string").repartition(3)
-    got = rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos")
+    got = rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos", lookup_rows)
     accepted = {r["pos"] for r in got.filter("reject_reason IS NULL").collect()}
     want = insert_one_by_one(rows, [], [])
     assert accepted == {p for p, why in want.items() if why is None}
@@ -100,6 +100,19 @@ def test_orders_get_the_first_failing_reason(spark):
     assert got.count() == len(rows)
 
 
+@pytest.mark.parametrize("lookup_rows", [100_000, 0])
+def test_hot_and_absent_keys_in_a_large_lookup(spark, lookup_rows):
+    """A third of the rows share a broken key, a third a sound one, others have none."""
+    rows = [(i, -1 if i % 3 == 0 else 7 if i % 3 == 1 else None if i % 2 else i) for i in range(3000)]
+    batch = spark.createDataFrame(rows, "pos long, ref long")
+    parents = spark.range(1500)
+    got = rules.check_rules(batch, [rules.must_exist("orphan", "ref", parents, "id", null_fails=False)], lookup_rows)
+    want = {p: None if k is None or 0 <= k < 1500 else "orphan" for p, k in rows}
+    collected = got.collect()
+    assert len(collected) == len(rows)
+    assert {r["pos"]: r["reject_reason"] for r in collected} == want
+
+
 def test_null_reference_passes_only_where_it_may(spark):
     parents = spark.createDataFrame([(1,)], "id long")
     df = spark.createDataFrame([(1,), (2,), (None,)], "ref long")
