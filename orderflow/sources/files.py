@@ -149,9 +149,10 @@ def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], limit
     schema = T.StructType([T.StructField(tag, T.ArrayType(row)), T.StructField(_BAD, T.StringType())])
     doc = F.from_xml("_raw", schema, options)
     broken = F.col("_doc").isNull() | F.col(f"_doc.{_BAD}").isNotNull()
+    # The flag is a column of its own before the explode, so that no row carries its document along.
+    parsed = docs.withColumn("_doc", doc).select("_mark", "_file", F.col(f"_doc.{tag}").alias("_recs"), broken.alias("_broken"))
     return (
-        docs.withColumn("_doc", doc)
-        .select(F.explode_outer(f"_doc.{tag}").alias("_rec"), "_mark", "_file", broken.alias("_broken"))
+        parsed.select(F.explode_outer("_recs").alias("_rec"), "_mark", "_file", "_broken")
         .filter(F.col("_broken") | F.col("_rec").isNotNull())
         .select(
             *[F.col(f"_rec.{c}").alias(c) for c in columns],

@@ -70,10 +70,11 @@ def json_records(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT)
 def _json_whole(spark: SparkSession, path: str) -> DataFrame:
     docs = text_rows(spark, path, whole=True).filter(not_blank())
     # Parsed as an array of text, each element keeps its own JSON; a broken document gives NULL.
-    parsed = docs.withColumn("_items", F.from_json("_raw", "array<string>"))
-    broken = F.col("_items").isNull()
+    # The flag is a column of its own before the explode, so that no row carries its document along.
+    parsed = docs.select("_mark", "_file", F.from_json("_raw", "array<string>").alias("_items"))
+    flagged = parsed.withColumn("_broken", F.col("_items").isNull())
     return (
-        parsed.select(F.explode_outer("_items").alias("_item"), "_mark", "_file", broken.alias("_broken"))
+        flagged.select(F.explode_outer("_items").alias("_item"), "_mark", "_file", "_broken")
         .filter(F.col("_broken") | F.col("_item").isNotNull())
         .select(
             F.when(F.col("_broken"), F.lit("broken document")).otherwise(F.col("_item")).alias("_raw"),

@@ -224,3 +224,13 @@ def test_unsupported_extension(spark, name):
 def test_text_lines(spark, tmp_path):
     path = put(tmp_path, "names.txt", "Ann\nBob\n")
     assert sorted(r["name"] for r in text_lines(spark, path).collect()) == ["Ann", "Bob"]
+
+
+@pytest.mark.parametrize(("name", "text", "whole"), [("i.xml", "<items><item><id>1</id><name>a</name></item></items>", "_doc"), ("i.json", '[{"id":1,"name":"a"}]', "_raw")])
+def test_exploded_rows_do_not_carry_their_document(spark, tmp_path, name, text, whole):
+    from orderflow.sources.files import raw_rows, type_rows
+
+    df = type_rows(raw_rows(spark, put(tmp_path, name, text), ITEM), ITEM)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    above, generate = plan.split("Generate explode(")[0], plan.split("Generate explode(")[1].split("\n")[0]
+    assert whole + "#" not in above.split("\n")[-2] and "), [" in generate  # the array itself is dropped
