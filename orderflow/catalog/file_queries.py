@@ -433,7 +433,7 @@ def ingest_orders(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_drivers(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_file(spark, "drivers.json")
     driver_records(spark, sf).write.json(path)
-    nobody = drivers(spark, sf).limit(0)
+    nobody = drivers(spark, sf).filter(F.lit(False))
     tables = {"driver": nobody, "address": addresses(spark, sf), "user": customers(spark, sf)}
     return ingest.ingest_drivers(spark, path, tables).outcome
 

@@ -133,10 +133,17 @@ def mark_duplicates(
     return marked.withColumn("reject_reason", mark).select(*batch.columns)
 
 
-def first_wins(batch: DataFrame, key: list[str], position: list[str], lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
-    """The winning row of each key."""
-    marked = mark_duplicates(batch.drop("reject_reason"), key, position, lookup_rows=lookup_rows)
-    return marked.filter(F.col("reject_reason").isNull()).select(*[c for c in batch.columns if c != "reject_reason"])
+def first_wins(batch: DataFrame, key: list[str], position: list[str]) -> DataFrame:
+    """The winning row of each key, in one aggregation: the least row by position.
+
+    Each task keeps one row per key before the shuffle, so a large group of copies costs nothing.
+    Rows that tie in everything are the same row; a NULL key equals no other.
+    """
+    held = [c for c in dict.fromkeys([*position, *batch.columns]) if c not in key]
+    least = F.min(F.struct(*held)).alias("_least")
+    won = batch.dropna(subset=key).groupBy(*key).agg(least).select(*key, "_least.*")
+    unkeyed = batch.filter(~all_of(F.col(k).isNotNull() for k in key))
+    return won.select(*batch.columns).unionByName(unkeyed)
 
 
 def without_existing(batch: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:

@@ -113,12 +113,22 @@ def _json_indented(spark: SparkSession, path: str, record_end: str) -> DataFrame
     )
 
 
+def _of_root(mark: str, text: Column, pattern: str) -> Column:
+    """The mark followed by the name of the root element that the row opens or closes."""
+    return F.concat(F.lit(mark + " "), F.regexp_extract(text, pattern, 1))
+
+
+def _mark_word() -> Column:
+    return F.substring_index("_mark", " ", 1)
+
+
 def xml_records(spark: SparkSession, path: str, tag: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
     """One row per ``<tag>`` element of a large document; call only when ``needs_splitting``."""
     end = f"</{tag}>"
     start = F.expr(f"regexp_instr(_raw, '<{tag}(\\\\s[^>]*)?>')")
     before = F.substring(F.col("_raw"), F.lit(1), F.col("_start") - 1)
-    opens = r"^\s*(<\?xml[^>]*\?>)?\s*<[A-Za-z_][\w.\-]*(\s[^>]*)?>\s*$"
+    opens = r"^\s*(?:<\?xml[^>]*\?>)?\s*<([A-Za-z_][\w.\-]*)(?:\s[^>]*)?>\s*$"
+    closes = r"^\s*</([A-Za-z_][\w.\-]*)\s*>\s*$"
     return (
         text_rows(spark, path, end)
         .withColumn("_start", start)
@@ -126,9 +136,9 @@ def xml_records(spark: SparkSession, path: str, tag: str, limit: int = WHOLE_FIL
             F.when(F.col("_start") > 0, F.concat(F.substring(F.col("_raw"), F.col("_start"), F.length("_raw")), F.lit(end)))
             .otherwise(F.col("_raw"))
             .alias("_raw"),
-            F.when(F.col("_raw").rlike(r"^\s*</[A-Za-z_][\w.\-]*>\s*$"), CLOSING)
+            F.when(F.col("_raw").rlike(closes), _of_root(CLOSING, F.col("_raw"), closes))
             .when((F.col("_start") > 0) & ~not_blank(before), INNER)
-            .when((F.col("_start") > 0) & before.rlike(opens), FIRST)
+            .when((F.col("_start") > 0) & before.rlike(opens), _of_root(FIRST, before, opens))
             .otherwise(BROKEN)
             .alias("_mark"),
             "_file",
@@ -138,7 +148,7 @@ def xml_records(spark: SparkSession, path: str, tag: str, limit: int = WHOLE_FIL
 
 
 def is_record() -> Column:
-    return F.col("_mark").isNull() | ~F.col("_mark").isin(OPENING, CLOSING)
+    return F.col("_mark").isNull() | ~_mark_word().isin(OPENING, CLOSING)
 
 
 def broken_files(df: DataFrame) -> DataFrame:
@@ -148,8 +158,9 @@ def broken_files(df: DataFrame) -> DataFrame:
     """
 
     def where(*marks: str) -> Column:
-        return F.when(F.col("_mark").isin(*marks), F.col("_pos"))
+        return F.when(_mark_word().isin(*marks), F.col("_pos"))
 
+    root = F.when(F.contains("_mark", F.lit(" ")), F.substring_index("_mark", " ", -1))
     shape = (
         df.filter(F.col("_mark").isNotNull())
         .groupBy("_file")
@@ -165,6 +176,7 @@ def broken_files(df: DataFrame) -> DataFrame:
             F.max(where(INNER)).alias("inner_pos"),
             F.count(where(FINAL)).alias("n_final"),
             F.max(where(FINAL)).alias("final_pos"),
+            (F.min(root) == F.max(root)).alias("one_root"),
         )
     )
     framed = (
@@ -173,6 +185,7 @@ def broken_files(df: DataFrame) -> DataFrame:
         & (F.col("open_pos") == F.col("first_pos"))
         & (F.col("n_close") == 1)
         & (F.col("close_pos") == F.col("last_pos"))
+        & F.coalesce("one_root", F.lit(True))
     )
     # In an array of lines the last record, and no other, goes without a comma.
     no_records = F.col("inner_pos").isNull() & (F.col("n_final") == 0)

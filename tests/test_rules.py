@@ -61,9 +61,14 @@ def test_first_wins_both_ways_with_a_hot_key(spark, lookup_rows):
 def test_first_wins_with_composite_key_and_position(spark):
     rows = [(1, 1, 5, 9), (1, 1, 5, 3), (1, 2, 0, 0), (1, 1, 4, 8)]
     df = spark.createDataFrame(rows, "a int, b int, p int, q int")
-    for lookup in (10, 0):
-        got = rules.first_wins(df, ["a", "b"], ["p", "q"], lookup_rows=lookup)
-        assert {tuple(r) for r in got.collect()} == {(1, 1, 4, 8), (1, 2, 0, 0)}
+    assert {tuple(r) for r in rules.first_wins(df, ["a", "b"], ["p", "q"]).collect()} == {(1, 1, 4, 8), (1, 2, 0, 0)}
+    marked = {(r["p"], r["q"]) for r in rules.mark_duplicates(df, ["a", "b"], ["p", "q"]).filter("reject_reason IS NULL").collect()}
+    assert marked == {(4, 8), (0, 0)}
+
+
+def test_first_wins_keeps_rows_without_key(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (5, 2), (5, 1)], "id long, pos long")
+    assert {tuple(r) for r in rules.first_wins(df, ["id"], ["pos"]).collect()} == {(None, 1), (None, 2), (5, 1)}
 
 
 def test_rejected_rows_take_no_part_in_deduplication(spark):

@@ -107,6 +107,7 @@ def test_xml_strict(spark, tmp_path):
         "<items><item><id>1</id><name>a</name></item></items",
         "<items><item><id>1</id><name>a</name></item>",
         "<items><item><id>1</id><name>a</item></items>",
+        "<items><item><id>1</id><name>a</name></item></others>",
         "nothing",
     ],
 )
