@@ -34,6 +34,7 @@ from orderflow.operators.rules import first_wins, outcome_counts
 from orderflow.plans import ingest
 from orderflow.plans.convert import convert
 from orderflow.schema import DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
+from orderflow.session import stage
 from orderflow.sinks import files as sink
 from orderflow.sinks import tables as rows_for
 from orderflow.sinks.tables import append_table
@@ -289,7 +290,7 @@ def save_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with status F bring their id, the open ones get the next free ones."""
     status = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
     batch = incoming_orders(spark, sf).join(status, "id").filter(F.col("o_orderstatus") != "P").withColumn("pos", F.col("id"))
-    batch = batch.withColumn("id", F.when(F.col("o_orderstatus") == "F", F.col("id")))
+    batch = stage(batch.withColumn("id", F.when(F.col("o_orderstatus") == "F", F.col("id"))), "batch")
     root = _store(spark, "order", rows_for.order_rows(batch, stored_orders(spark, sf), ["pos"]))
     return table(spark, root, "order")
 

@@ -28,6 +28,7 @@ from orderflow.catalog.registry import (
 )
 from orderflow.operators import keys, maintain, relational, rules
 from orderflow.schema import TABLES
+from orderflow.session import stage
 from orderflow.sources import tables as sources
 
 # ------------------------------------------------------------------ scans
@@ -90,7 +91,7 @@ _CHECKED = (
 
 
 def _checked_orders(spark: SparkSession, sf: str) -> DataFrame:
-    batch = incoming_orders(spark, sf)
+    batch = stage(incoming_orders(spark, sf), "batch")  # made by a join, read once per rule
     tables = order_tables(spark, sf)
     order = [rules.must_be_new("order_exists", "id", tables["order"]), *rules.foreign_key_rules(TABLES["order"], tables)]
     return rules.check_rules(batch, order)

@@ -67,6 +67,7 @@ def violating_keys(batch: DataFrame, rule: Rule) -> DataFrame:
 def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
     """``reject_reason`` = the first rule a row breaks, in the given order; earlier reasons stay.
 
+    The key columns of the batch are read once per rule, so it had better be stored or staged.
     The stored keys need not be distinct: semi and anti joins never multiply rows.
     """
     if "reject_reason" not in batch.columns:

@@ -9,10 +9,12 @@ from orderflow.sinks.files import write_entity
 from orderflow.sources.files import CONTROL, extension_of, read_entity
 
 
-def convert(spark: SparkSession, source: str, target: str, entity: Entity, layout: str = "lines") -> None:
+def convert(spark: SparkSession, source: str, target: str, entity: Entity, layout: str = "array") -> None:
     """Both extensions are checked before anything is read.
 
-    A CSV file refused for its field count holds no records, so nothing of it is written.
+    JSON comes as one array per part file unless ``layout`` asks for JSON Lines, which Spark and
+    most tools split more easily.  A CSV file refused for its field count holds no records, so nothing of
+    it is written.
     """
     extension_of(source)
     extension_of(target)
