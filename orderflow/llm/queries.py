@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe_codec, token_counts
+from orderflow.llm import bpe_codec, chat, packing, pii, token_counts, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +46,44 @@ def bpe_codec_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op5_token_counts")
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer())
+
+
+@_query("op9_packing")
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+CHECK_TEXT = "</s>[INST] ok [/INST]"
+
+
+@_query("op1_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings."""
+    hard = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CHECK_TEXT).alias("text"),
+    )
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(chat.format_chats(chats))
+
+
+@_query("op7_pii")
+def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *pii.counts(), F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+
+
+@_query(
+    "op10_warc",
+    """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        d AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+            min(page_id) OVER (PARTITION BY payload) AS first FROM p)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM d""",
+)
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(_table(spark, sf_dir, "pages")).drop("payload")
