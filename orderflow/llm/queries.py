@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe_codec, chat, kmeans_tree, packing, pii, token_counts, vafile, warc
+from orderflow.llm import bpe_codec, chat, kmeans_tree, packing, pii, token_counts, toxicity, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,7 +96,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
-    SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s
+    SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
     QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)""",
 )
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,3 +106,8 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_kmeans_tree")
 def kmeans_tree_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kmeans_tree.neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op2_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
