@@ -1,15 +1,67 @@
-"""The corpus pipeline over documents, built from the operators of ``orderflow.llm``."""
+"""The corpus pipeline over ``documents``: reject toxic texts, keep one of each group of near copies,
+mask personal data, and pack what is left into sequences.
+
+Each stage takes what its predecessor kept, written and read again.  Further columns pass through all
+stages but the last.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orderflow.llm import packing, partenum, pii, toxicity
+from orderflow.session import stage
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score calls them toxic go; a row's fate depends on its text alone."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_clean(docs, model)
+
+
+def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document whose id names the group stays, and of its rows one.
+
+    Documents without words, or without id, are in no group and stay.
+    """
+    found = partenum.join(docs).filter(F.col("n_shingles") > 0).filter("doc_id is not null")
+    copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
+    # staged, so that its true size decides how it meets the documents
+    copies = stage(copies.filter("doc_id <> first or rows > 1").select(F.col("doc_id").alias("copy_id"), "first", "rows"), "pipeline-copies")
+    marked = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left")
+    single = marked.filter("copy_id is null").select(docs["*"])
+    again = marked.filter("copy_id = first").select(docs["*"]).dropDuplicates(["doc_id"])
+    return single.unionByName(again)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    masked = pii.redact(docs)
+    return masked.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", reject_toxic),
+    ("ngram_jaccard_join", keep_one_of_copies),
+    ("pii", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
-STAGES = []
+# No SQL can express the trained classifier; each stage is tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage_fn in STAGES:
-        docs = stage_fn(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe_codec, chat, kmeans_tree, packing, pii, token_counts, toxicity, vafile, warc
+from orderflow.llm import bpe_codec, chat, kmeans_tree, packing, partenum, pii, token_counts, toxicity, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,8 @@ def kmeans_tree_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_toxicity")
 def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op6_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.join(_table(spark, sf_dir, "documents"))

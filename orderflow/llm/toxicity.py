@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import batches
-from orderflow.llm.common import documents, string_buffers
+from orderflow.llm.common import documents, string_buffers, text_of
 from orderflow.session import stage
 
 LENGTHS = (4, 5, 6)  # bytes of the beginnings of words
@@ -264,6 +264,21 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
     return Model(known, weights, bias, {"rates": rates, "correlation": rho, "weight": weight, "posterior": posterior, "label": label})
 
 
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that the model does not call toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def clean(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for table in tables:
+            for piece, words, word, ends in batches(table, "__words"):
+                row, at = _inside(m.known, words, word, ends)
+                calm = m.bias + np.bincount(row, m.weights[at], piece.num_rows) < 0
+                yield piece.drop_columns(["__words"]).filter(pa.array(calm))
+
+    return docs.withColumn("__words", words_of(text_of(docs))).mapInArrow(clean, docs.schema)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row; an empty text gets the bare prior."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
