@@ -10,7 +10,8 @@ moves work and never a result.  Empty partitions come last and are enumerated on
 to fill enough.  A set also signs in the next band where larger partners may lie.
 
 Signatures travel as sorted blocks of columns to ranges of their hashes.  There, sets that share one
-are grouped around the smallest of them, and each group's shingles are compared exactly.
+are grouped around the smallest of them.  Sketches that bound the distance of two sets from below rule out most of a group,
+and what they leave is compared shingle by shingle.
 """
 
 from __future__ import annotations
@@ -125,6 +126,38 @@ def compare(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> tupl
     return np.nonzero((_DEN * met >= _NUM * union) & (left[:, None] != right[None]))
 
 
+def parities(sets: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """A bit per hash range of every set, whether it holds an odd number of shingles there.
+
+    The bits in which two sets differ are at most the shingles in which they differ.  There are two to
+    four ranges per shingle, a power of two, so halves can be folded onto each other.
+    """
+    out = []
+    for a, b in zip(offsets[:-1], offsets[1:], strict=True):
+        bits = max(6, int(b - a).bit_length() + 1)
+        at = sets[a:b] >> np.uint64(64 - bits)
+        odd = np.zeros(1 << bits, np.uint8)
+        odd[np.flatnonzero(np.bincount(at.astype(np.int64)) & 1)] = 1
+        out.append(np.packbits(odd))
+    return out
+
+
+def possible(sketches: list[np.ndarray], n: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sets of ``left`` and ``right`` that have a partner on the other side which nothing rules out."""
+    shortest = min(len(x) for x in sketches)
+    bits = np.stack([np.packbits(np.unpackbits(x).reshape(8 * shortest, -1).sum(1).astype(np.uint8) & 1) for x in sketches])
+    bits = bits.view(np.uint64) if shortest % 8 == 0 else bits
+    kept = np.zeros(len(n), bool)
+    for at in range(0, len(left), 64):
+        rows = left[at : at + 64]
+        apart = np.bitwise_count(bits[rows][:, None] ^ bits[right][None]).sum(2, dtype=np.int64)
+        low, high = np.minimum(n[rows][:, None], n[right][None]), np.maximum(n[rows][:, None], n[right][None])
+        fit = (7 * apart <= low + high) & (_DEN * low >= _NUM * high) & (rows[:, None] != right[None])
+        kept[rows[fit.any(1)]] = True
+        kept[right[fit.any(0)]] = True
+    return kept
+
+
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from the smallest node of each component to its others."""
     nodes, line = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -259,8 +292,7 @@ def join(docs: DataFrame) -> DataFrame:
     around = stage(around.groupBy("centre", "member").agg(F.lit(1).alias("one")).select("centre", "member"), "join-groups")
     members = around.unionByName(around.select("centre", F.col("centre").alias("member")).distinct())
 
-    # the texts concerned are known by a filter of fixed size, and their sets are made once more
-    wanted = classes.join(members.select(F.col("member").alias("d1")).distinct(), "d1", "left_semi")
+    wanted = stage(classes.join(members.select(F.col("member").alias("d1")).distinct(), "d1", "left_semi"), "join-wanted")
 
     def fill(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(BLOOM_BITS // 8, np.uint8)
@@ -269,35 +301,52 @@ def join(docs: DataFrame) -> DataFrame:
                 np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         yield pa.record_batch([pa.array([bits.tobytes()])], ["bits"])
 
-    wanted = stage(wanted, "join-wanted")
-    bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
-    for r in wanted.select("rep").coalesce(4).mapInArrow(fill, "bits binary").toLocalIterator():
-        bloom |= np.frombuffer(r.bits, np.uint8)
-    filter_ = spark.sparkContext.broadcast(bloom)
-
-    def fetch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[tuple[int, int, int]] = set()
-        for table in tables:
-            ids = np.asarray(table.column("doc_id"))
-            hit = np.ones(len(ids), bool)
-            for at in _bloom(ids):
-                hit &= (filter_.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-            for piece, sets, ends in slices(table.filter(pa.array(hit)), "text"):
-                first, second = digests(sets, ends)
-                keys = list(zip(piece.column("doc_id").to_pylist(), first.tolist(), second.tolist(), strict=True))
-                fresh = [k for k, key in enumerate(keys) if key not in known and not known.add(key)]
-                raw = pa.array([sets[ends[k] : ends[k + 1]].tobytes() for k in fresh], pa.binary())
-                yield pa.record_batch([*(pa.array([keys[k][c] for k in fresh], pa.int64()) for c in range(3)), raw], ["rep", "d1", "d2", "shingles"])
-
-    fetched = rows.filter(F.col("doc_id").isNotNull()).mapInArrow(fetch, "rep long, d1 long, d2 long, shingles binary")
+    def again(reps: DataFrame, made: str) -> DataFrame:
+        """Rows of the texts of ``reps`` (``rep``) once more, with their sketches or their shingles.
+
+        They are known by a filter of fixed size, so some others may come along.
+        """
+        bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
+        for r in reps.coalesce(4).mapInArrow(fill, "bits binary").toLocalIterator():
+            bloom |= np.frombuffer(r.bits, np.uint8)
+        filter_ = spark.sparkContext.broadcast(bloom)
+
+        def fetch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: set[tuple[int, int, int]] = set()
+            for table in tables:
+                ids = np.asarray(table.column("doc_id"))
+                hit = np.ones(len(ids), bool)
+                for at in _bloom(ids):
+                    hit &= (filter_.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+                for piece, sets, ends in slices(table.filter(pa.array(hit)), "text"):
+                    first, second = digests(sets, ends)
+                    keys = list(zip(piece.column("doc_id").to_pylist(), first.tolist(), second.tolist(), strict=True))
+                    fresh = [k for k, key in enumerate(keys) if key not in known and not known.add(key)]
+                    values = parities(sets, ends) if made == "sketch" else [sets[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)]
+                    raw = pa.array([values[k].tobytes() for k in fresh], pa.binary())
+                    yield pa.record_batch([*(pa.array([keys[k][c] for k in fresh], pa.int64()) for c in range(3)), raw], ["rep", "d1", "d2", made])
+
+        return rows.filter(F.col("doc_id").isNotNull()).mapInArrow(fetch, f"rep long, d1 long, d2 long, {made} binary")
 
     # groups beyond a chunk meet chunk by chunk, so that no task holds a whole one
     sizes = members.groupBy("centre").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
     place = members.join(sizes, "centre").withColumn("mine", F.pmod(F.hash("member"), "chunks").cast("long"))
     place = place.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     place = place.select("centre", "member", "mine", F.least("mine", "met").alias("low"), F.greatest("mine", "met").alias("high"))
-    place = place.join(wanted.select("rep", F.col("d1").alias("member"), "d2"), "member").withColumnRenamed("member", "d1")
-    ready = fetched.join(stage(place, "join-places"), ["rep", "d1", "d2"]).select("centre", "low", "high", "mine", "rep", "shingles")
+    place = stage(place.join(wanted.select("rep", F.col("d1").alias("member"), "d2", "n"), "member").withColumnRenamed("member", "d1"), "join-places")
+
+    def sift(table: pa.Table) -> pa.Table:
+        n, mine = np.asarray(table.column("n")), np.asarray(table.column("mine"))
+        left, right = np.flatnonzero(mine == table.column("low")[0].as_py()), np.flatnonzero(mine == table.column("high")[0].as_py())
+        kept = np.zeros(len(n), bool)
+        if len(left) and len(right):
+            kept = possible([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("sketch")], n, left, right)
+        return table.filter(pa.array(kept)).select(["centre", "low", "high", "mine", "rep", "d1", "d2"])
+
+    sketched = again(wanted.select("rep"), "sketch").join(place, ["rep", "d1", "d2"]).select("centre", "low", "high", "mine", "rep", "d1", "d2", "n", "sketch")
+    kept = "centre long, low long, high long, mine long, rep long, d1 long, d2 long"
+    left_over = stage(sketched.groupBy("centre", "low", "high").applyInArrow(sift, kept), "join-sifted")
+    ready = again(left_over.select("rep").distinct(), "shingles").join(left_over, ["rep", "d1", "d2"]).select("centre", "low", "high", "mine", "rep", "shingles")
 
     def link(table: pa.Table) -> pa.Table:
         reps, mine = np.asarray(table.column("rep")), np.asarray(table.column("mine"))
