@@ -25,7 +25,7 @@ SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 CUT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 NEVER = np.iinfo(np.int32).max
-SLICE = 1 << 20  # pre-tokens worked on at once, which bounds the memory of a task
+SLICE = 1 << 19  # pre-tokens worked on at once, which bounds the memory of a task
 
 
 def _byte_chars() -> dict[str, int]:
@@ -163,17 +163,17 @@ def pretokens(text: Column, bpe: Bpe) -> Column:
     return out
 
 
-def batches(table: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]:
+def batches(table: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[tuple[pa.RecordBatch, pa.Array, np.ndarray, np.ndarray]]:
     """Pieces of a batch, each with its distinct words, the word of every pre-token, and row offsets.
 
-    A piece holds about ``SLICE`` pre-tokens, or one row if that alone is longer.
+    A piece holds about ``size`` words, or one row if that alone is longer.
     """
     lists = table.column(column)
     ends = list_offsets(lists)[1:]
     start = 0
     while start < table.num_rows:
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + SLICE, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         piece = table.slice(start, stop - start)
         lists = piece.column(column)
         coded = lists.flatten().dictionary_encode()

@@ -9,7 +9,7 @@ import pyarrow as pa
 
 from orderflow.llm.common import offsets_of, string_buffers
 
-SLICE_BYTES = 1 << 22  # text worked on at once; one longer text makes a slice of its own
+SLICE_BYTES = 1 << 20  # text worked on at once; one longer text makes a slice of its own
 _TABLE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)

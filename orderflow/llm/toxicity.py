@@ -32,6 +32,8 @@ LEXICONS, BENIGN = 24, 8  # voters for either class
 # Patterns of style that vote for toxicity until the model knows better.
 PATTERNS = (r"\b[A-Z]{4,}\b", r"!{2,}", r"(?i)\byou(?:'re| are)\b", r"(?i)\b(?:idiot|moron|stupid|loser|scum|trash)s?\b", r"(\p{L})\1{3}")
 WORDS = r"\p{L}{3,}"
+SLICE = 1 << 18  # words worked on at once
+SPREAD = 1 << 16  # the same where every stem of every word is listed
 
 
 def taught(doc_id: Column) -> Column:
@@ -189,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
 
     def list_stems(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
-            for piece, words, word, ends in batches(table, "words"):
+            for piece, words, word, ends in batches(table, "words", SPREAD):
                 line, found = _spread(*stems(*string_buffers(words)), word, ends)
                 own = pa.ListArray.from_arrays(pa.array(np.searchsorted(line, np.arange(len(ends))), pa.int32()), pa.array(found))
                 sketch = pa.array(_sketch(words, word, ends))
@@ -235,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
     def vote(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, voter = shared.value
         for table in tables:
-            for piece, words, word, ends in batches(table, "words"):
+            for piece, words, word, ends in batches(table, "words", SLICE):
                 row, at = _inside(known, words, word, ends)
                 mask = votes_of(row, at, voter, np.array(piece.column("style"), dtype=np.int64))
                 combined, counts = np.unique(mask, return_counts=True)
@@ -271,7 +273,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def clean(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for table in tables:
-            for piece, words, word, ends in batches(table, "__words"):
+            for piece, words, word, ends in batches(table, "__words", SLICE):
                 row, at = _inside(m.known, words, word, ends)
                 calm = m.bias + np.bincount(row, m.weights[at], piece.num_rows) < 0
                 yield piece.drop_columns(["__words"]).filter(pa.array(calm))
@@ -288,7 +290,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rate(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for table in tables:
-            for piece, words, word, ends in batches(table, "words"):
+            for piece, words, word, ends in batches(table, "words", SLICE):
                 row, at = _inside(m.known, words, word, ends)
                 logit = m.bias + np.bincount(row, m.weights[at], piece.num_rows)
                 yield pa.record_batch([piece.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(logit, -50, 50))))], ["doc_id", "score"])

@@ -40,9 +40,11 @@ _OUT = 64  # records handed on at once
 def surt(url: Column) -> Column:
     """Sort-friendly key: the host's labels in reverse, then path and query; null and odd urls as they are."""
     url = F.coalesce(url.cast("string"), F.lit(""))
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*+@)?([^/?#]*)", 1))
+    start = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*+@)?([^/?#:]*)((?::[0-9]*)?)"
+    host, port = F.lower(F.regexp_extract(url, start, 1)), F.regexp_extract(url, start, 2)
+    port = F.when(port.isin("", ":", ":80", ":443"), "").otherwise(port)
     path = F.regexp_replace(F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*+", ""), "(?s)#.*$", "")
-    return F.when(host == "", url).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), path))
+    return F.when(host == "", url).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), port, F.lit(")"), path))
 
 
 def _record(page: int | None, url: str | None, digest: str, refers: int | None, payload: bytes) -> bytes:
