@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import Bpe, batches, pretokens, word_ids
 from orderflow.llm.common import documents, offsets_of, ragged_take, ship_file, string_buffers
+from orderflow.session import stage
 
 _ARRAYS = ("edge_keys", "edge_targets", "edge_skips", "final", "offsets", "ids")
 
@@ -134,7 +135,10 @@ class Transducer:
 
 
 def frequent_words(cut: DataFrame, size: int, min_count: int) -> list[bytes]:
-    """The ``size`` most frequent pre-tokens of all rows seen at least ``min_count`` times, ascending."""
+    """The most frequent pre-tokens of all rows, ascending: at most ``size``, each seen ``min_count`` times.
+
+    Words are taken by their count, all of one count or none, so only those taken leave their tasks.
+    """
 
     def count(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
@@ -142,11 +146,18 @@ def frequent_words(cut: DataFrame, size: int, min_count: int) -> list[bytes]:
                 yield pa.record_batch([words, pa.array(np.bincount(word, minlength=len(words)))], ["word", "n"])
 
     counts = cut.select("pre").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter(F.col("n") >= min_count).orderBy(F.desc("n"), "word").limit(size)
-    return sorted(r.word.encode() for r in top.collect())
-
-
-def encode_decode(docs: DataFrame, tokenizer: str, lexicon_size: int = 50_000, min_count: int = 2) -> DataFrame:
+    counts = stage(counts.filter(F.col("n") >= min_count), "lexicon")
+    # the least step of counts that lets in no more than ``size``; big counts share steps, so the list is short
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise((4096 + 256 * F.log2("n")).cast("long"))
+    least, taken = 1 << 62, 0
+    for r in sorted(counts.groupBy(step.alias("n")).agg(F.count("*").alias("words")).collect(), reverse=True):
+        if taken + r.words > size:
+            break
+        least, taken = r.n, taken + r.words
+    return sorted(r.word.encode() for r in counts.filter(step >= least).select("word").collect())
+
+
+def encode_decode(docs: DataFrame, tokenizer: str, lexicon_size: int = 100_000, min_count: int = 16) -> DataFrame:
     """``doc_id``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded`` of every row.
 
     ``tokenizer`` is the path of a byte-level BPE file, ``lexicon_size`` bounds what the driver

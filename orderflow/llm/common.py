@@ -21,6 +21,15 @@ def documents(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(df["doc_id"].cast("long").alias("doc_id"), text_of(df).alias("text"), *[df[c].alias(c) for c in extra])
 
 
+def hash_sample(df: DataFrame, size: int, *columns: str) -> DataFrame:
+    """At most ``size`` rows, those of the smallest hashes; hardly more than these leave their tasks."""
+    n = df.count()
+    code = F.xxhash64(*columns)
+    if n > 2 * size:
+        df = df.filter(code <= int((2.0 * (1.2 * size / n) - 1.0) * 2**63))
+    return df.orderBy(code, *columns).limit(size)
+
+
 def offsets_of(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
 
@@ -80,6 +89,6 @@ def shared_uri(spark: SparkSession, label: str) -> str:
 
 
 __all__ = [
-    "documents", "list_offsets", "offsets_of", "put_file", "ragged_take", "row_sums", "shared_dir", "shared_uri",
+    "documents", "hash_sample", "list_offsets", "offsets_of", "put_file", "ragged_take", "row_sums", "shared_dir", "shared_uri",
     "ship_file", "string_buffers", "text_of",
 ]

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import hash_sample
 from orderflow.llm.vectors import best, matrices, queries_of, vectors_of
 from orderflow.session import stage
 
@@ -119,7 +120,7 @@ def neighbours(table: DataFrame, k: int = 10, every: int = 100, recall: float =
     """
     spark = table.sparkSession
     vectors = vectors_of(table, zero=False)
-    drawn = vectors.orderBy(F.xxhash64("vec_id", "embedding")).limit(SAMPLE + PROBES).toArrow().combine_chunks()
+    drawn = hash_sample(vectors, SAMPLE + PROBES, "vec_id", "embedding").toArrow().combine_chunks()
     pieces = [m for b in drawn.to_batches() for _, _, m in matrices(b, SAMPLE + PROBES)]
     if not pieces:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import documents
+from orderflow.llm.common import documents, hash_sample
 from orderflow.llm.shingles import digests, mix, slices
 from orderflow.session import stage
 
@@ -226,7 +226,7 @@ def join(docs: DataFrame) -> DataFrame:
     classes = stage(classes, "join-classes")
 
     # which shingles are common: only a hint, so a bounded sample without its near copies will do
-    drawn = stage(classes.filter("n > 4").orderBy(F.xxhash64("d1"), "rep").limit(SAMPLE).select(F.col("rep").alias("doc_id")), "join-sample")
+    drawn = stage(hash_sample(classes.filter("n > 4"), SAMPLE, "d1", "d2").select(F.col("rep").alias("doc_id")), "join-sample")
 
     def list_sets(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import batches
-from orderflow.llm.common import documents, string_buffers, text_of
+from orderflow.llm.common import documents, hash_sample, string_buffers, text_of
 from orderflow.session import stage
 
 LENGTHS = (4, 5, 6)  # bytes of the beginnings of words
@@ -183,7 +183,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
     spark = docs.sparkSession
     teach = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     teach = teach.filter(taught(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    teach = stage(teach.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled), "toxic-labels")
+    teach = stage(hash_sample(teach, labelled, "doc_id", "toxic"), "toxic-labels")
     rows = documents(docs).filter(taught(F.col("doc_id")))
     patterns = [F.col("text").rlike(p).cast("long") for p in PATTERNS]
     cut = rows.select("doc_id", words_of(F.col("text")).alias("words"), sum((F.shiftleft(p, k) for k, p in enumerate(patterns)), F.lit(0).cast("long")).alias("style"))
