@@ -97,7 +97,7 @@ def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
     SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM s
-    QUALIFY row_number() OVER w <= 10 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)""",
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10""",
 )
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"))
