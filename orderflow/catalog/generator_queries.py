@@ -139,7 +139,7 @@ def gen_phone_b(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rating(row_id: str = "i") -> str:
-    return f"round({sql_pick('rating', row_id)} / 4294967296.0::DOUBLE * 5.0::DOUBLE, 6)"
+    return f"round({sql_pick('rating', row_id)} % {1 << 52} / {1 << 52}.0::DOUBLE * 5.0::DOUBLE, 6)"
 
 
 @query(

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions import draws
+from orderflow.operators.keys import BUCKET_ROWS, MIN_BUCKETS
 from orderflow.session import fresh_path
 from orderflow.sources.tables import table
 
@@ -201,7 +202,7 @@ def with_(*names: str) -> str:
 
 
 def sql_pick(purpose: str, row_id: str, seed: int = SEED) -> str:
-    return f"('0x' || substr(md5('{seed}:{purpose}:' || {row_id}), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5('{seed}:{purpose}:' || {row_id}), 1, 15))::BIGINT"
 
 
 def sql_digest(purpose: str, row_id: str, blocks: int, seed: int = SEED) -> str:
@@ -246,6 +247,7 @@ def sql_uuid4(purpose: str, row_id: str, seed: int = SEED) -> str:
     )
 
 
-def sql_by_hash(rel: str, key: str, seed: int = SEED, buckets: int = 1024) -> str:
-    """Rows of ``rel`` with the 0-based index of ``dense_by_hash``."""
+def sql_by_hash(rel: str, key: str, seed: int = SEED) -> str:
+    """Rows of ``rel`` with the 0-based index of ``dense_by_hash`` in ``bucket_count`` buckets."""
+    buckets = f"(SELECT greatest({MIN_BUCKETS}, ceil(count(*) / {BUCKET_ROWS})::BIGINT) FROM {rel})"
     return f"(SELECT *, row_number() OVER (ORDER BY {sql_pick('bucket', key, seed)} % {buckets}, {key}) - 1 AS idx FROM {rel})"

@@ -36,8 +36,8 @@ def _key(seed: int, purpose: str, row_id: Column) -> Column:
 
 
 def pick(seed: int, purpose: str, row_id: Column) -> Column:
-    """Uniform integer in [0, 2^32)."""
-    return F.conv(F.substring(F.md5(_key(seed, purpose, row_id)), 1, 8), 16, 10).cast("long")
+    """Uniform integer in [0, 2^60)."""
+    return F.conv(F.substring(F.md5(_key(seed, purpose, row_id)), 1, 15), 16, 10).cast("long")
 
 
 def pick_below(seed: int, purpose: str, row_id: Column, n: int | Column) -> Column:
@@ -46,7 +46,8 @@ def pick_below(seed: int, purpose: str, row_id: Column, n: int | Column) -> Colu
 
 def uniform(seed: int, purpose: str, row_id: Column, high: float = 1.0) -> Column:
     """Uniform real in [0, high)."""
-    return pick(seed, purpose, row_id) / F.lit(4294967296.0) * F.lit(float(high))
+    exact = 1 << _DRAW_BITS  # a double holds these bits, so the quotient stays below 1
+    return pick(seed, purpose, row_id) % exact / F.lit(float(exact)) * F.lit(float(high))
 
 
 def _digest(seed: int, purpose: str, row_id: Column, blocks: int) -> Column:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from orderflow.functions.draws import pick_below
 from orderflow.session import stage
 
+MIN_BUCKETS = 1024
+BUCKET_ROWS = 1_000_000  # rows a bucket is meant to hold; beyond it there are more buckets
+
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id counts rows of a partition in these
 
 
@@ -57,7 +60,12 @@ def assign_keys(df: DataFrame, existing: DataFrame, order_by: list[str], key: st
     return numbered.select(F.col("_key").alias(key), *[c for c in numbered.columns if c != "_key"])
 
 
-def dense_by_hash(df: DataFrame, key: str, seed: int = 0, buckets: int = 1024, name: str = "idx") -> DataFrame:
+def bucket_count(n: int) -> int:
+    """Buckets for ``n`` rows, so that a task sorts a bounded number of them at any size."""
+    return max(MIN_BUCKETS, -(-n // BUCKET_ROWS))
+
+
+def dense_by_hash(df: DataFrame, key: str, buckets: int, seed: int = 0, name: str = "idx") -> DataFrame:
     """A dense 0-based index in no meaningful order: by hash bucket, then by key inside it.
 
     Unlike ``dense_index`` it needs no staging; buckets are even because keys are unique.
@@ -80,7 +88,6 @@ def pick_parent(
     seed: int,
     row_id: str,
     carry: list[str] | None = None,
-    buckets: int = 1024,
 ) -> DataFrame:
     """Add ``name``: a parent key picked for each child row, with replacement; ``carry`` names
     further parent columns to bring along.
@@ -88,10 +95,10 @@ def pick_parent(
     The pick is uniform, so the join on the parent's index has no hot key.  The optimizer
     broadcasts the parents when they are small and shuffles both sides when not.
     """
-    indexed = dense_by_hash(parents.select(F.col(parent_key).alias(name), *(carry or [])), name, seed, buckets, "_idx")
     n = parents.count()
     if n == 0:
         raise ValueError(f"no parents to pick {name} from")
+    indexed = dense_by_hash(parents.select(F.col(parent_key).alias(name), *(carry or [])), name, bucket_count(n), seed, "_idx")
     return (
         child.withColumn("_idx", pick_below(seed, f"pick-{name}", F.col(row_id), n))
         .join(indexed, "_idx")

@@ -3,7 +3,7 @@
 The rows of a batch are not shuffled to be checked.  For each rule the *distinct* key values of
 the batch are compared with the stored keys (partial aggregation shrinks a key that fills a third
 of the rows to one row per task), and only the violating keys are staged.  They are normally few;
-as a staged table their size is known: few are broadcast, many are joined with hot keys set apart.
+as a staged table their size is known: few are broadcast, many are joined by one shuffle per rule.
 """
 
 from __future__ import annotations
@@ -75,7 +75,8 @@ def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_R
     live = batch.filter(F.col("reject_reason").isNull())
     found = [violating_keys(live, r).select(F.lit(i).alias("rule"), "key") for i, r in enumerate(rules)]
     violations = stage(reduce(DataFrame.unionByName, found), "violations")
-    hit = dict(violations.groupBy("rule").count().collect())  # at most one row per rule
+    sizes = violations.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("key")).alias("chars"))
+    hit = {r["rule"]: (r["n"], r["chars"]) for r in sizes.collect()}  # at most one row per rule
     checks: list[tuple[Column, object]] = []
     out = batch
     for i, rule in enumerate(rules):
@@ -83,7 +84,7 @@ def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_R
         if hit.get(i):
             keys = violations.filter(F.col("rule") == i).select(F.col("key").alias(f"_key{i}"), F.lit(True).alias(f"_hit{i}"))
             own = _text_key([rule.batch_key(j) for j in range(len(rule.columns))])
-            out = left_join_unique(out, keys, own, f"_key{i}", hit[i], lookup_rows)
+            out = left_join_unique(out, keys, own, f"_key{i}", *hit[i], lookup_rows)
             broken = F.coalesce(F.col(f"_hit{i}"), F.lit(False))
         if rule.null_fails:
             broken = broken | reduce(lambda a, b: a | b, [F.col(c).isNull() for c in rule.columns])
@@ -195,10 +196,10 @@ def mark_conflicts(
             first = named.unionByName(first.filter(F.col(k).isNull()))
         winners = stage(first, "winners")
         rest = open_rows.join(winners.select("_at"), "_at", "left_anti")
-        n_winners = winners.count()
-        for c, k in keys.items():
+        n_winners, *chars = winners.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(F.length(k)), F.lit(0)) for k in keys.values()]).first()
+        for (c, k), size in zip(keys.items(), chars):
             taken = winners.select(F.col(k).alias("_taken"), F.lit(uniques[c]).alias(f"_why{k}")).dropna()
-            rest = left_join_unique(rest, taken, F.col(k), "_taken", n_winners, lookup_rows)
+            rest = left_join_unique(rest, taken, F.col(k), "_taken", n_winners, size, lookup_rows)
         why = F.coalesce(*[F.col(f"_why{k}") for k in keys.values()])
         rest = stage(rest.select("_at", *keys.values(), why.alias("_why")), "conflicts")
         losers.append(rest.filter(F.col("_why").isNotNull()).select("_at", "_why"))

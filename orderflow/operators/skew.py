@@ -1,40 +1,31 @@
-"""Left joins to unique keys that no hot key can slow down."""
+"""Left joins to unique keys, in one pass over the left side."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.session import stage
-
-# Key tables of up to this many rows, counted before, are broadcast: some ten megabytes of keys.
+# Key tables up to this size, measured before, are broadcast.
 LOOKUP_ROWS = 100_000
+LOOKUP_CHARS = 16 * 1024 * 1024
 
-# A key is hot above one in this many rows, so there are never more hot keys than this.
-HOT_SHARE = 1000
+# Parts that rows without a key are dealt over.
+NO_KEY_PARTS = 4096
 
 
 def left_join_unique(
-    left: DataFrame, right: DataFrame, own: Column, key: str, n_right: int, lookup_rows: int = LOOKUP_ROWS
+    left: DataFrame, right: DataFrame, own: Column, key: str, n_right: int, chars: int = 0, lookup_rows: int = LOOKUP_ROWS
 ) -> DataFrame:
     """``left`` with the columns of ``right`` where ``own`` equals its unique column ``key``.
 
-    ``right`` is a staged table of ``n_right`` rows.  A small one is broadcast.  Beside
-    a large one the rows of hot keys are set apart and joined to those few keys by
-    broadcast, rows without a key need no join at all, and only the rest is shuffled.
+    ``right`` is a staged table of ``n_right`` rows and ``chars`` characters of keys.  A small one is
+    broadcast.  Beside a large one the rows are shuffled once by key, and the adaptive skew join splits
+    the partition of a hot key, whose one row on the right is read again per split.  Rows without a
+    key carry a number in its place, so that they spread.
     """
-    if n_right <= lookup_rows:
+    if n_right <= lookup_rows and chars <= LOOKUP_CHARS:
         return left.join(F.broadcast(right), own == F.col(key), "left").drop(key)
-    keyed = left.withColumn("_own", own)
-    total = left.count()
-    counts = keyed.filter(F.col("_own").isNotNull()).groupBy("_own").agg(F.count(F.lit(1)).alias("_n"))
-    hot = stage(counts.filter(F.col("_n") * HOT_SHARE > total).select("_own"), "hot-keys")  # < HOT_SHARE rows
-    few = right.join(F.broadcast(hot), F.col(key) == hot["_own"], "left_semi")  # no more rows than hot
-    there = keyed.filter(F.col("_own").isNotNull())
-    parts = (
-        there.join(F.broadcast(hot), "_own", "left_semi").join(F.broadcast(few), F.col("_own") == F.col(key), "left"),
-        there.join(F.broadcast(hot), "_own", "left_anti").join(right, F.col("_own") == F.col(key), "left"),
-        keyed.filter(F.col("_own").isNull()),
-    )
-    joined = parts[0].unionByName(parts[1]).unionByName(parts[2], allowMissingColumns=True)
-    return joined.drop("_own", key)
+    spread = F.when(own.isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NO_KEY_PARTS)))
+    keyed = left.withColumn("_own", own).withColumn("_spread", F.coalesce(spread, F.lit(-1)))
+    matched = (F.col("_own") == F.col(key)) & (F.col("_spread") == F.col("_none"))
+    return keyed.join(right.withColumn("_none", F.lit(-1).cast("long")), matched, "left").drop("_own", "_spread", "_none", key)

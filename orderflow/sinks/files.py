@@ -39,7 +39,17 @@ def json_object(entity: Entity) -> Column:
     return F.to_json(F.struct(*json_columns(entity)), {"ignoreNullFields": "false"})
 
 
-def write_csv(df: DataFrame, path: str, entity: Entity) -> None:
+def write_csv(df: DataFrame, path: str, entity: Entity, quoted: bool = True) -> None:
+    """Values that need it are quoted; with ``quoted`` off such a value raises, since lines are then cut
+    at every comma."""
+    if not quoted:
+        values = df.select(*text_columns(entity))
+        cut = values.agg(*[F.max(F.col(a.name).rlike("[,\r\n]")).alias(a.name) for a in entity.fields]).first()
+        for a in entity.fields:
+            if cut[a.name]:
+                raise IngestError("needs_quotes", a.name)
+        values.select(F.concat_ws(",", *[F.coalesce(a.name, F.lit("")) for a in entity.fields])).write.text(path)
+        return
     (
         df.select(*text_columns(entity))
         .write.option("header", False)
@@ -91,10 +101,12 @@ def write_xml(df: DataFrame, path: str, entity: Entity) -> None:
     )
 
 
-def write_entity(df: DataFrame, path: str, entity: Entity, format: str | None = None, layout: str = "lines") -> None:
+def write_entity(
+    df: DataFrame, path: str, entity: Entity, format: str | None = None, layout: str = "lines", quoted: bool = True
+) -> None:
     ext = format or extension_of(path)
     if ext == "csv":
-        write_csv(df, path, entity)
+        write_csv(df, path, entity, quoted)
     elif ext == "json":
         write_json(df, path, entity, layout)
     elif ext == "xml":

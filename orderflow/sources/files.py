@@ -1,7 +1,8 @@
 """Entity files in CSV, JSON and XML, read strictly or leniently into typed, staged rows.
 
-Strict: every field is required.  A row with the wrong number of fields refuses its whole CSV
-file; a broken document, an absent attribute or a value that does not convert raises.
+Strict: every field is required.  CSV is cut at every comma unless ``quoted`` is asked for; a row with
+the wrong number of fields refuses its whole file.  A broken document, an absent attribute or a value
+that does not convert raises.
 Lenient: CSV may be quoted and have a header that decides the column order; a row that is short,
 lacks a field or does not convert is rejected alone, with its reason.
 
@@ -22,7 +23,7 @@ from orderflow.functions.casts import _CASTS, all_of, bad_field, missing_field
 from orderflow.schema import Entity
 from orderflow.session import stage, stage_watched
 from orderflow.sources import records
-from orderflow.sources.records import WHOLE_FILE_LIMIT
+from orderflow.sources.records import LAYOUTS
 
 FORMATS = ("csv", "json", "xml")  # fixed value: the extensions served, compared as written
 CONTROL = ("_file", "_pos", "reject_reason", "reject_detail")
@@ -43,8 +44,21 @@ def extension_of(path: str) -> str:
 # ---------------------------------------------------------------- raw text columns per format
 
 
-def csv_strict(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Positional CSV without header or quoting: lines cut at every comma."""
+def csv_strict(spark: SparkSession, path: str, columns: list[str], quoted: bool = False) -> DataFrame:
+    """Positional CSV without header: lines cut at every comma, or ``quoted`` values that may hold
+    commas, quotes and line breaks, at the price of one task per file."""
+    if quoted:
+        rows = _csv_scan(spark, path, len(columns), True)
+        uneven = F.col("_arity") != len(columns)
+        return rows.select(
+            # an empty field is empty text here, not an absent one
+            *[F.coalesce(F.col(f"_c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)],
+            _null_text().alias("_mark"),
+            "_file",
+            "_pos",
+            F.when(uneven, F.lit("field_count")).alias("reject_reason"),
+            F.when(uneven, F.col("_arity").cast("string")).alias("reject_detail"),
+        )
     parts = F.split("_raw", ",", -1)
     lines = records.text_rows(spark, path).filter(records.not_blank()).withColumn("_parts", parts)
     return lines.select(
@@ -66,16 +80,9 @@ def csv_header(spark: SparkSession, path: str, columns: list[str]) -> list[str]
     return names if set(columns) <= set(names) else None
 
 
-def csv_lenient(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
-    """Quoted CSV, with or without header; the header decides the order, resolved by name.
-
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
-    """
-    header = csv_header(spark, path, columns)
-    names = header or columns
-    needed = max(names.index(c) for c in columns) + 1
-    # Positions, not names, key the scan, so a repeated or odd header name does no harm.
-    slots = [f"_c{i}" for i in range(len(names))]
+def _csv_scan(spark: SparkSession, path: str, width: int, multi_line: bool) -> DataFrame:
+    """Quoted CSV as columns ``_c0``, ``_c1``, ... with the number of fields a row really has."""
+    slots = [f"_c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, _BAD]])
     rows = (
         spark.read.schema(schema)
@@ -88,13 +95,27 @@ def csv_lenient(spark: SparkSession, path: str, columns: list[str], multi_line:
     )
     # Only a row whose field count differs keeps its text in _BAD; count its fields outside quotes.
     unquoted = F.regexp_replace(_BAD, r'"([^"]|"")*"', "")
-    arity = F.when(F.col(_BAD).isNull(), len(names)).otherwise(F.size(F.split(unquoted, ",", -1)))
-    rows = rows.select(
+    arity = F.when(F.col(_BAD).isNull(), width).otherwise(F.size(F.split(unquoted, ",", -1)))
+    return rows.select(
         *slots,
         arity.alias("_arity"),
         F.col("_metadata.file_path").alias("_file"),
         F.monotonically_increasing_id().alias("_pos"),
     )
+
+
+def csv_lenient(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
+    """Quoted CSV, with or without header; the header decides the order, resolved by name.
+
+    Values may hold line breaks inside quotes, at the price of one task per file.  Without ``multi_line``
+    files are split, for text known to have none.
+    """
+    header = csv_header(spark, path, columns)
+    names = header or columns
+    needed = max(names.index(c) for c in columns) + 1
+    # Positions, not names, key the scan, so a repeated or odd header name does no harm.
+    slots = [f"_c{i}" for i in range(len(names))]
+    rows = _csv_scan(spark, path, len(names), multi_line)
     odd_header = F.lit(False)
     if header is not None:
         # Every file of a directory starts with the header; one in another order must not pass.
@@ -132,15 +153,15 @@ def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def json_rows(spark: SparkSession, path: str, columns: list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    rows = records.json_records(spark, path, limit)
+def json_rows(spark: SparkSession, path: str, columns: list[str], layout: str = LAYOUTS[0]) -> DataFrame:
+    rows = records.json_records(spark, path, layout)
     parsed = F.from_json("_raw", _text_struct(columns), {"columnNameOfCorruptRecord": _BAD})
     return _unpacked(rows.withColumn("_rec", parsed), columns)
 
 
-def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], layout: str = LAYOUTS[0]) -> DataFrame:
     options = {"columnNameOfCorruptRecord": _BAD, "rowTag": tag, "ignoreSurroundingSpaces": "false"}
-    if records.needs_splitting(spark, path, limit):
+    if records.known_layout(layout) == "records":
         rows = records.xml_records(spark, path, tag)
         return _unpacked(rows.withColumn("_rec", F.from_xml("_raw", _text_struct(columns), options)), columns)
     # A blank document is an empty table: Spark writes one for a partition without rows.
@@ -225,28 +246,36 @@ def settle(typed: DataFrame, strict: bool, label: str = "read") -> DataFrame:
 
 
 def raw_rows(
-    spark: SparkSession, path: str, entity: Entity, strict: bool = True, format: str | None = None, tag: str | None = None, limit: int = WHOLE_FILE_LIMIT
+    spark: SparkSession,
+    path: str,
+    entity: Entity,
+    strict: bool = True,
+    format: str | None = None,
+    tag: str | None = None,
+    layout: str = LAYOUTS[0],
+    quoted: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Untyped rows of any of the three formats, chosen by the file extension."""
+    """Untyped rows of any of the three formats, chosen by the file extension.
+
+    ``layout`` concerns JSON and XML (see ``records``), ``quoted`` strict and ``multi_line`` lenient CSV.
+    """
     ext = format or extension_of(path)
     if ext == "csv":
-        read_csv = csv_strict if strict else csv_lenient
-        return read_csv(spark, path, entity.columns)
+        return csv_strict(spark, path, entity.columns, quoted) if strict else csv_lenient(spark, path, entity.columns, multi_line)
     if ext == "json":
-        return json_rows(spark, path, entity.columns, limit)
+        return json_rows(spark, path, entity.columns, layout)
     if ext == "xml":
-        return xml_rows(spark, path, tag or entity.name, entity.columns, limit)
+        return xml_rows(spark, path, tag or entity.name, entity.columns, layout)
     raise IngestError("unsupported_format", ext)
 
 
-def read_entity(
-    spark: SparkSession, path: str, entity: Entity, strict: bool = True, format: str | None = None, tag: str | None = None, limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
-    """Read, type, stage and settle one entity file or directory of files.
+def read_entity(spark: SparkSession, path: str, entity: Entity, strict: bool = True, **options) -> DataFrame:
+    """Read, type, stage and settle one entity file or directory of files; options as of ``raw_rows``.
 
     The text is parsed once; everything later reads the staged Parquet copy.
     """
-    typed = type_rows(raw_rows(spark, path, entity, strict, format, tag, limit), entity)
+    typed = type_rows(raw_rows(spark, path, entity, strict, **options), entity)
     rows = settle(typed, strict, f"read-{entity.name}")
     return entity.derive(rows) if entity.derive else rows
 

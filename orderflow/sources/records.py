@@ -1,10 +1,15 @@
 """From files to raw records: one row per record, with its file and its position.
 
-Small JSON arrays and XML documents are read whole, one file per task, which accepts any layout.
-A file above ``WHOLE_FILE_LIMIT`` is never read whole: it is split on the text that ends a record
-(Spark's ``lineSep``), so one huge file still spreads over the cluster.  That text cannot occur
-inside a value: JSON strings hold no raw line break and XML text no raw ``</tag>``.  The rows that
-open and close such a file keep a mark, from which ``broken_files`` checks its overall shape.
+The caller says how files are laid out; their size decides nothing.
+
+``document``, the default: every file is read whole, one per task, and decides for itself whether it
+holds a JSON array or JSON Lines.  Any valid layout is accepted.
+``records``: for huge files, which are split on the text that ends a record (Spark's ``lineSep``), so
+that one file spreads over the cluster.  That text cannot occur inside a value: JSON strings hold no
+raw line break and XML text no raw ``</tag>``.  It takes JSON Lines, arrays whose records stand on lines
+of their own, and XML of plain ``<tag>...</tag>`` records and comments; all files of a directory are
+alike.  The rows that open and close a file keep a mark, from which ``broken_files`` checks its overall
+shape.  What this layout cannot cut soundly raises; it never yields fewer rows.
 
 Columns: ``_raw`` (record text), ``_mark`` (NULL unless the file was split), ``_file``, ``_pos``.
 ``_pos`` rises with the place in a file; the order between files is the read order.
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 
 from orderflow.errors import IngestError
 
-WHOLE_FILE_LIMIT = 64 * 1024 * 1024
+LAYOUTS = ("document", "records")
 
 # Marks of the rows of a split file.
 OPENING = "opening"  # first row, no record
@@ -43,26 +48,27 @@ def not_blank(c: Column | str = "_raw") -> Column:
     return (F.col(c) if isinstance(c, str) else c).rlike(r"\S")
 
 
-def needs_splitting(spark: SparkSession, path: str, limit: int) -> bool:
-    """Whether any file is larger than ``limit``; only file lengths are read."""
-    largest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    return largest is not None and largest > limit
+def known_layout(layout: str) -> str:
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout}")
+    return layout
 
 
-def json_records(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
+def json_records(spark: SparkSession, path: str, layout: str = LAYOUTS[0]) -> DataFrame:
     """Records of JSON arrays, or of JSON Lines.  A blank file holds none: Spark writes one for an
     empty table."""
+    if known_layout(layout) == "document":
+        return _json_whole(spark, path)
+    # Up to the first "{" and on to the second; a piece may be long, so only what is asked of it comes back.
     pieces = spark.read.text(path, lineSep="{").filter(not_blank("value"))
-    head = [r[0] for r in pieces.limit(2).collect()]
-    if not head or not head[0].lstrip().startswith("["):
+    broken_over_lines = F.regexp_replace("value", r"\s*,?\s*$", "").contains("\n")
+    head = pieces.select(F.substring("value", 1, 4096), broken_over_lines).limit(2).collect()
+    if not head or not head[0][0].lstrip().startswith("["):
         return text_rows(spark, path).filter(not_blank())
-    if not needs_splitting(spark, path, limit):
-        return _json_whole(spark, path)
-    lead = re.fullmatch(r"\s*\[[^\S\n]*\r?\n([ \t]*)", head[0])
+    lead = re.fullmatch(r"\s*\[[^\S\n]*\r?\n([ \t]*)", head[0][0])
     if lead is None or len(head) < 2:
-        raise IngestError("layout", "a JSON array this large needs its records on lines of their own")
-    first_object = head[1].rstrip().rstrip(",").rstrip()
-    if "\n" not in first_object:
+        raise IngestError("layout", "a JSON array read by records needs them on lines of their own")
+    if not head[1][1]:
         return _json_array_of_lines(spark, path)
     return _json_indented(spark, path, "\n" + lead.group(1) + "}")
 
@@ -70,8 +76,11 @@ def json_records(spark: SparkSession, path: str, limit: int = WHOLE_FILE_LIMIT)
 def _json_whole(spark: SparkSession, path: str) -> DataFrame:
     docs = text_rows(spark, path, whole=True).filter(not_blank())
     # Parsed as an array of text, each element keeps its own JSON; a broken document gives NULL.
+    # A file that is no array holds a record per line.
+    lines = F.filter(F.split("_raw", r"\r\n|\r|\n"), not_blank)
+    items = F.when(F.col("_raw").rlike(r"^\s*\["), F.from_json("_raw", "array<string>")).otherwise(lines)
     # The flag is a column of its own before the explode, so that no row carries its document along.
-    parsed = docs.select("_mark", "_file", F.from_json("_raw", "array<string>").alias("_items"))
+    parsed = docs.select("_mark", "_file", items.alias("_items"))
     flagged = parsed.withColumn("_broken", F.col("_items").isNull())
     return (
         flagged.select(F.explode_outer("_items").alias("_item"), "_mark", "_file", "_broken")
@@ -122,21 +131,30 @@ def _mark_word() -> Column:
     return F.substring_index("_mark", " ", 1)
 
 
-def xml_records(spark: SparkSession, path: str, tag: str, limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """One row per ``<tag>`` element of a large document; call only when ``needs_splitting``."""
+def xml_records(spark: SparkSession, path: str, tag: str) -> DataFrame:
+    """One row per ``<tag>`` element of documents in the ``records`` layout.
+
+    A piece must hold exactly one start tag.  One that holds two, because an end tag was written in
+    another way (``</tag >``), is broken, as is one with a comment that does not end in it.
+    """
     end = f"</{tag}>"
-    start = F.expr(f"regexp_instr(_raw, '<{tag}(\\\\s[^>]*)?>')")
+    begin = F.lit(rf"<{re.escape(tag)}(\s[^>]*)?>")
+    start = F.regexp_instr("_raw", begin)
+    starts = F.regexp_count("_raw", begin)
+    uncommented = F.when(F.contains("_raw", F.lit("<![CDATA[")), F.col("_raw")).otherwise(F.regexp_replace("_raw", r"(?s)<!--.*?-->", ""))
     before = F.substring(F.col("_raw"), F.lit(1), F.col("_start") - 1)
     opens = r"^\s*(?:<\?xml[^>]*\?>)?\s*<([A-Za-z_][\w.\-]*)(?:\s[^>]*)?>\s*$"
     closes = r"^\s*</([A-Za-z_][\w.\-]*)\s*>\s*$"
     return (
         text_rows(spark, path, end)
+        .withColumn("_raw", uncommented)
         .withColumn("_start", start)
         .select(
             F.when(F.col("_start") > 0, F.concat(F.substring(F.col("_raw"), F.col("_start"), F.length("_raw")), F.lit(end)))
             .otherwise(F.col("_raw"))
             .alias("_raw"),
             F.when(F.col("_raw").rlike(closes), _of_root(CLOSING, F.col("_raw"), closes))
+            .when((starts != 1) | F.contains("_raw", F.lit("<!--")), BROKEN)
             .when((F.col("_start") > 0) & ~not_blank(before), INNER)
             .when((F.col("_start") > 0) & before.rlike(opens), _of_root(FIRST, before, opens))
             .otherwise(BROKEN)

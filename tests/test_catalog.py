@@ -31,4 +31,4 @@ def test_entry(spark):
 
     outcomes = {r["outcome"]: r["n"] for r in entry.entry(spark).collect()}
     assert {"accepted", "order_exists", "no_customer", "no_delivery", "duplicate_in_batch"} <= set(outcomes)
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())

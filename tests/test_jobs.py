@@ -79,6 +79,29 @@ def test_conversion_keeps_content(spark, users, tmp_path, first, second):
     assert {tuple(r) for r in read_entity(spark, b, USER).select(*USER.columns).collect()} == set(USERS)
 
 
+@pytest.mark.parametrize("first", ["csv", "json", "xml"])
+@pytest.mark.parametrize("second", ["csv", "json", "xml"])
+def test_conversion_keeps_commas_quotes_and_line_breaks(spark, users, tmp_path, first, second):
+    a, b = str(tmp_path / f"a.{first}"), str(tmp_path / f"b.{second}")
+    odd = users.withColumn("password", F.lit('a, "b"\n<c&d>'))
+    sink.write_entity(odd, a, USER)
+    convert(spark, a, b, USER, quoted=True)
+    got = read_entity(spark, b, USER, quoted=True).select(*USER.columns)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in odd.select(*USER.columns).collect()}
+
+
+def test_conversion_raises_instead_of_losing_rows(spark, users, tmp_path):
+    source = str(tmp_path / "a.json")
+    sink.write_entity(users.withColumn("password", F.lit("a,b")), source, USER)
+    with pytest.raises(IngestError) as e:
+        convert(spark, source, str(tmp_path / "b.csv"), USER)
+    assert (e.value.reason, e.value.detail) == ("needs_quotes", "password")
+    (tmp_path / "c.csv").write_text("one,field,too\n")
+    with pytest.raises(IngestError) as e:
+        convert(spark, str(tmp_path / "c.csv"), str(tmp_path / "d.json"), USER)
+    assert e.value.reason == "field_count"
+
+
 @pytest.mark.parametrize("ext", ["csv", "json", "xml"])
 def test_an_empty_table_survives(spark, users, tmp_path, ext):
     path = str(tmp_path / f"u.{ext}")

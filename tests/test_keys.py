@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from orderflow.functions import draws
 from orderflow.operators import keys
 
 
@@ -63,3 +64,15 @@ def test_zip_pairs_by_position_and_drops_the_rest(spark):
     right = spark.createDataFrame([(30,), (10,)], "y int")
     got = keys.zip_parents(left, ["x"], right, ["y"])
     assert {(r["x"], r["y"]) for r in got.collect()} == {("a", 10), ("b", 30)}
+
+
+def test_picks_reach_beyond_32_bits(spark):
+    n = 1 << 50
+    picked = spark.range(200).select(draws.pick_below(1, "far", F.col("id"), n).alias("p"), draws.uniform(1, "far", F.col("id")).alias("u"))
+    low, high, top = picked.agg(F.min("p"), F.max("p"), F.max("u")).first()
+    assert 0 <= low and n // 2 < high < n and top < 1
+
+
+def test_buckets_grow_with_the_rows():
+    assert keys.bucket_count(0) == keys.bucket_count(10**9) == 1024
+    assert keys.bucket_count(10**12) == 10**6

@@ -144,3 +144,18 @@ def test_checking_does_not_shuffle_the_batch(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
     assert got.filter("reject_reason IS NULL").count() == 90
+
+
+@pytest.mark.parametrize("lookup_rows", [100_000, 0])
+def test_the_batch_is_scanned_once_however_many_rules_are_broken(spark, tmp_path, lookup_rows):
+    names = ["a", "b", "c", "d"]
+    batch = spark.range(200).select("id", *[F.when(F.col("id") % 7 > 0, F.col("id") % (i + 3)).alias(c) for i, c in enumerate(names)])
+    path = str(tmp_path / "batch")
+    batch.write.parquet(path)
+    stored = spark.range(2).select("id")
+    checks = [rules.must_exist(f"no_{c}", c, stored, null_fails=False) for c in names]
+    got = rules.check_rules(spark.read.parquet(path), checks, lookup_rows)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 1 + len(names)  # the batch, and the broken keys of each rule
+    want = [next((f"no_{c}" for c in names if r[c] is not None and r[c] > 1), None) for r in batch.orderBy("id").collect()]
+    assert [r["reject_reason"] for r in got.orderBy("id").collect()] == want

@@ -111,10 +111,10 @@ def test_xml_strict(spark, tmp_path):
         "nothing",
     ],
 )
-@pytest.mark.parametrize("limit", [records.WHOLE_FILE_LIMIT, 0])
-def test_xml_malformed(spark, tmp_path, xml, limit):
+@pytest.mark.parametrize("layout", records.LAYOUTS)
+def test_xml_malformed(spark, tmp_path, xml, layout):
     with pytest.raises(IngestError) as e:
-        read_entity(spark, put(tmp_path, "i.xml", xml), ITEM, limit=limit)
+        read_entity(spark, put(tmp_path, "i.xml", xml), ITEM, layout=layout)
     assert e.value.reason == "malformed"
 
 
@@ -131,9 +131,9 @@ def test_large_json_is_split_and_equal(spark, tmp_path, layout):
     path = put(tmp_path, "i.json", layout(_items(500)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        raw = records.json_records(spark, path, limit=0)
+        raw = records.json_records(spark, path, layout="records")
         assert raw.select(F.spark_partition_id()).distinct().count() > 1
-        split = rows(read_entity(spark, path, ITEM, limit=0), "id", "name")
+        split = rows(read_entity(spark, path, ITEM, layout="records"), "id", "name")
         assert split == rows(read_entity(spark, path, ITEM), "id", "name")
         assert len(split) == 500
     finally:
@@ -153,13 +153,13 @@ def test_large_json_is_split_and_equal(spark, tmp_path, layout):
 )
 def test_large_json_damage_is_noticed(spark, tmp_path, text):
     with pytest.raises(IngestError) as e:
-        read_entity(spark, put(tmp_path, "i.json", text), ITEM, limit=0)
+        read_entity(spark, put(tmp_path, "i.json", text), ITEM, layout="records")
     assert e.value.reason == "malformed"
 
 
-def test_large_json_in_one_line_is_refused_by_name(spark, tmp_path):
+def test_json_in_one_line_by_records_is_refused_by_name(spark, tmp_path):
     with pytest.raises(IngestError) as e:
-        read_entity(spark, put(tmp_path, "i.json", json.dumps(_items(3))), ITEM, limit=0)
+        read_entity(spark, put(tmp_path, "i.json", json.dumps(_items(3))), ITEM, layout="records")
     assert e.value.reason == "layout"
 
 
@@ -168,7 +168,7 @@ def test_large_xml_is_split_and_equal(spark, tmp_path):
     path = put(tmp_path, "i.xml", f'<?xml version="1.0" ?>\n<items>\n{body}\n</items>\n')
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        split = rows(read_entity(spark, path, ITEM, limit=0), "id", "name")
+        split = rows(read_entity(spark, path, ITEM, layout="records"), "id", "name")
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert split == rows(read_entity(spark, path, ITEM), "id", "name")
@@ -235,3 +235,56 @@ def test_exploded_rows_do_not_carry_their_document(spark, tmp_path, name, text,
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     above, generate = plan.split("Generate explode(")[0], plan.split("Generate explode(")[1].split("\n")[0]
     assert whole + "#" not in above.split("\n")[-2] and "), [" in generate  # the array itself is dropped
+
+
+def _read(spark, path, layout):
+    try:
+        return rows(read_entity(spark, path, ITEM, layout=layout), "id", "name")
+    except IngestError as e:
+        return e.reason
+
+
+A, B = "<item><id>1</id><name>a</name></item>", "<item><id>2</id><name>b</name></item>"
+BOTH = [(1, "a"), (2, "b")]
+
+
+@pytest.mark.parametrize(
+    ("xml", "whole", "split"),
+    [
+        (f"<items>{A}{B}</items>", BOTH, BOTH),
+        (f"<items><!-- one -->{A}<!-- two\n -->{B}<!-- three --></items>", BOTH, BOTH),
+        (f"<items>{A.replace('</item>', '</item >')}{B}</items>", BOTH, "malformed"),
+        (f"<items>{A}{B.replace('</item>', '</item >')}</items>", BOTH, "malformed"),
+        (f"<items>{A}<!-- {B} -->{B}</items>", BOTH, "malformed"),
+        (f"<items>{A}<other/>{B}</items>", BOTH, "malformed"),
+        ("", [], []),
+    ],
+)
+def test_no_xml_layout_loses_rows(spark, tmp_path, xml, whole, split):
+    path = put(tmp_path, "i.xml", xml)
+    assert _read(spark, path, "document") == whole
+    assert _read(spark, path, "records") == split
+
+
+def test_every_json_file_of_a_directory_has_its_own_layout(spark, tmp_path):
+    put(tmp_path, "d.json/a", '[{"id": 1, "name": "a"}]')
+    put(tmp_path, "d.json/b", '{"id": 2, "name": "b"}\n\n{"id": 3, "name": "c"}\n')
+    put(tmp_path, "d.json/c", "\n")
+    got = read_entity(spark, str(tmp_path / "d.json"), ITEM)
+    assert sorted(r["id"] for r in got.collect()) == [1, 2, 3]
+
+
+def test_unknown_layout(spark, tmp_path):
+    with pytest.raises(ValueError):
+        read_entity(spark, put(tmp_path, "i.json", "[]"), ITEM, layout="large")
+
+
+def test_lenient_csv_line_break_inside_quotes(spark, tmp_path):
+    path = put(tmp_path, "r.csv", f"{HEAD}\n" + FIRST.replace("Ap 1", '"12 Main\nStreet"') + f"\n{SECOND}\n")
+    got = rows(read_entity(spark, path, RESTAURANT, strict=False), "street", "city", "reject_reason")
+    assert got == [("12 Main\nStreet", "Phoenix", None), ("773, Nam", "Springs", None)]
+
+
+def test_strict_csv_quoted(spark, tmp_path):
+    path = put(tmp_path, "i.csv", '1,"a, ""b"""\n2,"c\nd"\n3,\n')
+    assert rows(read_entity(spark, path, ITEM, quoted=True), "id", "name") == [(1, 'a, "b"'), (2, "c\nd"), (3, "")]
