@@ -173,7 +173,7 @@ def typed_orders(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "typed_drivers",
     """SELECT md5('person:' || c_custkey) AS user_id, c_nationkey::BIGINT AS address_id, c_mktsegment AS first_name, c_name AS last_name,
-      '404-404-4545' AS phone, '03-12-2002' AS dob, c_custkey::VARCHAR AS license_num,
+      '200-555-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS phone, lpad((c_custkey % 12 + 1)::VARCHAR, 2, '0') || '-15-1990' AS dob, c_custkey::VARCHAR AS license_num,
       CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS rating, 'active' AS status,
       CASE WHEN c_acctbal < 0 THEN 'bad_value' END AS reject_reason, CASE WHEN c_acctbal < 0 THEN 'rating' END AS reject_detail FROM customer""",
 )
@@ -183,8 +183,8 @@ def typed_drivers(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("address_id"),
         F.col("c_mktsegment").alias("first_name"),
         F.col("c_name").alias("last_name"),
-        F.lit("404-404-4545").alias("phone"),
-        F.lit("03-12-2002").alias("dob"),
+        F.concat(F.lit("200-555-"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0")).alias("phone"),
+        F.concat(F.lpad((F.col("c_custkey") % 12 + 1).cast("string"), 2, "0"), F.lit("-15-1990")).alias("dob"),
         F.col("c_custkey").cast("string").alias("license_num"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("string")).otherwise("none").alias("rating"),
         F.lit("active").alias("status"),
@@ -203,7 +203,7 @@ def restaurant_texts(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws(" ", "p_name", "p_partkey").alias("name"),
         F.when(F.col("p_size") > 5, (F.col("p_size") / 10).cast("string")).otherwise("good").alias("rating"),
         (F.col("p_size") % 3 + 1).cast("string").alias("price_category"),
-        F.lit("407-455-4527").alias("phone"),
+        F.concat(F.lit("200-555-"), F.lpad((F.col("p_partkey") % 10000).cast("string"), 4, "0")).alias("phone"),
         F.when(F.col("p_type") == "PROMO", "1").otherwise("0").alias("is_active"),
         F.concat(F.lit("https://pictures.example.com/"), F.col("p_partkey").cast("string")).alias("picture"),
     )
@@ -212,7 +212,7 @@ def restaurant_texts(spark: SparkSession, sf: str) -> DataFrame:
 # The same records, typed.
 RESTAURANT_ROWS = """rest AS (SELECT p_partkey, p_type, p_brand, p_size, p_name || ', "' || p_brand || '"' AS street, p_type AS city, substr(p_type, 1, 2) AS state,
     lpad(p_partkey::VARCHAR, 6, '0') AS zip, md5('owner:' || p_size) AS owner_id, p_name || ' ' || p_partkey AS name,
-    CASE WHEN p_size > 5 THEN p_size / 10 END AS rating, (p_size % 3 + 1)::INT AS price_category, '407-455-4527' AS phone,
+    CASE WHEN p_size > 5 THEN p_size / 10 END AS rating, (p_size % 3 + 1)::INT AS price_category, '200-555-' || lpad((p_partkey % 10000)::VARCHAR, 4, '0') AS phone,
     CASE WHEN p_type = 'PROMO' THEN 1 ELSE 0 END::INT AS is_active, 'https://pictures.example.com/' || p_partkey AS picture,
     CASE WHEN p_size <= 5 THEN 'bad_value' END AS reject_reason, CASE WHEN p_size <= 5 THEN 'rating' END AS reject_detail FROM part)"""
 RESTAURANT_COLUMNS = ", ".join(RESTAURANT.columns)

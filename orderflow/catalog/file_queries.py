@@ -145,7 +145,7 @@ def driver_records(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("event_id") % 30).cast("string").alias("address_id"),
         kind.alias("first_name"),
         F.concat(kind, F.lit("son")).alias("last_name"),
-        F.lit("404-404-4545").alias("phone"),
+        F.concat(F.lit("200-555-"), F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0")).alias("phone"),
         F.get_json_object("props", "$.k").alias("dob"),
         F.col("event_id").cast("string").alias("license_num"),
         F.when(kind == "signup", "many").otherwise(F.col("value").cast("string")).alias("rating"),
@@ -154,7 +154,7 @@ def driver_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _DRIVER_RECORDS = """records AS (SELECT md5('person:' || user_id) AS user_id, event_id % 30 AS address_id, event_type AS first_name,
-    event_type || 'son' AS last_name, '404-404-4545' AS phone, json_extract_string(props, '$.k') AS dob, event_id::VARCHAR AS license_num,
+    event_type || 'son' AS last_name, '200-555-' || lpad((event_id % 10000)::VARCHAR, 4, '0') AS phone, json_extract_string(props, '$.k') AS dob, event_id::VARCHAR AS license_num,
     CASE WHEN event_type <> 'signup' THEN value END AS rating, CASE WHEN event_type <> 'error' THEN 'waiting' END AS status,
     CASE event_type WHEN 'error' THEN 'missing_field' WHEN 'signup' THEN 'bad_value' END AS reject_reason,
     CASE event_type WHEN 'error' THEN 'status' WHEN 'signup' THEN 'rating' END AS reject_detail FROM events)"""
