@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 
 from orderflow.catalog.column_queries import RESTAURANT_COLUMNS, RESTAURANT_ROWS, restaurant_texts
 from orderflow.catalog.registry import (
+    AFTER_ALL,
     ORDER_CTES,
     addresses,
     customers,
+    deliveries,
     drivers,
     incoming_orders,
+    incoming_users,
     order_tables,
     owners,
     person_id,
@@ -31,10 +34,12 @@ from orderflow.catalog.registry import (
     write_lines,
 )
 from orderflow.functions import casts
+from orderflow.operators import maintain
+from orderflow.operators.relational import concat_batches
 from orderflow.operators.rules import first_wins, outcome_counts
 from orderflow.plans import ingest
 from orderflow.plans.convert import convert
-from orderflow.schema import DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
+from orderflow.schema import DELETE_ORDER, DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
 from orderflow.session import stage
 from orderflow.sinks import files as sink
 from orderflow.sinks import tables as rows_for
@@ -104,11 +109,13 @@ def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-def restaurant_lines(spark: SparkSession, sf: str, order: list[str]) -> DataFrame:
-    """CSV lines of all parts: values quoted; one brand's rows are short, another's run on."""
+def restaurant_lines(spark: SparkSession, sf: str, order: list[str], only: Column | None = None, tail: str = "") -> DataFrame:
+    """CSV lines of all parts, or of ``only`` some: values quoted; one brand's rows are short, another's run on."""
     brand = F.col("p_brand")
     cells = [_quoted(F.col(c)) if c in RESTAURANT.columns else F.lit("note") for c in order]
     parts = restaurant_texts(spark, sf).withColumn("p_brand", F.regexp_extract("street", r'"(.*)"', 1))
+    parts = parts.withColumn("street", F.concat("street", F.lit(tail)))
+    parts = parts if only is None else parts.filter(only)
     full = F.concat_ws(",", *cells)
     short = F.concat_ws(",", *cells[:-2])
     return parts.select(F.when(brand == "Brand#1", short).when(brand == "Brand#2", F.concat(full, F.lit(",more,fields"))).otherwise(full).alias("line"))
@@ -123,10 +130,12 @@ _LENIENT_CSV = (
 
 @query("src_csv_header", _LENIENT_CSV)
 def src_csv_header(spark: SparkSession, sf: str) -> DataFrame:
-    """City before street, and a column nobody asked for."""
-    order = ["city", "note", "street", *RESTAURANT.columns[2:]]
+    """City before street in some files, a column nobody asked for in others, and no header in the rest."""
     path = scratch_file(spark, "restaurants.csv")
-    write_lines(restaurant_lines(spark, sf, order), path, header=",".join(order))
+    brand = F.col("p_brand")
+    orders = (["city", "street", *RESTAURANT.columns[2:]], ["street", "note", *RESTAURANT.columns[1:]], RESTAURANT.columns)
+    for k, (order, only) in enumerate(zip(orders, (brand == "Brand#1", brand == "Brand#2", ~brand.isin("Brand#1", "Brand#2")))):
+        write_lines(restaurant_lines(spark, sf, order, only), f"{path}/kind={k}", header=",".join(order) if k < 2 else None)
     return read_entity(spark, path, RESTAURANT, strict=False).select(*RESTAURANT.columns, "reject_reason")
 
 
@@ -137,6 +146,14 @@ def src_csv_headerless(spark: SparkSession, sf: str) -> DataFrame:
     return read_entity(spark, path, RESTAURANT, strict=False).select(*RESTAURANT.columns, "reject_reason")
 
 
+@query("src_csv_multiline", f"SELECT * REPLACE (street || chr(10) || 'Floor, 2' AS street) FROM ({_LENIENT_CSV})")
+def src_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    """Quoted values that go on in another line."""
+    path = scratch_file(spark, "restaurants.csv")
+    write_lines(restaurant_lines(spark, sf, RESTAURANT.columns, tail="\nFloor, 2"), path)
+    return read_entity(spark, path, RESTAURANT, strict=False).select(*RESTAURANT.columns, "reject_reason")
+
+
 def driver_records(spark: SparkSession, sf: str) -> DataFrame:
     """Every event as a driver record in text; errors have no status, sign-ups a bad rating."""
     kind = F.col("event_type")
@@ -261,15 +278,22 @@ _NEW_USERS = (
 _USER_OUTCOMES = """SELECT outcome, count(*) AS n FROM (
     SELECT CASE rn WHEN 1 THEN 'accepted' ELSE 'duplicate_email' END AS outcome FROM ranked
     UNION ALL SELECT CASE user_role WHEN 'ROLE_ADMIN' THEN 'user_exists' ELSE 'email_exists' END FROM persons
-    WHERE n NOT IN (SELECT n FROM ranked)) GROUP BY 1"""
+    WHERE n NOT IN (SELECT n FROM ranked){}) GROUP BY 1"""
+# Who comes again gets in where the first row of that id did not.
+_AGAIN = f""", again AS (SELECT * REPLACE (n + {AFTER_ALL} AS n, 'again.' || email AS email) FROM persons WHERE user_role = 'ROLE_DRIVER'),
+    second AS (SELECT *, row_number() OVER (PARTITION BY email ORDER BY n) AS rn FROM again WHERE id NOT IN (SELECT id FROM ranked WHERE rn = 1)) """
+_AGAIN_OUTCOMES = _USER_OUTCOMES.format(""" UNION ALL SELECT CASE rn WHEN 1 THEN 'accepted' ELSE 'duplicate_email' END FROM second
+    UNION ALL SELECT 'duplicate_in_batch' FROM again WHERE n NOT IN (SELECT n FROM second)""")
 
 
 @query(
     "save_users",
-    _NEW_USERS + "SELECT * FROM stored_users UNION ALL SELECT * EXCLUDE (n, rn) FROM ranked WHERE rn = 1",
+    _NEW_USERS
+    + _AGAIN
+    + "SELECT * FROM stored_users UNION ALL SELECT * EXCLUDE (n, rn) FROM ranked WHERE rn = 1 UNION ALL SELECT * EXCLUDE (n, rn) FROM second WHERE rn = 1",
 )
 def save_users(spark: SparkSession, sf: str) -> DataFrame:
-    people = persons(spark, sf).withColumn("_pos", F.col("n")).withColumn("reject_reason", F.lit(None).cast("string"))
+    people = incoming_users(spark, sf).withColumn("_pos", F.col("n")).withColumn("reject_reason", F.lit(None).cast("string"))
     stored = stored_users(spark, sf)
     checked = ingest.check_users(people, stored)
     root = _store(spark, "user", stored)
@@ -353,13 +377,40 @@ def save_restaurants(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "save_outcome",
     _NEW_USERS
-    + _USER_OUTCOMES,
+    + _AGAIN
+    + _AGAIN_OUTCOMES,
 )
 def save_outcome(spark: SparkSession, sf: str) -> DataFrame:
-    people = persons(spark, sf).withColumn("_pos", F.col("n")).withColumn("reject_reason", F.lit(None).cast("string"))
+    people = incoming_users(spark, sf).withColumn("_pos", F.col("n")).withColumn("reject_reason", F.lit(None).cast("string"))
     return outcome_counts(ingest.check_users(people, stored_users(spark, sf)))
 
 
+_STORED = {
+    "order": "incoming_orders", "restaurant": "restaurants", "owner": "owners", "delivery": "deliveries",
+    "driver": "drivers", "customer": "customers", "address": "addresses", "user": "persons",
+}
+
+
+@query(
+    "delete_all",
+    with_(*_STORED.values())
+    + " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS stored, 0::BIGINT AS remaining FROM {rows}" for name, rows in _STORED.items()),
+)
+def delete_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Store every table, delete, and count what each held and holds."""
+    made = (incoming_orders, restaurants, owners, deliveries, drivers, customers, addresses, persons)
+    root = scratch_file(spark, "store")
+    for name, rows in zip(_STORED, made):
+        append_table(rows(spark, sf), root, name)
+
+    def counts(column: str) -> DataFrame:
+        return concat_batches(*[table(spark, root, t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias(column)) for t in DELETE_ORDER])
+
+    stored = stage(counts("stored"), "stored")
+    maintain.delete_all(spark, root)
+    return stored.join(counts("remaining"), "table_name")
+
+
 # ------------------------------------------------------------------ conversion
 
 
@@ -393,7 +444,7 @@ for _pair in ("json_csv", "xml_json", "csv_xml", "csv_csv", "json_json", "xml_xm
 @query(
     "ingest_users",
     _NEW_USERS
-    + _USER_OUTCOMES,
+    + _USER_OUTCOMES.format(""),
 )
 def ingest_users(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_file(spark, "users.xml")
@@ -426,21 +477,24 @@ def ingest_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "ingest_drivers",
-    with_("customers")
-    + f""", {_DRIVER_RECORDS}, valid AS (SELECT * FROM records WHERE reject_reason IS NULL AND user_id IN (SELECT id FROM customers)
+    with_("customers", "drivers")
+    + f""", {_DRIVER_RECORDS}, fresh AS (SELECT * FROM records WHERE reject_reason IS NULL AND user_id NOT IN (SELECT id FROM drivers WHERE address_id < 5)),
+    valid AS (SELECT * FROM fresh WHERE user_id IN (SELECT id FROM customers)
       AND address_id IN (SELECT n_nationkey FROM nation))
     SELECT 'accepted' AS outcome, count(DISTINCT user_id) AS n FROM valid
     UNION ALL SELECT 'duplicate_in_batch', count(*) - count(DISTINCT user_id) FROM valid
     UNION ALL SELECT reject_reason, count(*) FROM records WHERE reject_reason IS NOT NULL GROUP BY 1
-    UNION ALL SELECT 'no_address', count(*) FROM records WHERE reject_reason IS NULL AND address_id NOT IN (SELECT n_nationkey FROM nation)
-    UNION ALL SELECT 'no_user', count(*) FROM records WHERE reject_reason IS NULL AND address_id IN (SELECT n_nationkey FROM nation)
+    UNION ALL SELECT 'driver_exists', count(*) FROM records WHERE reject_reason IS NULL AND user_id IN (SELECT id FROM drivers WHERE address_id < 5)
+    UNION ALL SELECT 'no_address', count(*) FROM fresh WHERE address_id NOT IN (SELECT n_nationkey FROM nation)
+    UNION ALL SELECT 'no_user', count(*) FROM fresh WHERE address_id IN (SELECT n_nationkey FROM nation)
       AND user_id NOT IN (SELECT id FROM customers) HAVING count(*) > 0""",
 )
 def ingest_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """Those who drive from the first addresses are stored already."""
     path = scratch_file(spark, "drivers.json")
     driver_records(spark, sf).write.json(path)
-    nobody = drivers(spark, sf).filter(F.lit(False))
-    tables = {"driver": nobody, "address": addresses(spark, sf), "user": customers(spark, sf)}
+    known = drivers(spark, sf).filter(F.col("address_id") < 5)
+    tables = {"driver": known, "address": addresses(spark, sf), "user": customers(spark, sf)}
     return ingest.ingest_drivers(spark, path, tables).outcome
 
 

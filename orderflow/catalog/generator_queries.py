@@ -30,6 +30,7 @@ from orderflow.functions import draws
 from orderflow.operators import generate
 from orderflow.operators.keys import dense_index, max_id
 from orderflow.operators.relational import concat_batches, without_match
+from orderflow.schema import TABLES
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -42,6 +43,15 @@ def _order_rows(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(F.col("o_orderkey").alias("i"))
 
 
+# Generated keys go on after the largest ones of these tables.
+_KEYS = {"address": ("nation", "n_nationkey"), "restaurant": ("supplier", "s_suppkey"), "delivery": ("orders", "o_orderkey")}
+_TOP_ADDRESS, _TOP_RESTAURANT, _TOP_DELIVERY = (f"(SELECT max({key}) FROM {name})" for name, key in _KEYS.values())
+
+
+def _tops(spark: SparkSession, sf: str) -> dict[str, int]:
+    return {made: max_id(table(spark, sf, name), key).first()["max_id"] for made, (name, key) in _KEYS.items()}
+
+
 _C = "(SELECT c_custkey AS i FROM customer)"
 _O = "(SELECT o_orderkey AS i FROM orders)"
 
@@ -187,28 +197,38 @@ def _picked(parents: str, name: str, key: str = "id") -> str:
     return f"JOIN {sql_by_hash(parents, key)} {name} ON {name}.idx = {sql_pick(f'pick-{name}', 't.i')} % (SELECT count(*) FROM {parents})"
 
 
-@query(
-    "gen_orders",
+_ORDERS_OF = (
     with_("customers", "restaurants", "deliveries")
     + f"""SELECT t.i, NULL::BIGINT AS id, customer_id.id AS customer_id, restaurant_id.id AS restaurant_id, delivery_id.id AS delivery_id,
-    substr(md5('{SEED}:confirmation:' || t.i), 1, 10) AS confirmation_code FROM (SELECT event_id AS i FROM events) t
-    {_picked("customers", "customer_id")} {_picked("restaurants", "restaurant_id")} {_picked("deliveries", "delivery_id")}""",
+    substr(md5('{SEED}:confirmation:' || t.i), 1, 10) AS confirmation_code FROM {{}} t
+    {_picked("customers", "customer_id")} {_picked("restaurants", "restaurant_id")} {_picked("deliveries", "delivery_id")}"""
 )
+
+
+@query("gen_orders", _ORDERS_OF.format("(SELECT event_id AS i FROM events)"))
 def gen_orders(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "events").select(F.col("event_id").alias("i"))
     return generate.orders(rows, SEED, customers(spark, sf), restaurants(spark, sf), deliveries(spark, sf))
 
 
-@query("gen_addresses", _addresses("any", "(SELECT max(n_nationkey) FROM nation)", _C))
+@query(
+    "gen_example",
+    _ORDERS_OF.format("(SELECT 0::BIGINT AS i)"),
+)
+def gen_example(spark: SparkSession, sf: str) -> DataFrame:
+    """One example row, its parents picked from the whole tables."""
+    return generate.orders(generate.row_numbers(spark, 1), SEED, customers(spark, sf), restaurants(spark, sf), deliveries(spark, sf))
+
+
+@query("gen_addresses", _addresses("any", _TOP_ADDRESS, _C))
 def gen_addresses(spark: SparkSession, sf: str) -> DataFrame:
-    top = max_id(table(spark, sf, "nation"), "n_nationkey").first()["max_id"]
-    return generate.addresses(_customer_rows(spark, sf), SEED, top)
+    return generate.addresses(_customer_rows(spark, sf), SEED, _tops(spark, sf)["address"])
 
 
 def _tagged(parts: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
     """Rows of several generated tables in one frame: table, key and the other values as JSON-free text."""
     frames = [
-        parts[name].select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"), F.concat_ws("|", *cols).alias("content"))
+        parts[name].select(F.lit(name).alias("table_name"), F.col("id").cast("string").alias("id"), F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("content"))
         for name, cols in columns.items()
     ]
     return concat_batches(*frames)
@@ -221,26 +241,27 @@ def _sql_tagged(sql: dict[str, str], columns: dict[str, list[str]]) -> str:
     )
 
 
-_USER_COLUMNS = ["user_role", "password", "email"]
+_USER_COLUMNS = ["user_role", "password", "email", *_FLAG_NAMES]
 _ADDRESS_COLUMNS = ["line1", "city", "state", "zip"]
 _RESTAURANTS = {
-    "address": _addresses("restaurant", "24", _C),
+    "address": _addresses("restaurant", _TOP_ADDRESS, _C),
     "user": _users("owner", "'ROLE_EMPLOYEE'", _C),
     "owner": f"SELECT {sql_uuid4('user-owner', 'i')} AS id FROM {_C}",
-    "restaurant": f"""SELECT i + 100 + 1 AS id, i + 24 + 1 AS address_id, {sql_uuid4("user-owner", "i")} AS owner_id,
+    "restaurant": f"""SELECT i + {_TOP_RESTAURANT} + 1 AS id, i + {_TOP_ADDRESS} + 1 AS address_id, {sql_uuid4("user-owner", "i")} AS owner_id,
       {_letters("restaurant-name", 24)} AS name, 5.0::DOUBLE AS rating FROM {_C}""",
 }
 _RESTAURANT_COLUMNS = {
     "address": _ADDRESS_COLUMNS,
     "user": _USER_COLUMNS,
     "owner": ["id"],
-    "restaurant": ["address_id", "owner_id", "name"],
+    "restaurant": ["address_id", "owner_id", "name", "rating"],
 }
 
 
 @query("gen_restaurants_deps", _sql_tagged(_RESTAURANTS, _RESTAURANT_COLUMNS))
 def gen_restaurants_deps(spark: SparkSession, sf: str) -> DataFrame:
-    made = generate.restaurants_with_parents(_customer_rows(spark, sf), SEED, 24, 100)
+    tops = _tops(spark, sf)
+    made = generate.restaurants_with_parents(_customer_rows(spark, sf), SEED, tops["address"], tops["restaurant"])
     return _tagged(made, _RESTAURANT_COLUMNS)
 
 
@@ -260,8 +281,8 @@ def gen_customers(spark: SparkSession, sf: str) -> DataFrame:
 _N = "(SELECT count(*) FROM customer)"
 _DRIVERS = {
     "user": _users("driver", "'ROLE_DRIVER'", _C),
-    "address": _addresses("driver", "24", _C),
-    "driver": f"""SELECT {sql_uuid4("user-driver", "i")} AS id, {sql_pick("driver-address", "i")} % {_N} + 24 + 1 AS address_id,
+    "address": _addresses("driver", _TOP_ADDRESS, _C),
+    "driver": f"""SELECT {sql_uuid4("user-driver", "i")} AS id, {sql_pick("driver-address", "i")} % {_N} + {_TOP_ADDRESS} + 1 AS address_id,
       {_letters("driver-first", 10)} AS first_name, {_letters("driver-last", 10)} AS last_name, {_phone_bracketed()} AS phone,
       {_letters("licence-head", 1, draws.UPPER)} || {_letters("licence-tail", 7)} AS license_num, 'ACTIVE' AS status FROM {_C}""",
 }
@@ -275,16 +296,18 @@ _DRIVER_COLUMNS = {
 @query("gen_drivers_deps", _sql_tagged(_DRIVERS, _DRIVER_COLUMNS))
 def gen_drivers_deps(spark: SparkSession, sf: str) -> DataFrame:
     rows = _customer_rows(spark, sf)
-    return _tagged(generate.drivers_with_parents(rows, SEED, 24, rows.count()), _DRIVER_COLUMNS)
+    return _tagged(generate.drivers_with_parents(rows, SEED, _tops(spark, sf)["address"], rows.count()), _DRIVER_COLUMNS)
 
 
 _DELIVERIES = {
+    "user": _DRIVERS["user"],
     "driver": _DRIVERS["driver"],
-    "address": f"{_DRIVERS['address']} UNION ALL {_addresses('delivery', f'24 + {_N}', _C)}",
-    "delivery": f"""SELECT i + 1 + 1 AS id, {sql_pick("delivery-address", "i")} % {_N} + 24 + {_N} + 1 AS address_id,
+    "address": f"{_DRIVERS['address']} UNION ALL {_addresses('delivery', f'{_TOP_ADDRESS} + {_N}', _C)}",
+    "delivery": f"""SELECT i + {_TOP_DELIVERY} + 1 AS id, {sql_pick("delivery-address", "i")} % {_N} + {_TOP_ADDRESS} + {_N} + 1 AS address_id,
       {sql_uuid4("user-driver", f"({sql_pick('delivery-driver', 'i')} % {_N})")} AS driver_id FROM {_C}""",
 }
 _DELIVERY_COLUMNS = {
+    "user": _USER_COLUMNS,
     "driver": _DRIVER_COLUMNS["driver"],
     "address": _ADDRESS_COLUMNS,
     "delivery": ["address_id", "driver_id"],
@@ -294,29 +317,37 @@ _DELIVERY_COLUMNS = {
 @query("gen_deliveries", _sql_tagged(_DELIVERIES, _DELIVERY_COLUMNS))
 def gen_deliveries(spark: SparkSession, sf: str) -> DataFrame:
     rows = _customer_rows(spark, sf)
-    return _tagged(generate.deliveries_with_parents(rows, SEED, 24, 1, rows.count()), _DELIVERY_COLUMNS)
+    tops = _tops(spark, sf)
+    return _tagged(generate.deliveries_with_parents(rows, SEED, tops["address"], tops["delivery"], rows.count()), _DELIVERY_COLUMNS)
 
 
 @query(
     "gen_dependency_set",
     """WITH c AS (SELECT count(*) AS n FROM customer), r AS (SELECT count(*) AS n FROM supplier), d AS (SELECT count(*) AS n FROM orders)
-    SELECT 'user' AS table_name, c.n + r.n + d.n AS n, c.n + r.n + d.n AS n_ids FROM c, r, d UNION ALL SELECT 'customer', n, n FROM c
+    SELECT *, 0::BIGINT AS n_dangling FROM (SELECT 'user' AS table_name, c.n + r.n + d.n AS n, c.n + r.n + d.n AS n_ids FROM c, r, d UNION ALL SELECT 'customer', n, n FROM c
     UNION ALL SELECT 'owner', n, n FROM r UNION ALL SELECT 'restaurant', n, n FROM r
-    UNION ALL SELECT 'address', r.n + 2 * d.n, r.n + 2 * d.n FROM r, d UNION ALL SELECT 'driver', n, n FROM d UNION ALL SELECT 'delivery', n, n FROM d""",
+    UNION ALL SELECT 'address', r.n + 2 * d.n, r.n + 2 * d.n FROM r, d UNION ALL SELECT 'driver', n, n FROM d UNION ALL SELECT 'delivery', n, n FROM d)""",
 )
 def gen_dependency_set(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows and distinct keys per generated table."""
+    """Rows, distinct keys and references to nothing per generated table."""
     suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("i"))
     orders = _order_rows(spark, sf)
     made = generate.dependency_set(
-        _customer_rows(spark, sf), suppliers, orders, SEED, suppliers.count(), orders.count(), {"address": 24, "restaurant": 100, "delivery": 1}
+        _customer_rows(spark, sf), suppliers, orders, SEED, suppliers.count(), orders.count(), _tops(spark, sf)
     )
     # Keys are 16 bytes of digest or dense numbers: grouping them is a shuffle of ids only.
     sizes = [
         df.groupBy("id").agg(F.count(F.lit(1)).alias("c")).agg(F.lit(name).alias("table_name"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_ids"))
         for name, df in made.items()
     ]
-    return concat_batches(*sizes)
+    loose = [
+        df.join(made[fk.parent].select(F.col(fk.parent_column).alias(fk.column)), fk.column, "left_anti").select(F.lit(name).alias("table_name"))
+        for name, df in made.items()
+        for fk in TABLES[name].foreign_keys
+        if fk.parent in made
+    ]
+    dangling = concat_batches(*loose).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_dangling"))
+    return concat_batches(*sizes).join(dangling, "table_name", "left").fillna(0, ["n_dangling"])
 
 
 # ------------------------------------------------------------------ from seed lists
@@ -358,7 +389,7 @@ _SEED_RESTAURANTS = (
 @query(
     "gen_restaurants_seed",
     _SEED_RESTAURANTS
-    + f"""SELECT i + 100 + 1 AS id, i + 24 + 1 AS address_id, owner_id, name, {_rating("i")} AS rating, ({sql_pick("price", "i")} % 3 + 1)::INT AS price_category,
+    + f"""SELECT i + {_TOP_RESTAURANT} + 1 AS id, i + {_TOP_ADDRESS} + 1 AS address_id, owner_id, name, {_rating("i")} AS rating, ({sql_pick("price", "i")} % 3 + 1)::INT AS price_category,
       {_phone_dashed("i")} AS phone, {sql_pick("active", "i")} % 2 = 0 AS is_active, address AS line1, '' AS line2, city, state, zip FROM made""",
 )
 def gen_restaurants_seed(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,5 +400,6 @@ def gen_restaurants_seed(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("UT").alias("state"), F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("zip"),
     )
     names = table(spark, sf, "part").select(F.col("p_name").alias("name")).distinct()
-    made = generate.restaurants_from_seed(rows, SEED, places, names, owners(spark, sf), 24, 100)
+    tops = _tops(spark, sf)
+    made = generate.restaurants_from_seed(rows, SEED, places, names, owners(spark, sf), tops["address"], tops["restaurant"])
     return made["restaurant"].join(made["address"].withColumnRenamed("id", "address_id"), "address_id")

@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 SEED = 42
+AFTER_ALL = 1 << 40  # added to a position, it comes after all others
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -89,7 +90,17 @@ def persons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_users(spark: SparkSession, sf: str) -> DataFrame:
-    return persons(spark, sf).filter(F.col("user_role") == "ROLE_ADMIN").drop("n")
+    """The admins, and some employees under other ids; all e-mails are stored in capitals."""
+    other = F.when(F.col("account_non_locked"), F.md5(F.concat(F.lit("stored:"), F.col("n").cast("string"))))
+    held = F.when(F.col("user_role") == "ROLE_ADMIN", F.col("id")).when(F.col("user_role") == "ROLE_EMPLOYEE", other)
+    return persons(spark, sf).withColumn("id", held).filter(F.col("id").isNotNull()).withColumn("email", F.upper("email")).drop("n")
+
+
+def incoming_users(spark: SparkSession, sf: str) -> DataFrame:
+    """All persons, then the drivers once more under the same ids with other e-mails."""
+    people = persons(spark, sf)
+    again = people.filter(F.col("user_role") == "ROLE_DRIVER").withColumn("n", F.col("n") + AFTER_ALL)
+    return people.unionByName(again.withColumn("email", F.concat(F.lit("again."), F.col("email"))))
 
 
 def customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +184,9 @@ CTES = {
         lower(c_mktsegment) || '.' || floor(c_acctbal)::BIGINT || '@mail.com' AS email,
         c_acctbal >= 0 AS enabled, c_acctbal >= 1000 AS confirmed, c_nationkey < 20 AS account_non_expired,
         c_nationkey < 10 AS account_non_locked, c_acctbal < 5000 AS credentials_non_expired FROM customer)""",
-    "stored_users": "stored_users AS (SELECT * EXCLUDE (n) FROM persons WHERE user_role = 'ROLE_ADMIN')",
+    "stored_users": """stored_users AS (SELECT * EXCLUDE (n) REPLACE (upper(email) AS email,
+        CASE user_role WHEN 'ROLE_ADMIN' THEN id ELSE md5('stored:' || n) END AS id) FROM persons
+        WHERE user_role = 'ROLE_ADMIN' OR (user_role = 'ROLE_EMPLOYEE' AND account_non_locked))""",
     "customers": "customers AS (SELECT md5('person:' || c_custkey) AS id FROM customer WHERE c_acctbal >= 0)",
     "addresses": """addresses AS (SELECT n_nationkey::BIGINT AS id, n_name AS line1, '' AS line2, r_name AS city,
         substr(r_name, 1, 2) AS state, lpad(n_nationkey::VARCHAR, 5, '0') AS zip

@@ -338,32 +338,31 @@ def delete_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _menu(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Suppliers' nations as addresses, suppliers as restaurants, and the dear order lines as the
-    menu items that hold a restaurant back."""
-    items = table(spark, sf, "lineitem").filter(F.col("l_extendedprice") > 99000)
+    """Customers as addresses, their orders as restaurants, and order lines as menu items, of which
+    returned seventh lines refer to their restaurant and hold it back."""
+    kept = (F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
     return {
-        "address": table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("line1")),
-        "restaurant": table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").cast("long").alias("address_id")),
-        "menuitem": items.select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("restaurant_id")),
+        "address": table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("line1")),
+        "restaurant": table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("address_id")),
+        "menuitem": table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"), F.when(kept, F.col("l_orderkey")).alias("restaurant_id")),
     }
 
 
-_MENU = """WITH doomed AS (SELECT n_nationkey::BIGINT AS id FROM nation WHERE n_regionkey IN (1, 2)),
-    stuck AS (SELECT DISTINCT s_nationkey::BIGINT AS id FROM supplier WHERE s_nationkey IN (SELECT id FROM doomed)
-      AND s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_extendedprice > 99000)),
+_MENU = """WITH doomed AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal < 0),
+    stuck AS (SELECT DISTINCT o_custkey AS id FROM orders WHERE o_custkey IN (SELECT id FROM doomed)
+      AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 7 AND l_returnflag = 'R')),
     gone AS (SELECT id FROM doomed WHERE id NOT IN (SELECT id FROM stuck)) """
 
 
 def _doomed(spark: SparkSession, sf: str) -> DataFrame:
-    nation = table(spark, sf, "nation").filter(F.col("n_regionkey").isin(1, 2))
-    return nation.select(F.col("n_nationkey").cast("long").alias("id"))
+    return table(spark, sf, "customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("id"))
 
 
 @query(
     "cascade_delete",
     _MENU
-    + """SELECT 'address' AS table_name, n_nationkey::BIGINT AS id FROM nation WHERE n_nationkey NOT IN (SELECT id FROM gone)
-    UNION ALL SELECT 'restaurant', s_suppkey FROM supplier WHERE s_nationkey NOT IN (SELECT id FROM gone)""",
+    + """SELECT 'address' AS table_name, c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT id FROM gone)
+    UNION ALL SELECT 'restaurant', o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT id FROM gone)""",
 )
 def cascade_delete(spark: SparkSession, sf: str) -> DataFrame:
     left = maintain.cascade_delete(_doomed(spark, sf), "address", _menu(spark, sf))

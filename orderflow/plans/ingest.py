@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +33,14 @@ Tables = dict[str, DataFrame]
 
 @dataclass(frozen=True)
 class Ingest:
-    """Checked rows and, per table, the rows to append."""
+    """Checked rows and, per table, the rows to append, which are planned when first asked for."""
 
     rows: DataFrame
-    inserts: Tables
+    plan_inserts: Callable[[], Tables]
+
+    @cached_property
+    def inserts(self) -> Tables:
+        return self.plan_inserts()
 
     @property
     def rejected(self) -> DataFrame:
@@ -100,24 +105,23 @@ def _read(spark: SparkSession, path: str, entity: Entity, strict: bool, **option
 
 def ingest_users(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
     rows = check_users(_read(spark, path, USER, strict, **options), tables["user"])
-    return Ingest(rows, {"user": sink.user_rows(_good(rows))})
+    return Ingest(rows, lambda: {"user": sink.user_rows(_good(rows))})
 
 
 def ingest_orders(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
     rows = check_orders(_read(spark, path, ORDER, strict, **options), tables)
-    return Ingest(rows, {"order": sink.order_rows(_good(rows), tables["order"], ["_pos"])})
+    return Ingest(rows, lambda: {"order": sink.order_rows(_good(rows), tables["order"], ["_pos"])})
 
 
 def ingest_drivers(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
     rows = check_drivers(_read(spark, path, DRIVER, strict, **options), tables)
-    return Ingest(rows, {"driver": sink.driver_rows(_good(rows))})
+    return Ingest(rows, lambda: {"driver": sink.driver_rows(_good(rows))})
 
 
 def ingest_restaurants(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
     """Addresses are made for accepted restaurants only."""
     rows = check_restaurants(_read(spark, path, RESTAURANT, strict, **options), tables)
-    parts = sink.address_and_restaurant_rows(_good(rows), tables["address"], tables["restaurant"], ["_pos"])
-    return Ingest(rows, parts)
+    return Ingest(rows, lambda: sink.address_and_restaurant_rows(_good(rows), tables["address"], tables["restaurant"], ["_pos"]))
 
 
 def ingest_with(

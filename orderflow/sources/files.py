@@ -13,6 +13,9 @@ Both return the entity's columns typed, plus ``_file``, ``_pos``, ``reject_reaso
 from __future__ import annotations
 
 import csv
+import re
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +58,7 @@ def csv_strict(spark: SparkSession, path: str, columns: list[str], quoted: bool
             *[F.coalesce(F.col(f"_c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)],
             _null_text().alias("_mark"),
             "_file",
-            "_pos",
+            F.monotonically_increasing_id().alias("_pos"),
             F.when(uneven, F.lit("field_count")).alias("reject_reason"),
             F.when(uneven, F.col("_arity").cast("string")).alias("reject_detail"),
         )
@@ -71,16 +74,24 @@ def csv_strict(spark: SparkSession, path: str, columns: list[str], quoted: bool
     )
 
 
-def csv_header(spark: SparkSession, path: str, columns: list[str]) -> list[str] | None:
-    """The first line as column names when it holds all required ones, else None."""
-    first = spark.read.text(path).filter(records.not_blank("value")).limit(1).collect()
-    if not first:
-        return None
-    names = next(csv.reader([first[0][0]]))
-    return names if set(columns) <= set(names) else None
-
+def csv_headers(spark: SparkSession, path: str, columns: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path`` by header, those whose first line does not name every column under ``()``.
 
-def _csv_scan(spark: SparkSession, path: str, width: int, multi_line: bool) -> DataFrame:
+    What comes to the driver is a name per file, as in Spark's own listing, and the lines that may be headers.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
+    lines = lines.filter((F.col("_start") == 0) & records.not_blank("value")).withColumn("_at", F.monotonically_increasing_id())
+    first = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("line"))
+    may_be = all_of(F.contains("line", F.lit(c)) for c in columns)
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.select("_file", F.when(may_be, F.col("line")).alias("line")).orderBy("_file").collect():
+        names = next(csv.reader([r["line"]])) if r["line"] is not None else []
+        escaped = re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(r["_file"]))  # a file name is not a pattern
+        found.setdefault(tuple(names) if set(columns) <= set(names) else (), []).append(escaped)
+    return found
+
+
+def _csv_scan(spark: SparkSession, path: str | list[str], width: int, multi_line: bool, header: bool = False) -> DataFrame:
     """Quoted CSV as columns ``_c0``, ``_c1``, ... with the number of fields a row really has."""
     slots = [f"_c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, _BAD]])
@@ -89,6 +100,7 @@ def _csv_scan(spark: SparkSession, path: str, width: int, multi_line: bool) -> D
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD)
         .csv(path)
@@ -100,39 +112,35 @@ def _csv_scan(spark: SparkSession, path: str, width: int, multi_line: bool) -> D
         *slots,
         arity.alias("_arity"),
         F.col("_metadata.file_path").alias("_file"),
-        F.monotonically_increasing_id().alias("_pos"),
     )
 
 
 def csv_lenient(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
-    """Quoted CSV, with or without header; the header decides the order, resolved by name.
+    """Quoted CSV; each file has a header or none, and its own decides its column order, resolved by name.
 
-    Values may hold line breaks inside quotes, at the price of one task per file.  Without ``multi_line``
-    files are split, for text known to have none.
+    Only the first row of a file can be its header.  Files of one header are read together.  Values may
+    hold line breaks inside quotes, at the price of one task per file.  Without ``multi_line`` files are
+    split, for text known to have none.
     """
-    header = csv_header(spark, path, columns)
-    names = header or columns
-    needed = max(names.index(c) for c in columns) + 1
-    # Positions, not names, key the scan, so a repeated or odd header name does no harm.
-    slots = [f"_c{i}" for i in range(len(names))]
-    rows = _csv_scan(spark, path, len(names), multi_line)
-    odd_header = F.lit(False)
-    if header is not None:
-        # Every file of a directory starts with the header; one in another order must not pass.
-        named = F.col(slots[0]).isin(names)
-        same = all_of(F.col(s) == n for s, n in zip(slots, names))
-        rows = rows.filter(~F.coalesce(named & same, F.lit(False)))
-        values = F.array(*slots)
-        odd_header = F.coalesce(named & all_of(F.array_contains(values, c) for c in columns), F.lit(False))
-    short = F.col("_arity") < needed
-    return rows.select(
+    found = csv_headers(spark, path, columns) or {(): []}
+    parts = []
+    for header, files in sorted(found.items()):
+        names = list(header) or columns
+        needed = max(names.index(c) for c in columns) + 1
+        # Positions, not names, key the scan, so a repeated or odd header name does no harm.
+        rows = _csv_scan(spark, files if len(found) > 1 else path, len(names), multi_line, bool(header))
+        short = F.col("_arity") < needed
         # an empty field is empty text here, not an absent one
-        *[F.when(~short, F.coalesce(F.col(slots[names.index(c)]), F.lit(""))).alias(c) for c in columns],
+        values = [F.when(~short, F.coalesce(F.col(f"_c{names.index(c)}"), F.lit(""))).alias(c) for c in columns]
+        parts.append(rows.select(*values, "_file", short.alias("_short"), F.when(short, F.col("_arity").cast("string")).alias("reject_detail")))
+    # numbered after the union, or files of different headers would share numbers
+    return reduce(DataFrame.unionByName, parts).select(
+        *columns,
         _null_text().alias("_mark"),
         "_file",
-        "_pos",
-        F.when(odd_header, F.lit("malformed")).when(short, F.lit("short_row")).alias("reject_reason"),
-        F.when(short, F.col("_arity").cast("string")).alias("reject_detail"),
+        F.monotonically_increasing_id().alias("_pos"),
+        F.when(F.col("_short"), F.lit("short_row")).alias("reject_reason"),
+        "reject_detail",
     )
 
 

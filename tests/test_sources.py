@@ -197,11 +197,25 @@ def test_lenient_csv_without_header_keeps_the_first_row(spark, tmp_path):
     assert got == [("Phoenix", "Ap 1", None), ("Springs", "773, Nam", None)]
 
 
-def test_lenient_csv_header_in_another_order_in_a_second_file(spark, tmp_path):
-    put(tmp_path, "r.csv/a", f"{HEAD}\n{FIRST}\n{FIRST}\n{FIRST}\n")
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_lenient_csv_header_holds_for_its_own_file_and_first_row_alone(spark, tmp_path, multi_line):
+    put(tmp_path, "r.csv/a [1]", f"{HEAD}\n{FIRST}\n{HEAD}\n")
     put(tmp_path, "r.csv/b", HEAD.replace("city,street", "street,city") + f"\n{FIRST}\n")
-    with pytest.raises(IngestError):
-        read_entity(spark, str(tmp_path / "r.csv"), RESTAURANT, strict=False)
+    put(tmp_path, "r.csv/c", f"{SECOND}\n")
+    found = read_entity(spark, str(tmp_path / "r.csv"), RESTAURANT, strict=False, multi_line=multi_line)
+    assert sorted(tuple(r) for r in found.select("street", "city", F.coalesce("reject_reason", F.lit(""))).collect()) == [
+        ("Ap 1", "Phoenix", ""),
+        ("Phoenix", "Ap 1", ""),
+        ("Springs", "773, Nam", ""),
+        ("street", "city", "bad_value"),
+    ]
+    assert found.select("_pos").distinct().count() == 4
+
+
+def test_lenient_csv_values_may_hold_line_breaks(spark, tmp_path):
+    path = put(tmp_path, "r.csv", f"{FIRST}\n" + FIRST.replace("Ap 1", '"Ap\n""1"""') + "\n")
+    got = rows(read_entity(spark, path, RESTAURANT, strict=False), "street", "city", "reject_reason")
+    assert got == [("Phoenix", "Ap 1", None), ("Phoenix", 'Ap\n"1"', None)]
 
 
 def test_lenient_empty_csv_is_an_empty_table(spark, tmp_path):
