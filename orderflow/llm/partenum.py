@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.common import documents, hash_sample
 from orderflow.llm.shingles import digests, mix, slices
+from orderflow.operators.skew import left_join_unique
 from orderflow.session import stage
 
 SAMPLE = 20_000  # texts that tell which shingles are common
@@ -330,7 +331,10 @@ def join(docs: DataFrame) -> DataFrame:
 
     # groups beyond a chunk meet chunk by chunk, so that no task holds a whole one
     sizes = members.groupBy("centre").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
-    place = members.join(sizes, "centre").withColumn("mine", F.pmod(F.hash("member"), "chunks").cast("long"))
+    large = stage(sizes.filter("chunks > 1").select(F.col("centre").alias("hot"), "chunks"), "join-large")
+    # only groups beyond a chunk are looked up, so members are not dealt out by their centre while these are few
+    place = left_join_unique(members, large, F.col("centre"), "hot", large.count()).withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+    place = place.withColumn("mine", F.pmod(F.hash("member"), "chunks").cast("long"))
     place = place.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     place = place.select("centre", "member", "mine", F.least("mine", "met").alias("low"), F.greatest("mine", "met").alias("high"))
     place = stage(place.join(wanted.select("rep", F.col("d1").alias("member"), "d2", "n"), "member").withColumnRenamed("member", "d1"), "join-places")
