@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderflow.llm import bpe_codec, chat, packing, pii, token_counts, toxicity
+from orderflow.llm import bpe_codec, chat, packing, pii, queries, token_counts, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -106,6 +106,25 @@ def test_chat_round_trip(spark):
     assert chat.format_chats(chats.limit(0)).count() == 0
 
 
+def test_chat_escapes_every_control_string(spark):
+    texts = [queries.CHECK_TEXT, "[INST]", "</s>", "a\u00e9\U0001f600 [/INST] <\\s> <s>", "plain \u00e9", ""]
+    rows = [(-1, t, role, queries.CHECK_TEXT) for t, role in enumerate(["user", "assistant"])]
+    rows += [(c, t, ["assistant", "user", "\u00e9</s>"][(c + t) % 3], texts[(c + t) % len(texts)]) for c in range(3) for t in range(12)]
+    out = {r.conv_id: r for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    escaped = "<\\/s>[\\INST] ok [\\/INST]"
+    assert out[-1].formatted == f"<s>user [INST] {escaped} [/INST]</s><s>assistant [INST] {escaped} [/INST]</s>"
+    for conv, r in out.items():
+        own = [x for x in rows if x[0] == conv]
+        for control in ("<s>", "</s>", "[INST]", "[/INST]"):
+            assert r.formatted.count(control) == len(own)
+        cuts = [r.formatted.encode()[m.start : m.end].decode() for m in r.loss_mask]
+        assert [re.sub(r"([<\[])\\(\\*)(?=/?(s>|INST\]))", r"\1\2", c) for c in cuts] == [x[3] for x in own if x[2] == "assistant"]
+    for r in chat.digests(spark.createDataFrame(list(out.values()))).collect():
+        spoken = "".join(x[3] for x in rows if x[0] == r.conv_id and x[2] == "assistant")
+        assert (r.loss_chars, r.loss_sha256) == (len(spoken), hashlib.sha256(spoken.encode()).hexdigest())
+        assert r.formatted_chars == len(out[r.conv_id].formatted)
+
+
 def _luhn(digits):
     total = 0
     for i, d in enumerate(reversed(digits)):
