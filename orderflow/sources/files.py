@@ -167,8 +167,56 @@ def json_rows(spark: SparkSession, path: str, columns: list[str], layout: str =
     return _unpacked(rows.withColumn("_rec", parsed), columns)
 
 
-def xml_rows(spark: SparkSession, path: str, tag: str, columns: list[str], layout: str = LAYOUTS[0]) -> DataFrame:
-    options = {"columnNameOfCorruptRecord": _BAD, "rowTag": tag, "ignoreSurroundingSpaces": "false"}
+# No name in XML holds a blank, so no child is taken for this column.
+_CHILDREN = "any child"
+_CDATA, _CDATA_END = "<![CDATA[", "]]>"
+# CDATA sections, comments, start tags with values in quotes, and what lies between them
+_XML_PARTS = r"""(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<[^\s<>"'!?/][^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)+>|.+?(?=<|\z)"""
+_TAG_PARTS = r""""[^"]*"|'[^']*'|[^"']+"""
+
+
+def _escaped_twice(xml: Column) -> Column:
+    """A document whose texts are still escaped after one parse that unescapes them and puts values in double quotes."""
+
+    def replaced(text: Column, *pairs: tuple[str, str]) -> Column:
+        return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+
+    def value(c: Column) -> Column:
+        return F.when(c.startswith("'"), replaced(c, ("&", "&amp;"), ('"', "&amp;quot;"))).otherwise(replaced(c, ("&", "&amp;")))
+
+    def part(c: Column) -> Column:
+        inner = F.substring(c, F.lit(len(_CDATA) + 1), F.length(c) - len(_CDATA + _CDATA_END))
+        tag = F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_TAG_PARTS), F.lit(0)), value), "")
+        section = replaced(inner, ("&", "&amp;amp;"), ("<", "&amp;lt;"), (">", "&amp;gt;"))
+        return F.when(c.startswith(_CDATA), section).when(c.rlike(r"^<[^!?/]") & c.endswith(">"), tag).otherwise(replaced(c, ("&", "&amp;")))
+
+    parts = F.transform(F.regexp_extract_all(xml, F.lit(_XML_PARTS), F.lit(0)), part)
+    special = F.contains(xml, F.lit(_CDATA)) | xml.rlike(r"""=\s*'[^'<]*["]""")
+    return F.when(special, F.array_join(parts, "")).otherwise(replaced(xml, ("&", "&amp;")))
+
+
+def _xml_children(docs: DataFrame, columns: list[str], options: dict[str, str]) -> DataFrame:
+    """Every child of the root is a record, whatever its tag."""
+    schema = T.StructType([T.StructField(_CHILDREN, T.ArrayType(T.StringType())), T.StructField(_BAD, T.StringType())])
+    # The wildcard gives what is inside each child, in order, with its texts unescaped once.
+    doc = F.from_xml(_escaped_twice(F.col("_raw")), schema, {**options, "wildcardColName": _CHILDREN})
+    broken = F.col("_doc").isNull() | F.col(f"_doc.{_BAD}").isNotNull()
+    parsed = docs.withColumn("_doc", doc).select("_mark", "_file", F.col("_doc").getField(_CHILDREN).alias("_children"), broken.alias("_broken"))
+    children = (
+        parsed.select(F.explode_outer("_children").alias("_child"), "_mark", "_file", "_broken")
+        .filter(F.col("_broken") | F.col("_child").isNotNull())
+        .select("_mark", "_file", F.monotonically_increasing_id().alias("_pos"), F.concat(F.lit("<_>"), "_child", F.lit("</_>")).alias("_raw"))
+    )
+    return _unpacked(children.withColumn("_rec", F.from_xml("_raw", _text_struct(columns), options)), columns)
+
+
+def xml_rows(spark: SparkSession, path: str, tag: str | None, columns: list[str], layout: str = LAYOUTS[0]) -> DataFrame:
+    """Rows of the elements ``tag``; without a tag, which the ``document`` layout alone allows, of every child of the root."""
+    options = {"columnNameOfCorruptRecord": _BAD, "ignoreSurroundingSpaces": "false"}
+    if tag is None:
+        docs = records.text_rows(spark, path, whole=True).filter(records.not_blank())
+        return _xml_children(docs, columns, options)
+    options["rowTag"] = tag
     if records.known_layout(layout) == "records":
         rows = records.xml_records(spark, path, tag)
         return _unpacked(rows.withColumn("_rec", F.from_xml("_raw", _text_struct(columns), options)), columns)
@@ -267,6 +315,8 @@ def raw_rows(
     """Untyped rows of any of the three formats, chosen by the file extension.
 
     ``layout`` concerns JSON and XML (see ``records``), ``quoted`` strict and ``multi_line`` lenient CSV.
+    ``tag`` names the records of strict XML and of the ``records`` layout, which raises on other children;
+    lenient XML documents are read without it: every child of the root is a record.
     """
     ext = format or extension_of(path)
     if ext == "csv":
@@ -274,7 +324,8 @@ def raw_rows(
     if ext == "json":
         return json_rows(spark, path, entity.columns, layout)
     if ext == "xml":
-        return xml_rows(spark, path, tag or entity.name, entity.columns, layout)
+        every = not strict and records.known_layout(layout) == "document"
+        return xml_rows(spark, path, None if every else tag or entity.name, entity.columns, layout)
     raise IngestError("unsupported_format", ext)
 
 

@@ -280,6 +280,20 @@ def test_no_xml_layout_loses_rows(spark, tmp_path, xml, whole, split):
     assert _read(spark, path, "records") == split
 
 
+def test_lenient_xml_takes_every_child_of_the_root(spark, tmp_path):
+    xml = """<?xml version="1.0"?><items v="1">{}<other><name>a &lt; b &amp;amp; c</name><id k='x"y' m="it's &gt;">3</id></other> text <!-- <item/> -->
+        <third a='p"q'><id>4</id><name><![CDATA[<x> & &lt; <![CDATA[ "]]></name></third>{}<other><id>5</id></other><item/></items>"""
+    path = put(tmp_path, "i.xml", xml.format(A, B))
+    got = rows(read_entity(spark, path, ITEM, strict=False), "id", "name", "reject_reason", "reject_detail")
+    texts = {3: "a < b &amp; c", 4: '<x> & &lt; <![CDATA[ "'}
+    assert got[:4] == [(1, "a", None, None), (3, texts[3], None, None), (4, texts[4], None, None), (2, "b", None, None)]
+    assert got[4:] == [(5, None, "missing_field", "name"), (None, None, "missing_field", "id")]
+    for layout, broken in (("records", xml.format(A, B)), ("document", xml.format(A, "<other><name>a & b</name></other>"))):
+        with pytest.raises(IngestError) as e:
+            read_entity(spark, put(tmp_path, "j.xml", broken), ITEM, strict=False, layout=layout)
+        assert e.value.reason == "malformed"
+
+
 def test_every_json_file_of_a_directory_has_its_own_layout(spark, tmp_path):
     put(tmp_path, "d.json/a", '[{"id": 1, "name": "a"}]')
     put(tmp_path, "d.json/b", '{"id": 2, "name": "b"}\n\n{"id": 3, "name": "c"}\n')
