@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.llm import packing, partenum, pii, toxicity
+from orderflow.operators.keys import dense_index
 from orderflow.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,18 +26,30 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.keep_clean(docs, model)
 
 
+def _by_text(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_text_key``: the id, or where ids repeat the rank of id and text, so that each text has its own."""
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").count()
+    if ids.filter("count > 1").isEmpty():
+        return docs.withColumn("_text_key", F.col("doc_id").cast("long"))
+    digested = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    ranks = dense_index(digested.filter("doc_id is not null").select("doc_id", "_digest").distinct(), ["doc_id", "_digest"], "_text_key")
+    return stage(digested.join(ranks, ["doc_id", "_digest"], "left").select(*docs.columns, "_text_key"), "pipeline-keys")
+
+
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document whose id names the group stays, and of its rows one.
+    """Of each group of near copies one row stays, of the smallest id and under it of the smallest digest of its text.
 
-    Documents without words, or without id, are in no group and stay.
+    Rows without words, or without id, are in no group and stay, all of them.
     """
-    found = partenum.join(docs).filter(F.col("n_shingles") > 0).filter("doc_id is not null")
+    keyed = _by_text(docs)
+    found = partenum.join(keyed.select(F.col("_text_key").alias("doc_id"), "text")).filter(F.col("n_shingles") > 0).filter("doc_id is not null")
     copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
     # staged, so that its true size decides how it meets the documents
     copies = stage(copies.filter("doc_id <> first or rows > 1").select(F.col("doc_id").alias("copy_id"), "first", "rows"), "pipeline-copies")
-    marked = docs.join(copies, docs["doc_id"] == copies["copy_id"], "left")
-    single = marked.filter("copy_id is null").select(docs["*"])
-    again = marked.filter("copy_id = first").select(docs["*"]).dropDuplicates(["doc_id"])
+    marked = keyed.join(copies, keyed["_text_key"] == copies["copy_id"], "left")
+    single = marked.filter("copy_id is null").select(*docs.columns)
+    # rows of one key have one text
+    again = marked.filter("copy_id = first").dropDuplicates(["_text_key"]).select(*docs.columns)
     return single.unionByName(again)
 
 

@@ -172,3 +172,12 @@ def test_pipeline_stages(spark, near):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "ngram_jaccard_join", "pii", "packing"]
     masked = corpus_pipeline.mask_personal_data(spark, docs, "")
     assert masked.columns == docs.columns and masked.count() == docs.count()
+
+
+def test_pipeline_keeps_texts_of_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(5, ""), (5, a), (5, a), (6, a + " more"), (1, b), (7, c), (7, d), (8, d), (8, " "), (8, None), (9, c), (9, b), (None, a), (None, "")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    kept = corpus_pipeline.keep_one_of_copies(spark, docs, "")
+    wanted = [(5, ""), (5, a), (1, b), (7, c), (7, d), (8, " "), (8, None), (None, a), (None, "")]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(wanted) and kept.columns == docs.columns
