@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.llm import bpe_codec, chat, kmeans_tree, packing, partenum, pii, token_counts, toxicity, vafile, warc
+from orderflow.llm import alignment, bpe_codec, chat, kmeans_tree, packing, partenum, pfor, pii, spelling, token_counts, toxicity, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,21 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.join(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_tokenizer_alignment")
+def tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(_table(spark, sf_dir, "documents"), _tokenizer(), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+@_query("op12_spelling_variants")
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_token_id_files")
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = pfor.binary_output(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end=2)
+    return read.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
