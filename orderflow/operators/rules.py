@@ -1,9 +1,10 @@
 """Constraints as operators: keys, uniqueness and references, checked on whole batches.
 
-The rows of a batch are not shuffled to be checked.  For each rule the *distinct* key values of
-the batch are compared with the stored keys (partial aggregation shrinks a key that fills a third
-of the rows to one row per task), and only the violating keys are staged.  They are normally few;
-as a staged table their size is known: few are broadcast, many are joined by one shuffle per rule.
+Neither the rows of a batch nor the stored tables are shuffled to be checked.  For each rule the
+*distinct* key values of the batch (partial aggregation shrinks a key that fills a third of the rows
+to one row per task) are staged and sent to the tasks that scan the stored keys, see ``probe``.  Only
+the violating keys are staged.  They are normally few; as a staged table their size is known: few are
+broadcast, many are joined by one shuffle per rule.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.casts import all_of, first_failing
+from orderflow.operators.probe import Asked, ask, measured, measures, stored_among
 from orderflow.operators.skew import LOOKUP_ROWS, left_join_unique
 from orderflow.schema import Table
 from orderflow.session import stage
@@ -54,14 +56,36 @@ def _text_key(keys: list[Column]) -> Column:
     return text[0] if len(text) == 1 else F.concat_ws("\u001f", *text)
 
 
-def violating_keys(batch: DataFrame, rule: Rule) -> DataFrame:
-    """Distinct key values of the batch that break the rule, as one text column ``key``."""
-    width = range(len(rule.columns))
-    names = [f"k{i}" for i in width]
-    asked = batch.select(*[rule.batch_key(i).alias(n) for i, n in zip(width, names)]).dropna().distinct()
-    stored = rule.stored.select(*[rule.stored_key(i).alias(n) for i, n in zip(width, names)])
-    how = "left_anti" if rule.must_exist else "left_semi"
-    return asked.join(stored, names, how).select(_text_key([F.col(n) for n in names]).alias("key"))
+def ask_batch(batch: DataFrame, rules: list[Rule]) -> list[Asked]:
+    """The distinct keys that each rule asks for, staged together and measured in one pass."""
+
+    def names(i: int) -> list[str]:
+        return [f"k{i}_{j}" for j in range(len(rules[i].columns))]
+
+    kinds = {n: batch.select(rules[i].batch_key(j)).dtypes[0][1] for i in range(len(rules)) for j, n in enumerate(names(i))}
+    parts = []
+    for i, rule in enumerate(rules):
+        own = batch.select(*[rule.batch_key(j).alias(n) for j, n in enumerate(names(i))]).dropna().distinct()
+        parts.append(own.select(F.lit(i).alias("rule"), *[(F.col(n) if n in own.columns else F.lit(None).cast(kind)).alias(n) for n, kind in kinds.items()]))
+    asked = stage(reduce(DataFrame.unionByName, parts), "asked-keys")
+    found = {r["rule"]: r for r in asked.groupBy("rule").agg(*measures(list(kinds))).collect()}  # at most one row per rule
+    out = []
+    for i in range(len(rules)):
+        keys = asked.filter(F.col("rule") == i).select(*names(i))
+        out.append(measured(keys, names(i), found[i]) if i in found else Asked(keys, tuple(names(i)), 0, 0, (None,) * len(names(i)), (None,) * len(names(i))))
+    return out
+
+
+def violating_keys(rule: Rule, asked: Asked, lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
+    """The asked keys that break the rule, as one text column ``key``."""
+    names = list(asked.names)
+    kinds = dict(asked.keys.dtypes)
+    stored = rule.stored.select(*[rule.stored_key(j).try_cast(kinds[n]).alias(n) for j, n in enumerate(names)])
+    held = stored_among(stored, asked, lookup_rows)
+    if rule.must_exist:
+        # the keys held are some of those asked for, so few of these are few of those
+        held = asked.keys.join(F.broadcast(held) if asked.is_small(lookup_rows) else held, names, "left_anti")
+    return held.select(_text_key([F.col(n) for n in names]).alias("key"))
 
 
 def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_ROWS) -> DataFrame:
@@ -73,10 +97,17 @@ def check_rules(batch: DataFrame, rules: list[Rule], lookup_rows: int = LOOKUP_R
     if "reject_reason" not in batch.columns:
         batch = batch.withColumn("reject_reason", F.lit(None).cast("string"))
     live = batch.filter(F.col("reject_reason").isNull())
-    found = [violating_keys(live, r).select(F.lit(i).alias("rule"), "key") for i, r in enumerate(rules)]
+    asked = ask_batch(live, rules)
+    found = [violating_keys(r, a, lookup_rows).select(F.lit(i).alias("rule"), "key") for i, (r, a) in enumerate(zip(rules, asked, strict=True)) if a.n]
+    if not found:
+        return _with_reasons(batch, rules, {}, None, lookup_rows)
     violations = stage(reduce(DataFrame.unionByName, found), "violations")
     sizes = violations.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("key")).alias("chars"))
     hit = {r["rule"]: (r["n"], r["chars"]) for r in sizes.collect()}  # at most one row per rule
+    return _with_reasons(batch, rules, hit, violations, lookup_rows)
+
+
+def _with_reasons(batch: DataFrame, rules: list[Rule], hit: dict[int, tuple[int, int]], violations: DataFrame | None, lookup_rows: int) -> DataFrame:
     checks: list[tuple[Column, object]] = []
     out = batch
     for i, rule in enumerate(rules):
@@ -149,8 +180,13 @@ def first_wins(batch: DataFrame, key: list[str], position: list[str]) -> DataFra
 
 
 def without_existing(batch: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
-    """Rows whose key the stored table does not have yet."""
-    return batch.join(existing.select(*key), key, "left_anti")
+    """Rows whose key the stored table does not have yet; a null key it never has."""
+    asked = ask(stage(batch.select(*key).dropna().distinct(), "asked-keys"))
+    if not asked.n:
+        return batch
+    kinds = dict(asked.keys.dtypes)
+    stored = existing.select(*[F.col(k).try_cast(kinds[k]).alias(k) for k in key])
+    return batch.join(stage(stored_among(stored, asked), "held-keys"), key, "left_anti")  # its true size decides the join
 
 
 def split_references(df: DataFrame, column: str, parents: DataFrame, parent_column: str = "id", nullable: bool = False) -> tuple[DataFrame, DataFrame]:

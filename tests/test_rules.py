@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orderflow.operators import rules
+from orderflow.operators import probe, rules
 from orderflow.schema import TABLES
 
 
@@ -159,3 +159,62 @@ def test_the_batch_is_scanned_once_however_many_rules_are_broken(spark, tmp_path
     assert plan.count("Relation [") <= 1 + len(names)  # the batch, and the broken keys of each rule
     want = [next((f"no_{c}" for c in names if r[c] is not None and r[c] > 1), None) for r in batch.orderBy("id").collect()]
     assert [r["reject_reason"] for r in got.orderBy("id").collect()] == want
+
+
+def _above(plan, scan):
+    """The operators above the scan that names ``scan``, from it upwards."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and scan in line)
+    depth, out = len(lines[at]) - len(lines[at].lstrip(" :+-*(0123456789)")), []
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if own < depth:
+            depth = own
+            out.append(line.lstrip(" :+-*(0123456789)").split(" ")[0])
+    return out
+
+
+@pytest.mark.parametrize("must_exist", [True, False])
+def test_a_stored_table_is_not_shuffled_for_a_small_batch(spark, tmp_path, must_exist):
+    """Above the broadcast limit too, the stored keys stay in the tasks that scan them."""
+    spark.range(200_000).select((F.col("id") * 2).alias("held_id")).write.parquet(str(tmp_path / "held"))
+    stored = spark.read.parquet(str(tmp_path / "held"))
+    batch = spark.createDataFrame([(i, k) for i, k in enumerate([10, 11, 10, None, 399_998, 400_000, 11])], "pos long, key long")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rule = rules.must_exist("absent", "key", stored, "held_id") if must_exist else rules.must_be_new("known", "key", stored, "held_id")
+        (asked,) = rules.ask_batch(batch, [rule])
+        assert (asked.n, asked.low, asked.high) == (4, (10,), (400_000,))
+        plan = rules.violating_keys(rule, asked)._jdf.queryExecution().executedPlan().toString()
+        above = _above(plan, "held_id")
+        assert "BroadcastHashJoin" in above and not any("Exchange" in step for step in above[: above.index("BroadcastHashJoin")])
+        assert "GreaterThanOrEqual(held_id,10)" in plan and "LessThanOrEqual(held_id,400000)" in plan
+        got = {r["pos"]: r["reject_reason"] for r in rules.check_rules(batch, [rule]).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    absent = {1, 3, 5, 6} if must_exist else {0, 2, 4}
+    assert got == {pos: ("absent" if must_exist else "known") if pos in absent else None for pos in range(7)}
+
+
+@pytest.mark.parametrize("names", [["a"], ["a", "b"]])
+def test_a_large_batch_meets_only_stored_keys_that_pass_its_bitmap(spark, names):
+    rnd = random.Random(5)
+    have = [(rnd.randrange(4000), f"k{rnd.randrange(3)}") for _ in range(3000)]
+    want = [(rnd.randrange(4000), f"k{rnd.randrange(3)}") for _ in range(500)]
+    stored = spark.createDataFrame([*have, *have[:50], (None, None)], "a long, b string").select(*names)
+    keys = spark.createDataFrame(want, "a long, b string").select(*names).distinct()
+    asked = probe.ask(rules.stage(keys, "asked"))
+    cut = (lambda r: tuple(r[: len(names)]))
+    passed = probe._may_be_asked(stored, asked)
+    assert passed.count() < stored.count() / 2
+    got = sorted(tuple(r) for r in probe.stored_among(stored, asked, lookup_rows=0).collect())
+    assert got == sorted(set(map(cut, have)) & set(map(cut, want)))
+    assert got == sorted(tuple(r) for r in probe.stored_among(stored, asked).collect())
+
+
+def test_existing_keys_are_left_out_of_a_batch(spark):
+    batch = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z"), (2, "w")], "id long, v string")
+    assert sorted(r["v"] for r in rules.without_existing(batch, spark.range(2), ["id"]).collect()) == ["w", "y", "z"]
+    assert rules.without_existing(batch.limit(0), spark.range(2), ["id"]).count() == 0
+    assert rules.without_existing(batch, spark.range(0), ["id"]).count() == 4
