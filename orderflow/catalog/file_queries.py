@@ -186,18 +186,41 @@ def src_json_lenient(spark: SparkSession, sf: str) -> DataFrame:
     return read_entity(spark, path, DRIVER, strict=False).select(*DRIVER.columns, "reject_reason", "reject_detail")
 
 
+@query("src_json_lenient_split", f"WITH {_DRIVER_RECORDS} SELECT {_DRIVER_OUT} FROM records")
+def src_json_lenient_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays in one line, with nested objects and brackets in texts, cut inside of files."""
+    path = scratch_file(spark, "drivers.json")
+    records = driver_records(spark, sf).withColumn("remark", F.struct(F.array(F.lit("}, {"), F.col("phone")).alias("at"), F.lit('"]').alias("x")))
+    number = F.col("license_num").cast("long")
+    files = records.groupBy(F.floor(number / 10_000)).agg(F.array_join(F.collect_list(F.to_json(F.struct(*records.columns))), ", ").alias("records"))
+    files.select(F.concat(F.lit("["), "records", F.lit("]"))).write.option("maxRecordsPerFile", 1).text(path)
+    return read_entity(spark, path, DRIVER, strict=False, layout="records").select(*DRIVER.columns, "reject_reason", "reject_detail")
+
+
 @query("src_xml_lenient", f"WITH {_DRIVER_RECORDS} SELECT {_DRIVER_OUT} FROM records")
 def src_xml_lenient(spark: SparkSession, sf: str) -> DataFrame:
     """Records under three tags, none the entity's, mixed in every file."""
     path = scratch_file(spark, "drivers.xml")
+    _write_staff(spark, sf, path)
+    return read_entity(spark, path, DRIVER, strict=False).select(*DRIVER.columns, "reject_reason", "reject_detail")
+
+
+@query("src_xml_lenient_split", f"WITH {_DRIVER_RECORDS} SELECT {_DRIVER_OUT} FROM records")
+def src_xml_lenient_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same documents, cut inside of files."""
+    path = scratch_file(spark, "drivers.xml")
+    _write_staff(spark, sf, path)
+    rows = read_entity(spark, path, DRIVER, strict=False, layout="records")
+    return rows.select(*DRIVER.columns, "reject_reason", "reject_detail")
+
+
+def _write_staff(spark: SparkSession, sf: str, path: str) -> None:
     records = driver_records(spark, sf).withColumn("remark", F.lit("<x>"))
     n = F.col("license_num").cast("long")
     rider, courier, trainee = (F.to_xml(F.struct(*records.columns), {"rowTag": t}) for t in ("rider", "courier", "trainee"))
     record = F.when(n % 3 == 0, rider).when(n % 3 == 1, courier).otherwise(trainee)
     files = records.groupBy(F.floor(n / 10_000)).agg(F.array_join(F.collect_list(record), "\n").alias("records"))
     files.select(F.concat(F.lit("<staff>\n"), "records", F.lit("\n</staff>"))).write.option("maxRecordsPerFile", 1).text(path)
-    rows = read_entity(spark, path, DRIVER, strict=False)
-    return rows.select(*DRIVER.columns, "reject_reason", "reject_detail")
 
 
 @query("src_csv_quoted", "SELECT c_name || ', ' || c_mktsegment || ' \"St\"' AS address, c_mktsegment AS city, 'UT' AS state, lpad(c_custkey::VARCHAR, 6, '0') AS zip FROM customer")

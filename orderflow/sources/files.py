@@ -12,10 +12,7 @@ Both return the entity's columns typed, plus ``_file``, ``_pos``, ``reject_reaso
 
 from __future__ import annotations
 
-import csv
-import re
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,21 +46,9 @@ def extension_of(path: str) -> str:
 
 def csv_strict(spark: SparkSession, path: str, columns: list[str], quoted: bool = False) -> DataFrame:
     """Positional CSV without header: lines cut at every comma, or ``quoted`` values that may hold
-    commas, quotes and line breaks, at the price of one task per file."""
-    if quoted:
-        rows = _csv_scan(spark, path, len(columns), True)
-        uneven = F.col("_arity") != len(columns)
-        return rows.select(
-            # an empty field is empty text here, not an absent one
-            *[F.coalesce(F.col(f"_c{i}"), F.lit("")).alias(c) for i, c in enumerate(columns)],
-            _null_text().alias("_mark"),
-            "_file",
-            F.monotonically_increasing_id().alias("_pos"),
-            F.when(uneven, F.lit("field_count")).alias("reject_reason"),
-            F.when(uneven, F.col("_arity").cast("string")).alias("reject_detail"),
-        )
-    parts = F.split("_raw", ",", -1)
-    lines = records.text_rows(spark, path).filter(records.not_blank()).withColumn("_parts", parts)
+    commas, quotes and line breaks."""
+    parts = records.csv_fields(F.col("_raw")) if quoted else F.split("_raw", ",", -1)
+    lines = records.csv_records(spark, path, multi_line=quoted).withColumn("_parts", parts)
     return lines.select(
         *[F.get("_parts", F.lit(i)).alias(c) for i, c in enumerate(columns)],
         "_mark",
@@ -74,73 +59,39 @@ def csv_strict(spark: SparkSession, path: str, columns: list[str], quoted: bool
     )
 
 
-def csv_headers(spark: SparkSession, path: str, columns: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``path`` by header, those whose first line does not name every column under ``()``.
-
-    What comes to the driver is a name per file, as in Spark's own listing, and the lines that may be headers.
-    """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"))
-    lines = lines.filter((F.col("_start") == 0) & records.not_blank("value")).withColumn("_at", F.monotonically_increasing_id())
-    first = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("line"))
-    may_be = all_of(F.contains("line", F.lit(c)) for c in columns)
-    found: dict[tuple[str, ...], list[str]] = {}
-    for r in first.select("_file", F.when(may_be, F.col("line")).alias("line")).orderBy("_file").collect():
-        names = next(csv.reader([r["line"]])) if r["line"] is not None else []
-        escaped = re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(r["_file"]))  # a file name is not a pattern
-        found.setdefault(tuple(names) if set(columns) <= set(names) else (), []).append(escaped)
-    return found
-
-
-def _csv_scan(spark: SparkSession, path: str | list[str], width: int, multi_line: bool, header: bool = False) -> DataFrame:
-    """Quoted CSV as columns ``_c0``, ``_c1``, ... with the number of fields a row really has."""
-    slots = [f"_c{i}" for i in range(width)]
-    schema = T.StructType([T.StructField(s, T.StringType()) for s in [*slots, _BAD]])
-    rows = (
-        spark.read.schema(schema)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .csv(path)
-    )
-    # Only a row whose field count differs keeps its text in _BAD; count its fields outside quotes.
-    unquoted = F.regexp_replace(_BAD, r'"([^"]|"")*"', "")
-    arity = F.when(F.col(_BAD).isNull(), width).otherwise(F.size(F.split(unquoted, ",", -1)))
-    return rows.select(
-        *slots,
-        arity.alias("_arity"),
-        F.col("_metadata.file_path").alias("_file"),
+def csv_headers(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per file of ``rows`` (``_raw``, ``_file``, ``_pos``): where its header is, if it has one, and in
+    which places its columns are."""
+    first = rows.groupBy("_file").agg(F.min("_pos").alias("_head"), F.min_by("_raw", "_pos").alias("_line"))
+    names = first.withColumn("_names", records.csv_fields(F.col("_line")))
+    known = all_of(F.array_contains("_names", c) for c in columns)
+    places = F.array(*[F.array_position("_names", c).cast("int") - 1 for c in columns])
+    return names.select(
+        F.col("_file").alias("_of"),
+        F.when(known, F.col("_head")).alias("_head"),
+        F.when(known, places).otherwise(F.array(*[F.lit(i) for i in range(len(columns))])).alias("_places"),
     )
 
 
 def csv_lenient(spark: SparkSession, path: str, columns: list[str], multi_line: bool = True) -> DataFrame:
     """Quoted CSV; each file has a header or none, and its own decides its column order, resolved by name.
 
-    Only the first row of a file can be its header.  Files of one header are read together.  Values may
-    hold line breaks inside quotes, at the price of one task per file.  Without ``multi_line`` files are
-    split, for text known to have none.
+    Only the first row of a file can be its header; which place a column has is looked up by file, so
+    files of any headers are read together.  Values may hold line breaks inside quotes.  Without
+    ``multi_line`` lines are taken as rows, in one pass less, for text known to have none.
     """
-    found = csv_headers(spark, path, columns) or {(): []}
-    parts = []
-    for header, files in sorted(found.items()):
-        names = list(header) or columns
-        needed = max(names.index(c) for c in columns) + 1
-        # Positions, not names, key the scan, so a repeated or odd header name does no harm.
-        rows = _csv_scan(spark, files if len(found) > 1 else path, len(names), multi_line, bool(header))
-        short = F.col("_arity") < needed
-        # an empty field is empty text here, not an absent one
-        values = [F.when(~short, F.coalesce(F.col(f"_c{names.index(c)}"), F.lit(""))).alias(c) for c in columns]
-        parts.append(rows.select(*values, "_file", short.alias("_short"), F.when(short, F.col("_arity").cast("string")).alias("reject_detail")))
-    # numbered after the union, or files of different headers would share numbers
-    return reduce(DataFrame.unionByName, parts).select(
-        *columns,
+    rows = records.csv_records(spark, path, multi_line)
+    headers = stage(csv_headers(rows, columns), "csv-headers")  # staged: its true size decides the join
+    cells = rows.join(headers, F.col("_file") == F.col("_of")).filter(F.col("_head").isNull() | (F.col("_head") != F.col("_pos")))
+    cells = cells.withColumn("_cells", records.csv_fields(F.col("_raw")))
+    short = F.size("_cells") <= F.array_max("_places")
+    return cells.select(
+        *[F.when(~short, F.get("_cells", F.get("_places", F.lit(i)))).alias(c) for i, c in enumerate(columns)],
         _null_text().alias("_mark"),
         "_file",
-        F.monotonically_increasing_id().alias("_pos"),
-        F.when(F.col("_short"), F.lit("short_row")).alias("reject_reason"),
-        "reject_detail",
+        "_pos",
+        F.when(short, F.lit("short_row")).alias("reject_reason"),
+        F.when(short, F.size("_cells").cast("string")).alias("reject_detail"),
     )
 
 
@@ -211,8 +162,10 @@ def _xml_children(docs: DataFrame, columns: list[str], options: dict[str, str])
 
 
 def xml_rows(spark: SparkSession, path: str, tag: str | None, columns: list[str], layout: str = LAYOUTS[0]) -> DataFrame:
-    """Rows of the elements ``tag``; without a tag, which the ``document`` layout alone allows, of every child of the root."""
+    """Rows of the elements ``tag``; without a tag, of every child of the root."""
     options = {"columnNameOfCorruptRecord": _BAD, "ignoreSurroundingSpaces": "false"}
+    if tag is None and records.known_layout(layout) == "records":
+        return _unpacked(records.xml_children(spark, path).withColumn("_rec", F.from_xml("_raw", _text_struct(columns), options)), columns)
     if tag is None:
         docs = records.text_rows(spark, path, whole=True).filter(records.not_blank())
         return _xml_children(docs, columns, options)
@@ -315,8 +268,8 @@ def raw_rows(
     """Untyped rows of any of the three formats, chosen by the file extension.
 
     ``layout`` concerns JSON and XML (see ``records``), ``quoted`` strict and ``multi_line`` lenient CSV.
-    ``tag`` names the records of strict XML and of the ``records`` layout, which raises on other children;
-    lenient XML documents are read without it: every child of the root is a record.
+    ``tag`` names the records of strict XML, where the ``records`` layout raises on other children; lenient
+    XML is read without it: every child of the root is a record.
     """
     ext = format or extension_of(path)
     if ext == "csv":
@@ -324,8 +277,7 @@ def raw_rows(
     if ext == "json":
         return json_rows(spark, path, entity.columns, layout)
     if ext == "xml":
-        every = not strict and records.known_layout(layout) == "document"
-        return xml_rows(spark, path, None if every else tag or entity.name, entity.columns, layout)
+        return xml_rows(spark, path, tag or entity.name if strict else None, entity.columns, layout)
     raise IngestError("unsupported_format", ext)
 
 

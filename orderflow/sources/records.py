@@ -4,12 +4,12 @@ The caller says how files are laid out; their size decides nothing.
 
 ``document``, the default: every file is read whole, one per task, and decides for itself whether it
 holds a JSON array or JSON Lines.  Any valid layout is accepted.
-``records``: for huge files, which are split on the text that ends a record (Spark's ``lineSep``), so
-that one file spreads over the cluster.  That text cannot occur inside a value: JSON strings hold no
-raw line break and XML text no raw ``</tag>``.  It takes JSON Lines, arrays whose records stand on lines
-of their own, and XML of plain ``<tag>...</tag>`` records and comments; all files of a directory are
-alike.  The rows that open and close a file keep a mark, from which ``broken_files`` checks its overall
-shape.  What this layout cannot cut soundly raises; it never yields fewer rows.
+``records``: for huge files, which are split, so that one file spreads over the cluster; all files of a
+directory are alike.  JSON Lines are split at line ends, JSON arrays of any layout at ``}`` and documents
+of records under any tags at ``<``: see ``chunks`` for how pieces find together.  XML of plain
+``<tag>...</tag>`` records and comments, where only the tag is wanted, is split on ``</tag>``, which no
+text can contain.  The rows that open and close a file keep a mark, from which ``broken_files`` checks
+its overall shape.  What this layout cannot cut soundly raises; it never yields fewer rows.
 
 Columns: ``_raw`` (record text), ``_mark`` (NULL unless the file was split), ``_file``, ``_pos``.
 ``_pos`` rises with the place in a file; the order between files is the read order.
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.errors import IngestError
+from orderflow.sources import chunks
 
 LAYOUTS = ("document", "records")
 
@@ -59,18 +60,11 @@ def json_records(spark: SparkSession, path: str, layout: str = LAYOUTS[0]) -> Da
     empty table."""
     if known_layout(layout) == "document":
         return _json_whole(spark, path)
-    # Up to the first "{" and on to the second; a piece may be long, so only what is asked of it comes back.
-    pieces = spark.read.text(path, lineSep="{").filter(not_blank("value"))
-    broken_over_lines = F.regexp_replace("value", r"\s*,?\s*$", "").contains("\n")
-    head = pieces.select(F.substring("value", 1, 4096), broken_over_lines).limit(2).collect()
-    if not head or not head[0][0].lstrip().startswith("["):
+    # Up to the first "{"; a piece may be long, so only its beginning comes back.
+    head = spark.read.text(path, lineSep="{").filter(not_blank("value")).select(F.substring(F.ltrim("value"), 1, 1)).first()
+    if head is None or head[0] != "[":
         return text_rows(spark, path).filter(not_blank())
-    lead = re.fullmatch(r"\s*\[[^\S\n]*\r?\n([ \t]*)", head[0][0])
-    if lead is None or len(head) < 2:
-        raise IngestError("layout", "a JSON array read by records needs them on lines of their own")
-    if not head[1][1]:
-        return _json_array_of_lines(spark, path)
-    return _json_indented(spark, path, "\n" + lead.group(1) + "}")
+    return _json_split(spark, path)
 
 
 def _json_whole(spark: SparkSession, path: str) -> DataFrame:
@@ -94,32 +88,120 @@ def _json_whole(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _json_array_of_lines(spark: SparkSession, path: str) -> DataFrame:
-    line = F.trim("_raw")
+def _uncompressed() -> Column:
+    return ~F.col("_file").rlike(r"\.(gz|gzip|bz2|zst|lz4|snappy|deflate)$")
+
+
+def _json_grammar() -> chunks.Grammar:
+    """Pieces end with ``}``, real or not: the state is whether a string is open, the depth counts brackets.
+
+    The last piece of an array ends without ``}`` and is given one, hence depth -1 at the end.
+    """
+    plain = F.regexp_replace("_raw", r"(?s)\\.", "")
+    strings = r'"[^"]*+(?:"|\z)'
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"')))
+    outside = (F.regexp_replace(plain, strings, ""), F.regexp_replace(F.regexp_replace(plain, r'\A[^"]*+(?:"|\z)', ""), strings, ""))
+
+    def delta(text: Column) -> Column:
+        return 2 * F.length(F.translate(text, "]}", "")) - F.length(text) - F.length(F.translate(text, "[{]}", ""))
+
+    cut_once = ~_uncompressed() | (F.col("bytes") == F.col("size") + 1)
+    sound = (F.col("end_state") == 0) & (F.col("end_depth") == -1) & cut_once
+    return chunks.Grammar("}", (quotes % 2, (quotes + 1) % 2), tuple(map(delta, outside)), 1, sound, after="}")
+
+
+def _json_split(spark: SparkSession, path: str) -> DataFrame:
+    """Objects of arrays in any layout; nested ones and texts with brackets do not matter."""
+    nothing = F.col("_raw").rlike(r"\A\s*(?:\[\s*\]\s*)?\}\z")  # a blank file, or an empty array
     return (
-        text_rows(spark, path)
-        .filter(not_blank())
+        chunks.read(spark, path, _json_grammar())
+        .filter(~nothing)
         .select(
-            F.regexp_replace(line, r",\s*$", "").alias("_raw"),
-            F.when(line == "[", OPENING).when(line == "]", CLOSING).when(line.endswith(","), INNER).otherwise(FINAL).alias("_mark"),
+            F.regexp_replace("_raw", r"\A\s*[\[,]\s*", "").alias("_raw"),
+            F.when(F.col("_raw").rlike(r"\A\s*\]\s*\}\z"), CLOSING)
+            .when(F.col("_raw").rlike(r"\A\s*\[\s*\{"), FIRST)
+            .when(F.col("_raw").rlike(r"\A\s*,\s*\{"), INNER)
+            .otherwise(BROKEN)
+            .alias("_mark"),
             "_file",
             "_pos",
         )
     )
 
 
-def _json_indented(spark: SparkSession, path: str, record_end: str) -> DataFrame:
-    closing = F.col("_raw").rlike(r"^\s*\]\s*$")
-    return text_rows(spark, path, record_end).select(
-        F.concat(F.regexp_replace("_raw", r"^\s*[\[,]\s*", ""), F.lit("}")).alias("_raw"),
-        F.when(closing, CLOSING)
-        .when(F.col("_raw").rlike(r"^\s*\[\s*\{"), FIRST)
-        .when(F.col("_raw").rlike(r"^\s*,\s*\{"), INNER)
-        .otherwise(BROKEN)
-        .alias("_mark"),
-        "_file",
-        "_pos",
+_NAME = r"""[^\s<>"'!?/=]"""
+_TAG = rf"""\A<{_NAME}[^<>"'/]*+(?:(?:"[^"]*+"|'[^']*+'|/(?!>))[^<>"'/]*+)*+"""
+_BAD_TAG = 1 << 20  # depth that no file comes back from
+
+
+def _xml_grammar() -> chunks.Grammar:
+    """Pieces begin with ``<``, which no attribute value holds.
+
+    States: among tags and text, in a comment, in a CDATA section, in a processing instruction.
+    """
+    raw = F.col("_raw")
+    kinds = (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<?", "?>"))
+    opens = F.lit(0)
+    for k, (begin, end) in reversed(list(enumerate(kinds, 1))):
+        closed = F.contains(F.substring(raw, F.lit(len(begin) + 1), F.length(raw)), F.lit(end))
+        opens = F.when(raw.startswith(begin), F.when(closed, 0).otherwise(k)).otherwise(opens)
+    ends = [F.when(F.contains(raw, F.lit(end)), 0).otherwise(k) for k, (_, end) in enumerate(kinds, 1)]
+    start, alone, end = raw.rlike(_TAG + ">"), raw.rlike(_TAG + "/>"), raw.rlike(rf"\A</{_NAME}[^<>/\s]*+\s*>")
+    neutral = raw.startswith("<!") | raw.startswith("<?") | raw.rlike(r"\A<\x{FEFF}?\s*\z")
+    delta = F.when(neutral, 0).when(start, 1).when(alone, 0).when(end, -1).otherwise(_BAD_TAG)
+    sound = (F.col("end_state") == 0) & (F.col("end_depth") == 0)
+    return chunks.Grammar("<", (opens, *ends), (delta, F.lit(0), F.lit(0), F.lit(0)), 1, sound, ~neutral & (start | alone), from_root=False, before="<")
+
+
+def xml_children(spark: SparkSession, path: str) -> DataFrame:
+    """One row per child of the root, whatever its tag, of documents that are split."""
+    found = chunks.read(spark, path, _xml_grammar())
+    outer, raw = found.filter(F.col("_mark").isNotNull()), F.col("_raw")
+    tag = F.regexp_extract("_raw", rf"\A</?({_NAME}[^\s<>/]*+)", 1)
+    # an opened and closed root, or one that is both, and nothing but comments and the like beside it
+    blank = raw.rlike(r"\A<\x{FEFF}?\s*\z")
+    framed = raw.rlike(rf"(?s)\A</{_NAME}[^<>]*>\s*\z|\A<!--.*-->\s*\z|\A<\?.*\?>\s*\z|\A<!--|\A<\?|\A<!\w") | blank
+    root = ~framed | raw.startswith("</")
+    shape = outer.groupBy("_file").agg(
+        F.count(F.when(~framed & raw.rlike(_TAG + "/?>"), 1)).alias("roots"),
+        F.count(F.when(~framed & ~raw.rlike(_TAG + "/?>"), 1)).alias("odd"),
+        F.min(F.when(root, tag)).alias("first"),
+        F.max(F.when(root, tag)).alias("last"),
+        F.count(F.when(~blank, 1)).alias("filled"),
     )
+    broken = shape.filter((F.col("filled") > 0) & ((F.col("roots") != 1) | (F.col("odd") > 0) | (F.col("first") != F.col("last")))).select("_file").first()
+    if broken is not None:
+        raise IngestError("malformed", broken["_file"])
+    whole = F.when(F.regexp_count("_raw", F.lit("<")) == 1, F.regexp_extract("_raw", _TAG + "/>", 0))
+    return found.filter(F.col("_mark").isNull()).withColumn("_raw", F.coalesce(whole, F.regexp_replace("_raw", r"(</[^<>]*>)[^<]*\z", "$1")))
+
+
+_QUOTED_END = r'[^"]*+(?:""[^"]*+)*+'
+_OPEN_LINE = rf'(?s)\A(?:(?:"{_QUOTED_END}"[^,]*+|[^",][^,]*+)?+,)*+"{_QUOTED_END}\z'
+
+
+def _csv_grammar() -> chunks.Grammar:
+    """Pieces are lines; the state is whether a quoted value is open.  A quote inside an unquoted value opens nothing."""
+    raw, has = F.col("_raw"), F.contains("_raw", F.lit('"'))
+    rest = F.regexp_replace("_raw", rf'(?s)\A{_QUOTED_END}"[^,]*+,?', "")
+    closes = raw.rlike(rf'(?s)\A{_QUOTED_END}"')
+    outside = F.when(has & raw.rlike(_OPEN_LINE), 1).otherwise(0)
+    inside = F.when(has & closes & ~rest.rlike(_OPEN_LINE), 0).otherwise(1)
+    return chunks.Grammar(None, (outside, inside), (F.lit(0), F.lit(0)), 0, F.col("end_state") == 0, after="\n")
+
+
+def csv_records(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """Rows of quoted CSV as text; with ``multi_line`` values may hold line breaks."""
+    if not multi_line:
+        return text_rows(spark, path).filter(not_blank())
+    return chunks.read(spark, path, _csv_grammar()).withColumn("_raw", F.regexp_replace("_raw", r"\n\z", "")).filter(not_blank())
+
+
+def csv_fields(record: Column) -> Column:
+    """The values of a row of quoted CSV."""
+    cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(rf'(?s),("{_QUOTED_END}"[^,]*+|[^,]*+)'), F.lit(1))
+    quoted = rf'(?s)\A"{_QUOTED_END}"\z'
+    return F.transform(cells, lambda c: F.when(c.rlike(quoted), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
 
 
 def _of_root(mark: str, text: Column, pattern: str) -> Column:

@@ -1,13 +1,20 @@
 """Strict and lenient reading: what is accepted, refused and raised."""
 
+import csv
+import io
 import json
+import random
+from contextlib import contextmanager
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderflow.errors import IngestError
 from orderflow.schema import DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
-from orderflow.sources import records
+from orderflow.sources import chunks, records
 from orderflow.sources.files import read_entity, text_lines
 
 ITEM = Entity("item", (Attr("id", "long"), Attr("name")))
@@ -20,6 +27,18 @@ def put(tmp_path, name, text):
     return str(path)
 
 
+@contextmanager
+def splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+A, B = "<item><id>1</id><name>a</name></item>", "<item><id>2</id><name>b</name></item>"
+
+
 def rows(df, *columns):
     return [tuple(r) for r in df.orderBy("_pos").select(*columns).collect()]
 
@@ -157,10 +176,87 @@ def test_large_json_damage_is_noticed(spark, tmp_path, text):
     assert e.value.reason == "malformed"
 
 
-def test_json_in_one_line_by_records_is_refused_by_name(spark, tmp_path):
+def test_json_of_any_layout_is_split(spark, tmp_path):
+    """In one line, with nested objects, brackets in texts and escaped quotes."""
+    items = [{"id": i, "more": {"a": [{}, [{"}": "]"}]]}, "name": f'n{i} \\ "}}{{[\n'} for i in range(400)]
+    with splits(spark, 2000):
+        for k, indent in enumerate((None, 0, 3)):
+            path = put(tmp_path, f"{k}.json", json.dumps(items, indent=indent))
+            raw = spark.read.text(path, lineSep="}")
+            assert raw.select(F.spark_partition_id()).distinct().count() > 5
+            got = read_entity(spark, path, ITEM, layout="records")
+            assert rows(got, "id", "name") == [(i["id"], i["name"]) for i in items]
+            assert got.select("_pos").distinct().count() == len(items)
+
+
+def test_a_record_longer_than_a_block(spark, tmp_path):
+    with splits(spark, 500):
+        path = put(tmp_path, "i.json", json.dumps([{"id": 1, "name": "}" * 3000}, {"id": 2, "name": "y"}]))
+        assert rows(read_entity(spark, path, ITEM, layout="records"), "id", "name") == [(1, "}" * 3000), (2, "y")]
+        path = put(tmp_path, "i.csv", '1,"' + 'a ""b"",\n' * 700 + '"\n2,b\n')
+        assert rows(read_entity(spark, path, ITEM, quoted=True), "id", "name") == [(1, 'a "b",\n' * 700), (2, "b")]
+        path = put(tmp_path, "i.xml", "<r><a><name>" + "<!-- <b> -->x<![CDATA[</a>]]>" * 100 + "</name><id>1</id></a>" + B + "</r>")
+        assert rows(read_entity(spark, path, ITEM, strict=False, layout="records"), "id", "name") == [(1, "x</a>" * 100), (2, "b")]
+
+
+@pytest.mark.parametrize("text", ['[{"id":1,"name":"a"}]}', '[{"id":1,"name":"a"} {"id":2,"name":"b"}]', '[1, "}", 2]', '[{"id":1,"name":"a}]', '[{"id":1,"name":"a"}][]', '[[{"id":1,"name":"a"}]]'])
+def test_damaged_arrays_raise_when_split(spark, tmp_path, text):
     with pytest.raises(IngestError) as e:
-        read_entity(spark, put(tmp_path, "i.json", json.dumps(_items(3))), ITEM, layout="records")
-    assert e.value.reason == "layout"
+        read_entity(spark, put(tmp_path, "i.json", text), ITEM, layout="records")
+    assert e.value.reason == "malformed"
+
+
+@pytest.mark.parametrize("text", ["[]", " [ \n ] ", "", "\n\n"])
+def test_empty_arrays_split(spark, tmp_path, text):
+    assert read_entity(spark, put(tmp_path, "i.json", text), ITEM, layout="records").isEmpty()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 3), min_size=4, max_size=4), st.lists(st.integers(-2, 2), min_size=4, max_size=4)), min_size=1, max_size=40))
+def test_effects_compose_like_a_walk(pieces):
+    after, depth = chunks.prefix_effects(np.array([p[0] for p in pieces]), np.array([p[1] for p in pieces]))
+    for start in range(4):
+        state, deep = start, 0
+        for k, (to, change) in enumerate(pieces):
+            state, deep = to[state], deep + change[state]
+            assert (after[k, start], depth[k, start]) == (state, deep)
+
+
+def test_large_quoted_csv_is_split_like_the_csv_module_reads_it(spark, tmp_path):
+    rnd = random.Random(4)
+    items = [(i, "".join(rnd.choice('ab,"\n ') for _ in range(rnd.randrange(30)))) for i in range(700)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows(items)
+    path = put(tmp_path, "i.csv", out.getvalue() + '700,5" pipe, no\n'.replace(", no", ""))
+    with splits(spark, 1500):
+        assert spark.read.text(path).select(F.spark_partition_id()).distinct().count() > 5
+        assert rows(read_entity(spark, path, ITEM, quoted=True), "id", "name") == [*items, (700, '5" pipe')]
+        head = put(tmp_path, "h.csv", "name,note,id\n" + "".join(f'"{n.replace(chr(34), chr(34) * 2)}",x,{i}\n' for i, n in items))
+        assert rows(read_entity(spark, head, ITEM, strict=False), "id", "name", "reject_reason") == [(i, n, None) for i, n in items]
+
+
+def test_an_open_quote_refuses_the_file(spark, tmp_path):
+    for strict, more in ((True, {"quoted": True}), (False, {})):
+        with pytest.raises(IngestError) as e:
+            read_entity(spark, put(tmp_path, "i.csv", '1,"a\n2,b\n3,c\n'), ITEM, strict=strict, **more)
+        assert e.value.reason == "malformed"
+
+
+def test_children_of_any_tag_are_split(spark, tmp_path):
+    body = "".join(f"<t{i % 3} k='>'><id>{i}</id><name>n{i} &lt; > <![CDATA[</t>]]></name></t{i % 3}> between <!-- <t> -->\n<!-- {'x' * 700 if i == 200 else ''} -->" for i in range(400))
+    path = put(tmp_path, "i.xml", f'<?xml version="1.0"?>\n<!-- a\n<b> -->\n<items v="1>2">{body}</items>\n<!-- end -->\n')
+    with splits(spark, 3000):
+        assert spark.read.text(path, lineSep="<").select(F.spark_partition_id()).distinct().count() > 5
+        split = rows(read_entity(spark, path, ITEM, strict=False, layout="records"), "id", "name")
+    assert split == [(i, f"n{i} < > </t>") for i in range(400)]
+    assert split == rows(read_entity(spark, path, ITEM, strict=False), "id", "name")
+
+
+@pytest.mark.parametrize("xml", ["<r>{}", "<r>{}</s>", "{}{}", "<r>{}</r><r>{}</r>", "x<r>{}</r>", "<r>{}</r>x", "<r>{}</r", "<r><!-- {}</r>", "<r>{}<id>1</name></r>", "<r><a><id>1</id><name>a < b</name></a></r>", "nothing", "<!-- {} -->"])
+def test_broken_documents_raise_when_split(spark, tmp_path, xml):
+    with pytest.raises(IngestError) as e:
+        read_entity(spark, put(tmp_path, "i.xml", xml.format(A, B)), ITEM, strict=False, layout="records")
+    assert e.value.reason == "malformed"
 
 
 def test_large_xml_is_split_and_equal(spark, tmp_path):
@@ -258,7 +354,6 @@ def _read(spark, path, layout):
         return e.reason
 
 
-A, B = "<item><id>1</id><name>a</name></item>", "<item><id>2</id><name>b</name></item>"
 BOTH = [(1, "a"), (2, "b")]
 
 
@@ -288,9 +383,10 @@ def test_lenient_xml_takes_every_child_of_the_root(spark, tmp_path):
     texts = {3: "a < b &amp; c", 4: '<x> & &lt; <![CDATA[ "'}
     assert got[:4] == [(1, "a", None, None), (3, texts[3], None, None), (4, texts[4], None, None), (2, "b", None, None)]
     assert got[4:] == [(5, None, "missing_field", "name"), (None, None, "missing_field", "id")]
-    for layout, broken in (("records", xml.format(A, B)), ("document", xml.format(A, "<other><name>a & b</name></other>"))):
+    assert rows(read_entity(spark, path, ITEM, strict=False, layout="records"), "id", "name", "reject_reason", "reject_detail") == got
+    for layout in records.LAYOUTS:
         with pytest.raises(IngestError) as e:
-            read_entity(spark, put(tmp_path, "j.xml", broken), ITEM, strict=False, layout=layout)
+            read_entity(spark, put(tmp_path, "j.xml", xml.format(A, "<other><name>a & b</name></other>")), ITEM, strict=False, layout=layout)
         assert e.value.reason == "malformed"
 
 
