@@ -28,7 +28,8 @@ from orderflow.session import stage
 
 SPACE = "▁"  # how pieces write a space
 LANES = 4096  # stretches of the shorter list that gallop side by side
-SLICE = 1 << 18  # pre-tokens, or tokens, worked on at once
+SLICE = 1 << 17  # pre-tokens, or tokens, worked on at once
+SPELLED = 1 << 16  # tokens spelled out at once
 
 
 @dataclass
@@ -146,19 +147,19 @@ class Vocabularies:
         return cls(a, b, *lengths, linkable(a.token_bytes, b.token_bytes))
 
 
+def _spelled(raw: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> bytes:
+    """The words of a ragged array that ``ids`` name, one after another; taken by stretches, as an index of bytes is wide."""
+    return b"".join(ragged_take(raw, offsets, ids[a : a + SPELLED])[0].tobytes() for a in range(0, len(ids), SPELLED))
+
+
 def _same_bytes(v: Vocabularies, a: np.ndarray, a_rows: np.ndarray, b: np.ndarray, b_rows: np.ndarray) -> np.ndarray:
     """Rows whose tokens spell the same bytes on both sides."""
-    raws = []
+    texts = []
     for ids, rows, vocabulary, lengths in ((a, a_rows, v.a, v.a_lengths), (b, b_rows, v.b, v.b_lengths)):
-        raw, sizes = ragged_take(np.frombuffer(b"".join(vocabulary.token_bytes), np.uint8), offsets_of(lengths), ids)
-        raws.append((raw, offsets_of(sizes)[rows]))
-    (x, x_rows), (y, y_rows) = raws
-    out = np.diff(x_rows) == np.diff(y_rows)
-    if out.all() and np.array_equal(x, y):
-        return out
-    for k in np.flatnonzero(out):
-        out[k] = np.array_equal(x[x_rows[k] : x_rows[k + 1]], y[y_rows[k] : y_rows[k + 1]])
-    return out
+        raw = np.frombuffer(b"".join(vocabulary.token_bytes), np.uint8)
+        texts.append((_spelled(raw, offsets_of(lengths), ids), offsets_of(lengths[ids])[rows]))
+    (x, x_rows), (y, y_rows) = texts
+    return np.array([x[x_rows[k] : x_rows[k + 1]] == y[y_rows[k] : y_rows[k + 1]] for k in range(len(a_rows) - 1)], bool)
 
 
 def encode_both(docs: DataFrame, v: Vocabularies) -> DataFrame:
@@ -278,9 +279,8 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 a_last[i], b_last[j] = n_a, n_b
                 order[np.arange(len(a)) + np.repeat(j + 1 - b_sizes, a_sizes)] = a + a_last
                 order[np.arange(len(b)) + np.repeat(i + 1, b_sizes)] = 2 * n_a + b + b_last
-                raw, lengths = ragged_take(text, offsets, order)
-                ends = offsets_of(lengths)[a_rows + b_rows]
-                raw = raw.tobytes()
+                ends = offsets_of((offsets[1:] - offsets[:-1])[order])[a_rows + b_rows]
+                raw = _spelled(text, offsets, order)
                 total, top = offsets_of(counts[pair]), offsets_of(best[pair].astype(np.int64))
                 numbers = [np.diff(a_rows), np.diff(b_rows), np.diff(rows), np.diff(rows), np.diff(top[rows]), np.diff(total[rows])]
                 groups = pa.array([raw[x : y - 1].decode() if y > x else "" for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.string())

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,12 +33,13 @@ from orderflow.session import stage
 
 BLOCK = 1024  # ids in a block
 PERCENTILE = 95  # share of a block's distances that its width has room for
-FILE_IDS = 1 << 22  # ids a file is meant to hold
+FILE_BYTES = 1 << 27  # bytes of text whose ids a file holds at most, about
+SPREAD_BYTES = 1 << 22  # with less text than this for each shuffle partition there are fewer files
 READ_BLOCKS = 512  # blocks read at once
 MAGIC = b"PFOR0001"
 _HEAD = np.dtype([("least", "<u4"), ("n", "<u2"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
-SLICE = 1 << 18  # words encoded at once
-KNOWN = 1 << 18  # words whose ids a task remembers
+SLICE = 1 << 19  # words encoded at once
+KNOWN = 1 << 20  # words whose ids a task remembers
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -58,13 +60,16 @@ def pack_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
         sizes[-1] = n % BLOCK
     least = grid.min(1)
     away = grid - least[:, None]
-    widths = _bits(np.percentile(away, percentile, axis=1, method="higher").astype(np.int64)) if count else np.empty(0, np.int64)
+    rank = min(BLOCK - 1, int(np.ceil(BLOCK * percentile / 100)))
+    widths = _bits(np.partition(away, rank, axis=1)[:, rank])
+    kind = "<u2" if n and away.max() < 1 << 16 else "<u4"
+    bits = 8 * np.dtype(kind).itemsize
     out: list[bytes] = [b""] * count
     for width in np.unique(widths):
         rows = np.flatnonzero(widths == width)
         values = away[rows]
-        raw = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(len(rows), BLOCK, 4), axis=2, bitorder="little")[:, :, :width]
-        packed = np.packbits(raw.reshape(len(rows), -1), axis=1, bitorder="little")
+        raw = np.unpackbits(values.astype(kind).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = np.packbits(raw.reshape(len(rows), BLOCK, bits)[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
         over = values >> width > 0
         for k, row in enumerate(rows):
             size = int(sizes[row])
@@ -86,9 +91,10 @@ def unpack_blocks(raw: bytes, starts: np.ndarray) -> np.ndarray:
         for k, row in enumerate(rows):
             part = np.frombuffer(raw, np.uint8, -(-int(heads["n"][row]) * int(width) // 8), int(starts[row]) + _HEAD.itemsize)
             data[k, : len(part)] = part
-        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
+        kind = np.dtype("<u2" if width <= 16 else "<u4")
+        bits = np.zeros((len(rows), BLOCK, 8 * kind.itemsize), np.uint8)
         bits[:, :, :width] = np.unpackbits(data, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(width))
-        out[rows] = np.packbits(bits, axis=2, bitorder="little").view("<u4").reshape(len(rows), BLOCK)
+        out[rows] = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little").view(kind)
     for k in np.flatnonzero(heads["exceptions"]):
         n = int(heads["exceptions"][k])
         at = int(starts[k]) + _HEAD.itemsize - (-int(heads["n"][k]) * int(heads["width"][k]) // 8)
@@ -185,81 +191,116 @@ def _library(spec: str) -> Tokenizer:
     return tokenizer
 
 
-def encode(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
-    """``doc_id``, ``part``, ``line``, ``n`` and ``ids`` of every row, with ``end`` after each text's ids.
+class Words:
+    """The library's ids of words, each encoded once.
 
-    The library encodes the distinct words of many texts instead of every text: its tokenizer drops
-    white space and no token, special string or composed character reaches across it.  ``part`` and
-    ``line`` number the rows as they were read.
+    The tokenizer drops white space, and no token, special string or composed character reaches across
+    it.  Nor does one reach from letters to the marks after them.  So words without these marks are
+    encoded, many in one text: plain ones parted by spaces, as their last token tells that it ends a
+    word; others by a control character, whose id nothing else has.
     """
+
+    MARK = "\u0001"
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)").fullmatch  # letters that no normal form changes
+    JOINED = 2000  # words of one text
+
+    def __init__(self, library: Tokenizer) -> None:
+        self.library = library
+        self.known: dict[str, int] = {}  # place of each word's ids
+        self.ids, self.offsets = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self.parts: dict[str, list[int]] = {}  # ids of words without marks, and of marks
+        self.mark = library.encode(self.MARK, add_special_tokens=False).ids
+        self.ends = np.array([(library.id_to_token(i) or "").endswith("</w>") for i in range(library.get_vocab_size())])
+
+    @staticmethod
+    def check(library: Tokenizer) -> None:
+        """Raise unless the tokenizer is as described."""
+
+        def ids(text: str) -> list[int]:
+            return library.encode(text, add_special_tokens=False).ids
+
+        ok = ids("Words, \t\r\n more") == [*ids("words"), *ids(","), *ids("more")] and len(ids(Words.MARK)) == 1
+        if not ok or not all((library.id_to_token(i) or "").endswith("</w>") for w in ("words", "é", Words.MARK) for i in ids(w)[-1:]):
+            raise ValueError("the tokenizer does not cut words at white space and marks, or does not tell their ends")
+
+    def _joined(self, words: list[str], between: str) -> list[list[int]]:
+        texts = [between.join(words[a : a + self.JOINED]) for a in range(0, len(words), self.JOINED)]
+        return [coded.ids for coded in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, fresh: list[str]) -> None:
+        cut = [self.PLAIN(w) for w in fresh]
+        pairs = [(w, "") if m is None else (m[1].lower(), m[2]) for w, m in zip(fresh, cut, strict=True)]
+        letters = list(dict.fromkeys(a for (a, _), m in zip(pairs, cut, strict=True) if m is not None and a not in self.parts))
+        for at, ids in enumerate(self._joined(letters, " ")):
+            ids = np.array(ids)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            for word, own in zip(letters[at * self.JOINED : (at + 1) * self.JOINED], np.split(ids, ends[:-1]), strict=True):
+                self.parts[word] = own.tolist()
+        others = [w for w, m in zip(fresh, cut, strict=True) if m is None and self.MARK not in w]
+        for at, ids in enumerate(self._joined(others, f" {self.MARK} ")):
+            own: list[list[int]] = [[]]
+            for i in ids:
+                if i == self.mark[0]:
+                    own.append([])
+                else:
+                    own[-1].append(i)
+            self.parts.update(zip(others[at * self.JOINED : (at + 1) * self.JOINED], own, strict=True))
+        for word in {*(b for _, b in pairs), *(w for w in fresh if self.MARK in w)} - self.parts.keys():
+            self.parts[word] = self.library.encode(word, add_special_tokens=False).ids
+        lists = [self.parts[a] + self.parts[b] for a, b in pairs]
+        self.known.update(zip(fresh, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(fresh)), strict=True))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum()))])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+
+    def encode(self, words: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, one after another, and their number, of the ``word``-th of the distinct ``words`` each."""
+        if len(self.known) > KNOWN:
+            self.__init__(self.library)
+        place = np.array([self.known.get(w, -1) for w in words], np.int64)
+        unseen = np.flatnonzero(place < 0)
+        if len(unseen):
+            self._learn(words[unseen].tolist())
+            place[unseen] = np.arange(len(self.offsets) - 1 - len(unseen), len(self.offsets) - 1)
+        return ragged_take(self.ids, self.offsets, place[word])
+
+
+def write_files(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
+    """Encode ``docs`` into files in ascending order of ``doc_id``; returns a row per file: ``path``, ``file``, ``docs``, ``n``, ``start``.
+
+    ``start`` is the number of ids in all files before.  Rows of one id, and those without one, which
+    come first, keep the order they were read in.  Texts are put in order before they are encoded, so
+    each is encoded once and its ids go straight into a file.
+    """
+    spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         spec = file.read()
-    model = Tokenizer.from_str(spec)
-    apart = [model.encode(w, add_special_tokens=False).ids for w in ("ab", "c", "ab \t\r\n c")]
-    if [*apart[0], *apart[1]] != apart[2]:
-        raise ValueError(f"{tokenizer} does not drop white space")
-    width = np.dtype("<u2" if max(model.get_vocab_size(), end + 1) <= 1 << 16 else "<u4")
-    shared = docs.sparkSession.sparkContext.broadcast(spec)
-    cut = documents(docs).select("doc_id", F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0)).alias("words"))
-
-    def code(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _library(shared.value)
-        part, line = TaskContext.get().partitionId(), 0
-        known: dict[str, int] = {}  # place of each word's ids
-        lists: list[list[int]] = []
-        for table in tables:
-            for piece, words, word, rows in batches(table, "words", SLICE):
-                if len(known) > KNOWN:
-                    known, lists = {}, []
-                distinct = words.to_pylist()
-                fresh = [w for w in distinct if w not in known]
-                for w, coded in zip(fresh, library.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                    known[w] = len(lists)
-                    lists.append(coded.ids)
-                own = [lists[known[w]] for w in distinct]
-                offsets = offsets_of(np.array([len(x) for x in own], np.int64))
-                ids, lengths = ragged_take(np.fromiter((i for x in own for i in x), np.int64, offsets[-1]), offsets, word)
-                ends = offsets_of(lengths)[rows]
-                raw, size, last = ids.astype(width).tobytes(), width.itemsize, width.type(end).tobytes()
-                data = [raw[size * a : size * b] + last for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                n = len(data)
-                yield pa.record_batch(
-                    [piece.column("doc_id"), pa.array([part] * n, pa.int32()), pa.array(np.arange(line, line + n)), pa.array(np.diff(ends) + 1), pa.array(data, pa.binary())],
-                    ["doc_id", "part", "line", "n", "ids"],
-                )
-                line += n
-
-    return cut.mapInArrow(code, "doc_id long, part int, line long, n long, ids binary")
-
-
-def write_files(coded: DataFrame) -> DataFrame:
-    """Write encoded rows in ascending order of ``doc_id`` and return a row per file: ``path``, ``file``, ``docs``, ``n``, ``start``.
-
-    ``start`` is the number of ids in all files before.  ``coded`` is a stored table as of ``encode``.
-    Rows of one id, and those without one, which come first, keep the order they were read in.
-    """
-    spark = coded.sparkSession
+    Words.check(_library(spec))
     folder = shared_uri(spark, "token-ids")
-    total = coded.agg(F.sum("n")).first()[0] or 0
-    width = np.dtype("<u4")
-    widths = coded.filter("n > 0").select((F.octet_length("ids") / F.col("n")).cast("int").alias("w")).first()
-    if widths is not None:
-        width = np.dtype(f"<u{widths.w}")
-    ordered = coded.repartitionByRange(max(1, -(-total // FILE_IDS)), "doc_id", "part", "line").sortWithinPartitions("doc_id", "part", "line")
+    shared = spark.sparkContext.broadcast(spec)
+    rows = documents(docs)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    numbered = rows.withColumn("_at", F.monotonically_increasing_id())
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SPREAD_BYTES), -(-total // FILE_BYTES))
+    ordered = numbered.repartitionByRange(parts, "doc_id", "_at").sortWithinPartitions("doc_id", "_at")
+    cut = ordered.select("doc_id", F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0)).alias("words"))
 
     def write(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        writer, name = None, uuid.uuid4().hex
+        words, writer, name = Words(_library(shared.value)), None, uuid.uuid4().hex
         for table in tables:
-            for doc, ids in zip(table.column("doc_id").to_pylist(), table.column("ids"), strict=True):
+            for piece, distinct, word, ends in batches(table, "words", SLICE):
                 writer = writer or Writer(fs.open_output_stream(f"{root}/{name}", compression=None))
-                writer.add(doc, np.frombuffer(ids.as_buffer(), width))
+                ids, lengths = words.encode(distinct.to_numpy(zero_copy_only=False), word)
+                ends = offsets_of(lengths)[ends]
+                for doc, a, b in zip(piece.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
+                    writer.add(doc, np.append(ids[a:b], end))
         if writer is not None:
-            docs, n = writer.close()
-            yield pa.record_batch([pa.array([x]) for x in (f"{folder}/{name}", TaskContext.get().partitionId(), docs, n)], ["path", "file", "docs", "n"])
+            n_docs, n = writer.close()
+            yield pa.record_batch([pa.array([x]) for x in (f"{folder}/{name}", TaskContext.get().partitionId(), n_docs, n)], ["path", "file", "docs", "n"])
 
-    files = stage(ordered.select("doc_id", "ids").mapInArrow(write, "path string, file long, docs long, n long"), "token-id-files")
+    files = stage(cut.mapInArrow(write, "path string, file long, docs long, n long"), "token-id-files")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return stage(files.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))), "token-id-starts")
 
@@ -288,4 +329,4 @@ def binary_output(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     Null and empty texts are the closing id alone; repeated rows are documents each; rows without id come
     first; further columns are ignored; an empty table gives no file and no row.
     """
-    return read_files(write_files(stage(encode(docs, tokenizer, end), "token-ids")))
+    return read_files(write_files(docs, tokenizer, end))
