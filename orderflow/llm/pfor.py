@@ -39,7 +39,7 @@ READ_BLOCKS = 512  # blocks read at once
 MAGIC = b"PFOR0001"
 _HEAD = np.dtype([("least", "<u4"), ("n", "<u2"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
 SLICE = 1 << 19  # words encoded at once
-KNOWN = 1 << 20  # words whose ids a task remembers
+KNOWN = 1 << 19  # words whose ids a worker remembers
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -206,11 +206,15 @@ class Words:
 
     def __init__(self, library: Tokenizer) -> None:
         self.library = library
-        self.known: dict[str, int] = {}  # place of each word's ids
-        self.ids, self.offsets = np.empty(0, np.int64), np.zeros(1, np.int64)
-        self.parts: dict[str, list[int]] = {}  # ids of words without marks, and of marks
         self.mark = library.encode(self.MARK, add_special_tokens=False).ids
         self.ends = np.array([(library.id_to_token(i) or "").endswith("</w>") for i in range(library.get_vocab_size())])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # place of each word's ids
+        self.ids, self.offsets = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.parts: dict[str, int] = {"": 0}  # places of letters without marks, of marks, and of other words
+        self.part_ids, self.part_offsets = np.empty(0, np.int32), np.zeros(2, np.int64)
 
     @staticmethod
     def check(library: Tokenizer) -> None:
@@ -223,41 +227,57 @@ class Words:
         if not ok or not all((library.id_to_token(i) or "").endswith("</w>") for w in ("words", "é", Words.MARK) for i in ids(w)[-1:]):
             raise ValueError("the tokenizer does not cut words at white space and marks, or does not tell their ends")
 
-    def _joined(self, words: list[str], between: str) -> list[list[int]]:
-        texts = [between.join(words[a : a + self.JOINED]) for a in range(0, len(words), self.JOINED)]
-        return [coded.ids for coded in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _add_parts(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        if len(parts) != len(sizes):
+            raise ValueError("words and their ids do not add up")
+        self.parts.update(zip(parts, range(len(self.part_offsets) - 1, len(self.part_offsets) - 1 + len(parts)), strict=True))
+        self.part_ids = np.concatenate([self.part_ids, ids.astype(np.int32)])
+        self.part_offsets = np.concatenate([self.part_offsets, self.part_offsets[-1] + np.cumsum(sizes)])
+
+    def _learn_parts(self, parts: list[str], between: str) -> None:
+        texts = [parts[a : a + self.JOINED] for a in range(0, len(parts), self.JOINED)]
+        coded = self.library.encode_batch_fast([between.join(t) for t in texts], add_special_tokens=False)
+        for own, text in zip(coded, texts, strict=True):
+            ids = np.array(own.ids, np.int64)
+            if between == " ":
+                self._add_parts(text, ids, np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0))
+            else:
+                cuts = np.flatnonzero(ids == self.mark[0])
+                self._add_parts(text, np.delete(ids, cuts), np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1)
 
     def _learn(self, fresh: list[str]) -> None:
-        cut = [self.PLAIN(w) for w in fresh]
-        pairs = [(w, "") if m is None else (m[1].lower(), m[2]) for w, m in zip(fresh, cut, strict=True)]
-        letters = list(dict.fromkeys(a for (a, _), m in zip(pairs, cut, strict=True) if m is not None and a not in self.parts))
-        for at, ids in enumerate(self._joined(letters, " ")):
-            ids = np.array(ids)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            for word, own in zip(letters[at * self.JOINED : (at + 1) * self.JOINED], np.split(ids, ends[:-1]), strict=True):
-                self.parts[word] = own.tolist()
-        others = [w for w, m in zip(fresh, cut, strict=True) if m is None and self.MARK not in w]
-        for at, ids in enumerate(self._joined(others, f" {self.MARK} ")):
-            own: list[list[int]] = [[]]
-            for i in ids:
-                if i == self.mark[0]:
-                    own.append([])
-                else:
-                    own[-1].append(i)
-            self.parts.update(zip(others[at * self.JOINED : (at + 1) * self.JOINED], own, strict=True))
-        for word in {*(b for _, b in pairs), *(w for w in fresh if self.MARK in w)} - self.parts.keys():
-            self.parts[word] = self.library.encode(word, add_special_tokens=False).ids
-        lists = [self.parts[a] + self.parts[b] for a, b in pairs]
+        letters, others, marks, pairs = {}, [], {}, []
+        for word in fresh:
+            m = self.PLAIN(word)
+            if m is None:
+                pair = (word, "")
+                if self.MARK in word:
+                    marks[word] = None
+                elif word not in self.parts:
+                    others.append(word)
+            else:
+                pair = (m[1].lower(), m[2])
+                if pair[0] not in self.parts:
+                    letters[pair[0]] = None
+                if pair[1] not in self.parts:
+                    marks[pair[1]] = None
+            pairs.append(pair)
+        self._learn_parts(list(letters), " ")
+        self._learn_parts(others, f" {self.MARK} ")
+        for word in marks:
+            ids = np.array(self.library.encode(word, add_special_tokens=False).ids, np.int64)
+            self._add_parts([word], ids, np.array([len(ids)]))
+        places = np.fromiter((self.parts[x] for pair in pairs for x in pair), np.int64, 2 * len(pairs))
+        ids, sizes = ragged_take(self.part_ids, self.part_offsets, places)
         self.known.update(zip(fresh, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(fresh)), strict=True))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum()))])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes[::2] + sizes[1::2])])
 
     def encode(self, words: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids, one after another, and their number, of the ``word``-th of the distinct ``words`` each."""
         if len(self.known) > KNOWN:
-            self.__init__(self.library)
-        place = np.array([self.known.get(w, -1) for w in words], np.int64)
+            self._forget()
+        place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
         unseen = np.flatnonzero(place < 0)
         if len(unseen):
             self._learn(words[unseen].tolist())
@@ -265,6 +285,12 @@ class Words:
         return ragged_take(self.ids, self.offsets, place[word])
 
 
+@lru_cache(maxsize=1)
+def _words(spec: str) -> Words:
+    """Of this worker, which keeps what it has learnt from one task to the next."""
+    return Words(_library(spec))
+
+
 def write_files(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     """Encode ``docs`` into files in ascending order of ``doc_id``; returns a row per file: ``path``, ``file``, ``docs``, ``n``, ``start``.
 
@@ -288,7 +314,7 @@ def write_files(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
     def write(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        words, writer, name = Words(_library(shared.value)), None, uuid.uuid4().hex
+        words, writer, name = _words(shared.value), None, uuid.uuid4().hex
         for table in tables:
             for piece, distinct, word, ends in batches(table, "words", SLICE):
                 writer = writer or Writer(fs.open_output_stream(f"{root}/{name}", compression=None))

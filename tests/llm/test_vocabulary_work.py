@@ -190,7 +190,7 @@ def test_reader_reads_ranges(tmp_path):
         assert reader.ids(a, b).tolist() == flat[a:b].tolist()
 
 
-@pytest.mark.parametrize("file_bytes, known", [(1 << 27, 1 << 20), (2000, 2)])
+@pytest.mark.parametrize("file_bytes, known", [(1 << 27, 1 << 19), (2000, 2)])
 def test_files_hold_the_librarys_ids(spark, monkeypatch, file_bytes, known):
     monkeypatch.setattr(pfor, "FILE_BYTES", file_bytes)
     monkeypatch.setattr(pfor, "SPREAD_BYTES", file_bytes)
