@@ -12,16 +12,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.casts import all_of, first_failing
+from orderflow.operators.components import components
 from orderflow.operators.probe import Asked, ask, measured, measures, stored_among
 from orderflow.operators.skew import LOOKUP_ROWS, left_join_unique
 from orderflow.schema import Table
 from orderflow.session import stage
 
 
+# Rows in conflict that one task walks through.
+SETTLE_ROWS = 200_000
+
+
 @dataclass(frozen=True)
 class Rule:
     """``columns`` of the batch must (or must not) be among ``stored_columns`` of ``stored``."""
@@ -203,17 +209,19 @@ def outcome_counts(df: DataFrame) -> DataFrame:
 
 
 def mark_conflicts(
-    batch: DataFrame, uniques: dict[str, str], position: str, lookup_rows: int = LOOKUP_ROWS
+    batch: DataFrame, uniques: dict[str, str], position: str, lookup_rows: int = LOOKUP_ROWS, settle_rows: int | None = None
 ) -> DataFrame:
     """Several unique columns at once, as inserting row by row would decide.
 
     ``uniques`` maps a column to the reason given when an *inserted* earlier row has its value.  A
     row loses only to a row that itself got in, so the columns cannot be handled one after the
-    other.  Rows are decided in rounds: whoever is first in all of its groups gets in, whoever
-    shares a value with such a row is out, the rest go on.  Only rows in repeated groups take
-    part, as keys and positions, and each round decides the earliest row of every conflict; the
-    number of rounds is that of the longest chain of conflicts, mostly one or two.
+    other.  Only rows in repeated groups take part, as keys and positions.  Up to ``settle_rows`` of
+    them are walked through in order, by one task.  Of more, those first in all of their groups get in
+    and whoever shares a value with them is out; this settles most conflicts.  If many are left after
+    two such rounds, the components of rows that share values are settled each in a task, and only
+    components of more than ``settle_rows`` go on in rounds.
     """
+    settle_rows = SETTLE_ROWS if settle_rows is None else settle_rows
     if "reject_reason" not in batch.columns:
         batch = batch.withColumn("reject_reason", F.lit(None).cast("string"))
     columns = list(uniques)
@@ -221,32 +229,99 @@ def mark_conflicts(
     live = batch.filter(F.col("reject_reason").isNull()).select(
         F.col(position).alias("_at"), *[F.col(c).alias(k) for c, k in keys.items()]
     )
-    open_rows = _conflicting(live, list(keys.values()))
+    every = open_rows = _conflicting(live, list(keys.values()))
     losers: list[DataFrame] = []
-    while not open_rows.isEmpty():
-        first = open_rows
-        for k in keys.values():
-            lead = open_rows.groupBy(k).agg(F.min("_at").alias("_at"))
-            # Joined on value and position, which no hot value can skew; a NULL value is never taken.
-            named = first.filter(F.col(k).isNotNull()).join(lead, [k, "_at"], "left_semi")
-            first = named.unionByName(first.filter(F.col(k).isNull()))
-        winners = stage(first, "winners")
-        rest = open_rows.join(winners.select("_at"), "_at", "left_anti")
-        n_winners, *chars = winners.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(F.length(k)), F.lit(0)) for k in keys.values()]).first()
-        for (c, k), size in zip(keys.items(), chars):
-            taken = winners.select(F.col(k).alias("_taken"), F.lit(uniques[c]).alias(f"_why{k}")).dropna()
-            rest = left_join_unique(rest, taken, F.col(k), "_taken", n_winners, size, lookup_rows)
-        why = F.coalesce(*[F.col(f"_why{k}") for k in keys.values()])
-        rest = stage(rest.select("_at", *keys.values(), why.alias("_why")), "conflicts")
+    reasons = {k: uniques[c] for c, k in keys.items()}
+    rounds = 0
+    while n_open := open_rows.count():
+        if n_open <= settle_rows:
+            losers.append(_settled(open_rows.withColumn("_group", F.lit(0)), reasons))
+            break
+        if rounds == 2:
+            small, open_rows = _small_components(open_rows, list(keys.values()), settle_rows)
+            losers.append(_settled(small, reasons))
+        rounds += 1
+        rest = _round(open_rows, reasons, lookup_rows)
         losers.append(rest.filter(F.col("_why").isNotNull()).select("_at", "_why"))
         open_rows = rest.filter(F.col("_why").isNull()).drop("_why")
     if not losers:
         return batch
     lost = stage(reduce(DataFrame.unionByName, losers), "losers")
+    if rounds:
+        lost = stage(_reasoned(every, lost, reasons, lookup_rows), "losers")
     marked = batch.join(lost.withColumnRenamed("_at", position), position, "left")
     return marked.withColumn("reject_reason", F.coalesce("reject_reason", "_why")).select(*batch.columns)
 
 
+def _settled(rows: DataFrame, reasons: dict[str, str]) -> DataFrame:
+    """(``_at``, ``_why``) of the rows of each ``_group`` that lose when they are inserted in order."""
+
+    def insert(table: pa.Table) -> pa.Table:
+        taken: dict[str, set] = {k: set() for k in reasons}
+        order = table.sort_by("_at")
+        values = {k: order.column(k).to_pylist() for k in reasons}
+        why: list[str | None] = []
+        for row in range(order.num_rows):
+            own = {k: values[k][row] for k in reasons if values[k][row] is not None}
+            reason = next((reasons[k] for k, v in own.items() if v in taken[k]), None)
+            if reason is None:
+                for k, v in own.items():
+                    taken[k].add(v)
+            why.append(reason)
+        out = pa.table({"_at": order.column("_at"), "_why": pa.array(why, pa.string())})
+        return out.filter(out.column("_why").is_valid())
+
+    kind = dict(rows.dtypes)["_at"]
+    return rows.groupBy("_group").applyInArrow(insert, f"_at {kind}, _why string")
+
+
+def _round(open_rows: DataFrame, reasons: dict[str, str], lookup_rows: int) -> DataFrame:
+    """All but the rows that are first in each of their groups, with ``_why`` if they share a value with such a row."""
+    first = open_rows
+    for k in reasons:
+        lead = open_rows.groupBy(k).agg(F.min("_at").alias("_at"))
+        # Joined on value and position, which no hot value can skew; a NULL value is never taken.
+        named = first.filter(F.col(k).isNotNull()).join(lead, [k, "_at"], "left_semi")
+        first = named.unionByName(first.filter(F.col(k).isNull()))
+    winners = stage(first, "winners")
+    rest = open_rows.join(winners.select("_at"), "_at", "left_anti")
+    n_winners, *chars = winners.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(F.length(k)), F.lit(0)) for k in reasons]).first()
+    for (k, reason), size in zip(reasons.items(), chars):
+        taken = winners.select(F.col(k).alias("_taken"), F.lit(reason).alias(f"_why{k}")).dropna()
+        rest = left_join_unique(rest, taken, F.col(k), "_taken", n_winners, size, lookup_rows)
+    why = F.coalesce(*[F.col(f"_why{k}") for k in reasons])
+    return stage(rest.select("_at", *reasons, why.alias("_why")), "conflicts")
+
+
+def _reasoned(rows: DataFrame, lost: DataFrame, reasons: dict[str, str], lookup_rows: int) -> DataFrame:
+    """``lost`` with the reason a row-by-row insert gives: the first column whose value an earlier row got in with.
+
+    A round knows only the winners so far, of which a later one may hold a value of an earlier column.
+    """
+    winners = stage(rows.join(lost.select("_at"), "_at", "left_anti"), "winners")
+    n_winners, *chars = winners.agg(F.count(F.lit(1)), *[F.coalesce(F.sum(F.length(k)), F.lit(0)) for k in reasons]).first()
+    out = rows.join(lost.select("_at"), "_at", "left_semi")
+    why = []
+    for (k, reason), size in zip(reasons.items(), chars):
+        holder = winners.select(F.col(k).alias("_taken"), F.col("_at").alias(f"_by{k}")).dropna()
+        out = left_join_unique(out, holder, F.col(k), "_taken", n_winners, size, lookup_rows)
+        why.append(F.when(F.col(f"_by{k}") < F.col("_at"), reason))
+    return out.select("_at", F.coalesce(*why).alias("_why"))
+
+
+def _small_components(open_rows: DataFrame, keys: list[str], settle_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows in components of at most ``settle_rows`` rows, with their ``_group``, and the other rows."""
+    tied = []
+    for k in keys:
+        lead = open_rows.dropna(subset=[k]).groupBy(k).agg(F.min("_at").alias("b"))
+        tied.append(open_rows.join(lead, k).select(F.col("_at").alias("a"), "b"))
+    found = stage(components(reduce(DataFrame.unionByName, tied)), "components")
+    large = found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > settle_rows).select("component")
+    grouped = open_rows.join(found.withColumnRenamed("node", "_at"), "_at", "left").withColumn("_group", F.coalesce("component", "_at")).drop("component")
+    grouped = stage(grouped.join(large.select(F.col("component").alias("_group"), F.lit(True).alias("_large")), "_group", "left"), "conflicts")
+    return grouped.filter(F.col("_large").isNull()).drop("_large"), grouped.filter("_large").drop("_large", "_group")
+
+
 def _conflicting(live: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that share a value of some key with another row."""
     parts = []

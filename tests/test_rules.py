@@ -1,11 +1,13 @@
 """Constraints against brute force in plain Python."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from orderflow.operators import probe, rules
+from orderflow.operators.components import components
 from orderflow.schema import TABLES
 
 
@@ -24,18 +26,63 @@ def insert_one_by_one(rows, existing_ids, existing_mails):
     return out
 
 
-@pytest.mark.parametrize(("seed", "lookup_rows"), [(1, 100_000), (2, 100_000), (3, 0)])
-def test_two_unique_columns_decide_like_row_by_row_inserts(spark, seed, lookup_rows):
+@pytest.mark.parametrize(("seed", "lookup_rows", "settle_rows"), [(1, 100_000, None), (2, 100_000, 0), (3, 0, 0), (4, 0, 6)])
+def test_two_unique_columns_decide_like_row_by_row_inserts(spark, seed, lookup_rows, settle_rows):
     rnd = random.Random(seed)
     rows = [(i, f"k{rnd.randrange(25)}", rnd.choice([None, f"m{rnd.randrange(20)}"])) for i in range(80)]
     df = spark.createDataFrame(rows, "pos long, id string, mail string").repartition(3)
-    got = rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos", lookup_rows)
-    accepted = {r["pos"] for r in got.filter("reject_reason IS NULL").collect()}
-    want = insert_one_by_one(rows, [], [])
-    assert accepted == {p for p, why in want.items() if why is None}
+    got = rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos", lookup_rows, settle_rows)
+    assert {r["pos"]: r["reject_reason"] for r in got.collect()} == insert_one_by_one(rows, [], [])
     assert got.count() == len(rows)
 
 
+def _chains(lengths):
+    """Rows each of which shares its id with the one before and its mail with the one after it."""
+    rows, at = [], 0
+    for c, n in enumerate(lengths):
+        for i in range(n):
+            rows.append((at, f"k{c}-{(i + 1) // 2}", f"m{c}-{i // 2}"))
+            at += 1
+    return rows
+
+
+def test_a_chain_of_conflicts_takes_a_bounded_number_of_jobs(spark):
+    rows = _chains([2000])
+    df = spark.createDataFrame(rows, "pos long, id string, mail string").repartition(3)
+    start = time.monotonic()
+    got = {r["pos"]: r["reject_reason"] for r in rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos").collect()}
+    assert time.monotonic() - start < 30
+    assert got == insert_one_by_one(rows, [], []) and sum(v is None for v in got.values()) == 1000
+
+
+def test_many_long_chains_are_settled_by_component(spark, monkeypatch):
+    rounds = []
+    plain = rules._round
+    monkeypatch.setattr(rules, "_round", lambda *a: rounds.append(1) or plain(*a))
+    rows = _chains([40] * 12 + [70])
+    df = spark.createDataFrame(rows, "pos long, id string, mail string").repartition(3)
+    got = {r["pos"]: r["reject_reason"] for r in rules.mark_conflicts(df, {"id": "duplicate_in_batch", "mail": "duplicate_email"}, "pos", settle_rows=65).collect()}
+    assert got == insert_one_by_one(rows, [], []) and len(rounds) <= 6
+
+
+def test_components(spark):
+    rnd = random.Random(2)
+    pairs = [(rnd.randrange(120), rnd.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 260)] + [(5, 5), (300, 300)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {x: root(x) for x in list(parent)}
+    assert components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
 def test_a_loser_does_not_block_others(spark):
     rows = [(1, "a", "x"), (2, "b", "x"), (3, "b", "y")]  # 2 loses by mail, so 3 may use its id
     df = spark.createDataFrame(rows, "pos long, id string, mail string")
