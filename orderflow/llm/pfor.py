@@ -38,8 +38,8 @@ SPREAD_BYTES = 1 << 22  # with less text than this for each shuffle partition th
 READ_BLOCKS = 512  # blocks read at once
 MAGIC = b"PFOR0001"
 _HEAD = np.dtype([("least", "<u4"), ("n", "<u2"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
-SLICE = 1 << 19  # words encoded at once
-KNOWN = 1 << 19  # words whose ids a worker remembers
+SLICE = 1 << 20  # words encoded at once
+KNOWN = 1 << 19  # words, and parts of words, whose ids a worker remembers
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -245,7 +245,8 @@ class Words:
                 cuts = np.flatnonzero(ids == self.mark[0])
                 self._add_parts(text, np.delete(ids, cuts), np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1)
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _coded(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after another, and how many each has."""
         letters, others, marks, pairs = {}, [], {}, []
         for word in fresh:
             m = self.PLAIN(word)
@@ -269,20 +270,28 @@ class Words:
             self._add_parts([word], ids, np.array([len(ids)]))
         places = np.fromiter((self.parts[x] for pair in pairs for x in pair), np.int64, 2 * len(pairs))
         ids, sizes = ragged_take(self.part_ids, self.part_offsets, places)
-        self.known.update(zip(fresh, range(len(self.offsets) - 1, len(self.offsets) - 1 + len(fresh)), strict=True))
-        self.ids = np.concatenate([self.ids, ids])
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes[::2] + sizes[1::2])])
+        return ids, sizes[::2] + sizes[1::2]
 
     def encode(self, words: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids, one after another, and their number, of the ``word``-th of the distinct ``words`` each."""
-        if len(self.known) > KNOWN:
+        """Ids, one after another, and their number, of the ``word``-th of the distinct ``words`` each.
+
+        Words met more than once are remembered, and the parts of all.
+        """
+        if max(len(self.known), len(self.parts)) > KNOWN:
             self._forget()
         place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
         unseen = np.flatnonzero(place < 0)
+        ids, offsets = self.ids, self.offsets
         if len(unseen):
-            self._learn(words[unseen].tolist())
-            place[unseen] = np.arange(len(self.offsets) - 1 - len(unseen), len(self.offsets) - 1)
-        return ragged_take(self.ids, self.offsets, place[word])
+            often = np.bincount(word, minlength=len(words))[unseen] > 1
+            unseen = np.concatenate([unseen[often], unseen[~often]])
+            more, sizes = self._coded(words[unseen].tolist())
+            place[unseen] = np.arange(len(offsets) - 1, len(offsets) - 1 + len(unseen))
+            ids, offsets = np.concatenate([ids, more]), np.concatenate([offsets, offsets[-1] + np.cumsum(sizes)])
+            n = len(self.offsets) + int(often.sum())
+            self.known.update(zip(words[unseen[: int(often.sum())]].tolist(), range(len(self.offsets) - 1, n - 1), strict=True))
+            self.ids, self.offsets = ids[: offsets[n - 1]], offsets[:n]
+        return ragged_take(ids, offsets, place[word])
 
 
 @lru_cache(maxsize=1)
