@@ -26,30 +26,40 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.keep_clean(docs, model)
 
 
-def _by_text(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_text_key``: the id, or where ids repeat the rank of id and text, so that each text has its own."""
-    ids = docs.filter("doc_id is not null").groupBy("doc_id").count()
-    if ids.filter("count > 1").isEmpty():
-        return docs.withColumn("_text_key", F.col("doc_id").cast("long"))
-    digested = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    ranks = dense_index(digested.filter("doc_id is not null").select("doc_id", "_digest").distinct(), ["doc_id", "_digest"], "_text_key")
-    return stage(digested.join(ranks, ["doc_id", "_digest"], "left").select(*docs.columns, "_text_key"), "pipeline-keys")
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """``names`` made so that no column of ``docs`` has them."""
+    taken = {c.lower() for c in docs.columns}
+    longest = max(map(len, docs.columns), default=0)
+    return [n if n.lower() not in taken else n + "_" * (longest + 1) for n in names]
+
+
+def _by_text(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with ``key``: the id, or where ids repeat the rank of id and text, so that each text has its own."""
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.filter("n > 1").isEmpty():
+        return docs.withColumn(key, F.col("doc_id").cast("long"))
+    (digest,) = _unused(docs, "_digest")
+    digested = docs.withColumn(digest, F.sha2(F.coalesce("text", F.lit("")), 256))
+    ranks = dense_index(digested.filter("doc_id is not null").select("doc_id", digest).distinct(), ["doc_id", digest], key)
+    return stage(digested.join(ranks, ["doc_id", digest], "left").select(*docs.columns, key), "pipeline-keys")
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies one row stays, of the smallest id and under it of the smallest digest of its text.
 
-    Rows without words, or without id, are in no group and stay, all of them.
+    Rows without words, or without id, are in no group and stay, all of them.  Further columns pass
+    through, whatever their names.
     """
-    keyed = _by_text(docs)
-    found = partenum.join(keyed.select(F.col("_text_key").alias("doc_id"), "text")).filter(F.col("n_shingles") > 0).filter("doc_id is not null")
-    copies = found.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
+    key, copy, first, rows = _unused(docs, "_text_key", "_copy", "_first", "_rows")
+    keyed = _by_text(docs, key)
+    found = partenum.join(keyed.select(F.col(key).alias("doc_id"), "text")).filter(F.col("n_shingles") > 0).filter("doc_id is not null")
+    copies = found.groupBy("doc_id").agg(F.min("component_id").alias(first), F.count("*").alias(rows))
     # staged, so that its true size decides how it meets the documents
-    copies = stage(copies.filter("doc_id <> first or rows > 1").select(F.col("doc_id").alias("copy_id"), "first", "rows"), "pipeline-copies")
-    marked = keyed.join(copies, keyed["_text_key"] == copies["copy_id"], "left")
-    single = marked.filter("copy_id is null").select(*docs.columns)
+    copies = stage(copies.filter((F.col("doc_id") != F.col(first)) | (F.col(rows) > 1)).select(F.col("doc_id").alias(copy), first, rows), "pipeline-copies")
+    marked = keyed.join(copies, F.col(key) == F.col(copy), "left")
+    single = marked.filter(F.col(copy).isNull()).select(*docs.columns)
     # rows of one key have one text
-    again = marked.filter("copy_id = first").dropDuplicates(["_text_key"]).select(*docs.columns)
+    again = marked.filter(F.col(copy) == F.col(first)).dropDuplicates([key]).select(*docs.columns)
     return single.unionByName(again)
 
 
