@@ -114,9 +114,9 @@ def neighbours(table: DataFrame, k: int = 10, every: int = 100, recall: float =
     smallest vector asks, and none of them answers.  ``recall`` is reached on held-out rows of the
     sample.  Where the leaves visited hold fewer than ``k`` others, the search goes on to the rest.
     Ties go to the smaller id; repeated rows answer each.  Vectors that are null, empty, zero or hold
-    null or non-finite components, and rows without id, take no part; those of another length than
-    most of the sample are neither asked nor answer.  Further columns are ignored; an empty table
-    gives no row.
+    null or non-finite components, and rows without id, take no part.  Vectors answer those of their own
+    length: each length has a tree of its own, of one leaf, which is searched as a whole, where the
+    sample has only few of it.  Further columns are ignored; an empty table gives no row.
     """
     spark = table.sparkSession
     vectors = vectors_of(table, zero=False)
@@ -124,74 +124,81 @@ def neighbours(table: DataFrame, k: int = 10, every: int = 100, recall: float =
     pieces = [m for b in drawn.to_batches() for _, _, m in matrices(b, SAMPLE + PROBES)]
     if not pieces:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    sample = max(pieces, key=len)
-    dim = sample.shape[1]
-    probes = sample[:PROBES] if len(sample) > 4 * PROBES else sample[:0]
-    sample = sample[len(probes) :]
-    tree = Tree.fit(sample)
-    n_leaves = sum(not c for c in tree.children)
-    visits = tree.calibrate(sample, probes, k, recall) if len(probes) else n_leaves
-    shared = spark.sparkContext.broadcast(tree)
-    vectors = vectors.filter(F.size("embedding") == dim)
+    forest: dict[int, tuple[Tree, int]] = {}  # by length: the tree and how many leaves are visited
+    for sample in pieces:
+        if len(sample) > LEAF:
+            probes = sample[: min(PROBES, len(sample) // 5)]
+            sample = sample[len(probes) :]
+            tree = Tree.fit(sample)
+            forest[sample.shape[1]] = (tree, tree.calibrate(sample, probes, k, recall))
+    single = Tree(np.zeros((1, 1)), [[]])
+    shared = spark.sparkContext.broadcast(forest)
 
     def file(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables:
             for _, ids, matrix in matrices(batch, 1 << 14):
+                dim = matrix.shape[1]
+                tree = shared.value.get(dim, (single,))[0]
                 rows = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * dim), len(ids), [None, pa.py_buffer(np.ascontiguousarray(matrix))])
-                yield pa.record_batch([pa.array(shared.value.leaf_of(matrix)), pa.array(ids), rows.cast(pa.binary())], ["leaf", "vec_id", "vector"])
+                dims = pa.array(np.full(len(ids), dim, np.int32))
+                yield pa.record_batch([dims, pa.array(tree.leaf_of(matrix)), pa.array(ids), rows.cast(pa.binary())], ["dim", "leaf", "vec_id", "vector"])
 
-    filed = stage(vectors.mapInArrow(file, "leaf int, vec_id long, vector binary"), "tree-rows")
-    sizes = stage(filed.groupBy("leaf").agg(F.count("*").alias("n")), "tree-sizes")  # a row per leaf, bounded by the sample
-    fullest = {r.leaf: r.n for r in sizes.collect()}
-    shares = F.broadcast(sizes.select("leaf", F.ceil(F.col("n") / SHARE).cast("int").alias("shares")))
-    spread = filed.join(shares, "leaf").withColumn("salt", F.pmod(F.hash("vec_id"), "shares")).drop("shares")
+    filed = stage(vectors.mapInArrow(file, "dim int, leaf int, vec_id long, vector binary"), "tree-rows")
+    sizes = stage(filed.groupBy("dim", "leaf").agg(F.count("*").alias("n")), "tree-sizes")
+    # a row per leaf of the trees, whose number the sample bounds
+    fullest = {(r.dim, r.leaf): r.n for r in sizes.filter(F.col("dim").isin(list(forest))).collect()} if forest else {}
+    shares = sizes.filter(F.col("n") > SHARE).select("dim", "leaf", F.ceil(F.col("n") / SHARE).cast("int").alias("shares"))
+    spread = filed.join(shares, ["dim", "leaf"], "left").withColumn("salt", F.pmod(F.hash("vec_id"), F.coalesce("shares", F.lit(1)))).drop("shares")
 
     def block(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(leaf: int, ids: list[np.ndarray], rows: list[bytes]) -> pa.RecordBatch:
-            return pa.record_batch([pa.array([leaf], pa.int32()), pa.array([np.concatenate(ids).tobytes()]), pa.array([b"".join(rows)])], ["leaf", "ids", "rows"])
+        def out(key: tuple[int, int], ids: list[np.ndarray], rows: list[bytes]) -> pa.RecordBatch:
+            dim, leaf = (pa.array([x], pa.int32()) for x in key)
+            return pa.record_batch([dim, leaf, pa.array([np.concatenate(ids).tobytes()]), pa.array([b"".join(rows)])], ["dim", "leaf", "ids", "rows"])
 
-        last, ids, rows, held = -1, [], [], 0
+        last, ids, rows, held = (-1, -1), [], [], 0
         for batch in tables:
-            leaf, ident = np.asarray(batch.column("leaf")), np.asarray(batch.column("vec_id"))
-            cuts = [0, *(np.flatnonzero(np.diff(leaf)) + 1), len(leaf)]
+            dim, leaf, ident = (np.asarray(batch.column(c)) for c in ("dim", "leaf", "vec_id"))
+            cuts = [0, *(np.flatnonzero((np.diff(leaf) != 0) | (np.diff(dim) != 0)) + 1), len(leaf)]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 while a < b:
-                    if held and (leaf[a] != last or held == BLOCK):
+                    key = (int(dim[a]), int(leaf[a]))
+                    if held and (key != last or held == BLOCK):
                         yield out(last, ids, rows)
                         ids, rows, held = [], [], 0
                     stop = min(b, a + BLOCK - held)
-                    last = int(leaf[a])
+                    last = key
                     ids.append(ident[a:stop])
                     rows.extend(batch.column("vector").slice(a, stop - a).to_pylist())
                     held, a = held + stop - a, stop
         if held:
             yield out(last, ids, rows)
 
-    blocks = spread.repartition("leaf", "salt").sortWithinPartitions("leaf", "vec_id").mapInArrow(block, "leaf int, ids binary, rows binary")
+    blocks = spread.repartition("dim", "leaf", "salt").sortWithinPartitions("dim", "leaf", "vec_id").mapInArrow(block, "dim int, leaf int, ids binary, rows binary")
 
     def visit(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
         for batch in tables:
             for _, ids, matrix in matrices(batch, 4096):
+                dim = matrix.shape[1]
+                tree, visits = shared.value.get(dim, (single, 1))
                 by_leaf: dict[int, list[int]] = {}
                 for row, point in enumerate(matrix):
                     seen = 0  # rows met; own rows are among them, so one more than k is wanted
                     for n, leaf in enumerate(tree.leaves(point)):
                         if n >= visits and seen > k:
                             break
-                        seen += fullest.get(leaf, 0)
+                        seen += fullest.get((dim, leaf), 0)
                         by_leaf.setdefault(leaf, []).append(row)
                 leaves = list(by_leaf)
                 yield pa.record_batch(
-                    [pa.array(leaves, pa.int32()), pa.array([ids[by_leaf[x]].tobytes() for x in leaves]), pa.array([matrix[by_leaf[x]].tobytes() for x in leaves])],
-                    ["leaf", "asked", "queries"],
+                    [pa.array([dim] * len(leaves), pa.int32()), pa.array(leaves, pa.int32()), pa.array([ids[by_leaf[x]].tobytes() for x in leaves]), pa.array([matrix[by_leaf[x]].tobytes() for x in leaves])],
+                    ["dim", "leaf", "asked", "queries"],
                 )
 
-    asked = queries_of(vectors, every).hint("rebalance").mapInArrow(visit, "leaf int, asked binary, queries binary")
+    asked = queries_of(vectors, every).hint("rebalance").mapInArrow(visit, "dim int, leaf int, asked binary, queries binary")
 
     def search(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tables:
-            for ids, rows, asked, queries in zip(*(batch.column(c) for c in ("ids", "rows", "asked", "queries")), strict=True):
+            for dim, ids, rows, asked, queries in zip(batch.column("dim").to_pylist(), *(batch.column(c) for c in ("ids", "rows", "asked", "queries")), strict=True):
                 ids, asked = np.frombuffer(ids.as_buffer(), np.int64), np.frombuffer(asked.as_buffer(), np.int64)
                 rows, queries = (np.frombuffer(x.as_buffer(), np.float64).reshape(-1, dim) for x in (rows, queries))
                 by_id = np.argsort(ids, kind="stable")
@@ -207,5 +214,5 @@ def neighbours(table: DataFrame, k: int = 10, every: int = 100, recall: float =
                     query = np.broadcast_to(asked[at : at + step, None], top.shape)
                     yield pa.record_batch([pa.array(query[there]), pa.array(ids[top[there]]), pa.array(score[there])], ["query_id", "vec_id", "score"])
 
-    met = stage(blocks, "tree-blocks").join(stage(asked, "tree-visits"), "leaf").select("ids", "rows", "asked", "queries")
+    met = stage(blocks, "tree-blocks").join(stage(asked, "tree-visits"), ["dim", "leaf"]).select("dim", "ids", "rows", "asked", "queries")
     return best(met.mapInArrow(search, "query_id long, vec_id long, score double"), k, nearest=True)

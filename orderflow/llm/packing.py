@@ -24,7 +24,8 @@ from orderflow.llm.bpe import Bpe, encode, pretokens
 from orderflow.llm.common import documents
 from orderflow.session import stage
 
-MAX_QUEUES = 1024  # bound of what the driver sees of the sources; the rest joins the largest queue
+MAX_QUEUES = 1024  # bound of what the driver sees of the sources; the rest shares one queue
+REST = "rest"  # its name; queues of one source are named s:source
 PIECE_ROWS = 1024
 
 
@@ -103,8 +104,8 @@ def pack(
 
     A document's tokens are its ids and ``eos``.  ``targets`` gives the weight of every source
     in a window; when a queue ends, the others share its place.  Without it the proportions are the
-    corpus's own.  A source that would not even get two tokens of a window on average, or is not
-    among the 1024 largest, shares the largest source's queue.  ``ids`` are little-endian unsigned
+    corpus's own.  Sources that would not even get two tokens of a window on average, or are not among
+    the 1024 largest, share a queue, in the order of their hashes.  ``targets`` must name every source.  ``ids`` are little-endian unsigned
     32-bit integers.  Null and empty texts are the closing id alone; a null source is one named '';
     repeated rows are packed each; a null id stays null; further columns are ignored; an empty table
     gives no piece.  Long documents go on in the next sequences.
@@ -140,23 +141,22 @@ def pack(
     top = {r.source: r.n for r in by_source.orderBy(F.desc("n"), "source").limit(MAX_QUEUES).collect()}
     if targets is not None:
         weight = sum(targets.values())
-        if not set(top) <= set(targets) or len(targets) > MAX_QUEUES or min(targets.values()) * window < 2 * weight:
-            raise ValueError("targets must give every source a weight worth two tokens of a window")
-        totals = dict(sorted(top.items()))
+        if by_source.count() > len(top) or not set(top) <= set(targets) or min(targets.values()) * window < 2 * weight:
+            raise ValueError(f"targets must give every source, {MAX_QUEUES} at most, a weight worth two tokens of a window")
+        targets = {f"s:{s}": w for s, w in targets.items()}
+        totals = {f"s:{s}": n for s, n in sorted(top.items())}
     else:
-        totals = {s: n for s, n in sorted(top.items()) if n * window >= 2 * total}
+        totals = {f"s:{s}": n for s, n in sorted(top.items()) if n * window >= 2 * total}
         rest = total - sum(totals.values())
         if rest:
-            largest = next(iter(top))
-            totals[largest] = totals.get(largest, 0) + rest
-    shared_queue = next(iter(top), "")
-    queues = spark.createDataFrame([(q, q) for q in totals], "source string, queue string")
+            totals[REST] = rest
+    queues = spark.createDataFrame([(q[2:], q) for q in totals if q != REST], "source string, queue string")
 
     # where each partition's part of a source begins in its queue
-    order = Window.partitionBy("queue").orderBy("source", "part").rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.partitionBy("queue").orderBy(F.xxhash64("source"), "source", "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         sums.join(F.broadcast(queues), "source", "left")
-        .withColumn("queue", F.coalesce("queue", F.lit(shared_queue)))
+        .withColumn("queue", F.coalesce("queue", F.lit(REST)))
         .select("source", "part", "queue", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
     )
     placed = coded.join(stage(bases, "pack-bases"), ["source", "part"])

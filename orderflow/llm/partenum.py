@@ -31,8 +31,11 @@ from orderflow.session import stage
 SAMPLE = 20_000  # texts that tell which shingles are common
 COMMON = 200_000  # of them remembered at most
 RANGE = 1 << 21  # signatures a task sorts at once
-CHUNK = 1024  # sets of a group compared in one task
-BLOOM_BITS = 1 << 26
+CHUNK = 1024  # sets of a group compared in one task, and
+CHUNK_SHINGLES = 1 << 20  # the shingles they have together, on average
+KNOWN = 1 << 16  # sets a task remembers, to work on copies once
+FILTER_BITS = 16  # per id of a filter of ids; two in a thousand others pass
+FILTER_IDS = 1 << 22  # more ids than this (a filter of 8 MB) meet the texts by a join instead
 _NUM, _DEN = 3, 4  # similarity
 
 
@@ -175,9 +178,9 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[other]], nodes[other]
 
 
-def _bloom(ids: np.ndarray) -> list[np.ndarray]:
+def _bloom(ids: np.ndarray, bits: int) -> list[np.ndarray]:
     ids = ids.astype(np.int64).view(np.uint64)
-    return [(mix(ids, salt) % np.uint64(BLOOM_BITS)).astype(np.int64) for salt in (11, 12, 13)]
+    return [(mix(ids, salt) % np.uint64(bits)).astype(np.int64) for salt in (11, 12, 13)]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -239,16 +242,19 @@ def join(docs: DataFrame) -> DataFrame:
     sampled = rows.join(F.broadcast(drawn), "doc_id").select("text").mapInArrow(list_sets, "sketch long, sets array<long>")
     one = sampled.groupBy("sketch").agg(F.min("sets").alias("sets"))
     often = one.select(F.explode("sets").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
-    common = np.sort(np.array([r.h for r in often.orderBy(F.desc("n"), "h").limit(COMMON).collect()], np.int64).view(np.uint64))
+    held = often.orderBy(F.desc("n"), "h").limit(COMMON).select("h").toArrow().column("h")
+    common = np.sort(np.array(held, np.int64).view(np.uint64))
     hints = spark.sparkContext.broadcast(common)
 
     total = classes.agg(F.sum(F.col("n") / 3 * 1.5 + 1)).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(total / RANGE) + 1)
 
     def sign(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[tuple[int, int]] = set()  # the sets this task has signed: copies sign once
+        known: set[tuple[int, int]] = set()  # sets this task has signed: copies need not sign again
         for table in tables:
             for _, sets, ends in slices(table, "text"):
+                if len(known) > KNOWN:
+                    known.clear()
                 first, second = digests(sets, ends)
                 key, owner = signatures(sets, ends, hints.value)
                 fresh = np.zeros(len(first), bool)
@@ -295,21 +301,29 @@ def join(docs: DataFrame) -> DataFrame:
 
     wanted = stage(classes.join(members.select(F.col("member").alias("d1")).distinct(), "d1", "left_semi"), "join-wanted")
 
-    def fill(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM_BITS // 8, np.uint8)
-        for table in tables:
-            for at in _bloom(np.asarray(table.column("rep"))):
-                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-        yield pa.record_batch([pa.array([bits.tobytes()])], ["bits"])
-
     def again(reps: DataFrame, made: str) -> DataFrame:
-        """Rows of the texts of ``reps`` (``rep``) once more, with their sketches or their shingles.
+        """Rows of the texts of the distinct ``reps`` (``rep``) once more, with their sketches or their shingles.
 
-        They are known by a filter of fixed size, so some others may come along.
+        They are known by a filter, so some others may come along; more than ``FILTER_IDS`` by a join.
         """
-        bloom = np.zeros(BLOOM_BITS // 8, np.uint8)
-        for r in reps.coalesce(4).mapInArrow(fill, "bits binary").toLocalIterator():
-            bloom |= np.frombuffer(r.bits, np.uint8)
+        n = reps.count()
+        bits = 1 << max(16, (FILTER_BITS * max(n, 1) - 1).bit_length())
+        bloom = np.zeros(bits // 8, np.uint8)
+
+        def fill(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own = np.zeros(bits // 8, np.uint8)
+            for table in tables:
+                for at in _bloom(np.asarray(table.column("rep")), bits):
+                    np.bitwise_or.at(own, at >> 3, (1 << (at & 7)).astype(np.uint8))
+            yield pa.record_batch([pa.array([own.tobytes()])], ["bits"])
+
+        texts = rows.filter(F.col("doc_id").isNotNull())
+        if n <= FILTER_IDS:
+            for r in reps.coalesce(2).mapInArrow(fill, "bits binary").toLocalIterator():
+                bloom |= np.frombuffer(r.bits, np.uint8)
+        else:
+            bloom[:] = 255
+            texts = texts.join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
         filter_ = spark.sparkContext.broadcast(bloom)
 
         def fetch(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,9 +331,11 @@ def join(docs: DataFrame) -> DataFrame:
             for table in tables:
                 ids = np.asarray(table.column("doc_id"))
                 hit = np.ones(len(ids), bool)
-                for at in _bloom(ids):
+                for at in _bloom(ids, bits):
                     hit &= (filter_.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
                 for piece, sets, ends in slices(table.filter(pa.array(hit)), "text"):
+                    if len(known) > KNOWN:
+                        known.clear()
                     first, second = digests(sets, ends)
                     keys = list(zip(piece.column("doc_id").to_pylist(), first.tolist(), second.tolist(), strict=True))
                     fresh = [k for k, key in enumerate(keys) if key not in known and not known.add(key)]
@@ -327,17 +343,19 @@ def join(docs: DataFrame) -> DataFrame:
                     raw = pa.array([values[k].tobytes() for k in fresh], pa.binary())
                     yield pa.record_batch([*(pa.array([keys[k][c] for k in fresh], pa.int64()) for c in range(3)), raw], ["rep", "d1", "d2", made])
 
-        return rows.filter(F.col("doc_id").isNotNull()).mapInArrow(fetch, f"rep long, d1 long, d2 long, {made} binary")
+        return texts.mapInArrow(fetch, f"rep long, d1 long, d2 long, {made} binary")
 
     # groups beyond a chunk meet chunk by chunk, so that no task holds a whole one
-    sizes = members.groupBy("centre").agg(F.ceil(F.count("*") / CHUNK).cast("long").alias("chunks"))
+    place = stage(members.join(wanted.select("rep", F.col("d1").alias("member"), "d2", "n"), "member"), "join-members")
+    most = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("long").alias("chunks")
+    sizes = place.groupBy("centre").agg(most)
     large = stage(sizes.filter("chunks > 1").select(F.col("centre").alias("hot"), "chunks"), "join-large")
     # only groups beyond a chunk are looked up, so members are not dealt out by their centre while these are few
-    place = left_join_unique(members, large, F.col("centre"), "hot", large.count()).withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
+    place = left_join_unique(place, large, F.col("centre"), "hot", large.count()).withColumn("chunks", F.coalesce("chunks", F.lit(1).cast("long")))
     place = place.withColumn("mine", F.pmod(F.hash("member"), "chunks").cast("long"))
     place = place.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    place = place.select("centre", "member", "mine", F.least("mine", "met").alias("low"), F.greatest("mine", "met").alias("high"))
-    place = stage(place.join(wanted.select("rep", F.col("d1").alias("member"), "d2", "n"), "member").withColumnRenamed("member", "d1"), "join-places")
+    low, high = F.least("mine", "met").alias("low"), F.greatest("mine", "met").alias("high")
+    place = stage(place.select("centre", F.col("member").alias("d1"), "mine", low, high, "rep", "d2", "n"), "join-places")
 
     def sift(table: pa.Table) -> pa.Table:
         n, mine = np.asarray(table.column("n")), np.asarray(table.column("mine"))

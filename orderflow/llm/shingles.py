@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from orderflow.llm.common import offsets_of, string_buffers
 
 SLICE_BYTES = 1 << 20  # text worked on at once; one longer text makes a slice of its own
+LONG = 128  # bytes beyond which a word is hashed on its own
 _TABLE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BACK = pow(_BASE, -1, 1 << 64)
@@ -45,7 +47,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     end = np.flatnonzero(closed) + 1
     total = np.concatenate(([np.uint64(0)], np.cumsum(_TABLE[data] * _powers(_BASE, len(data)), dtype=np.uint64)))
     h = (total[end] - total[start]) * _powers(_BACK, len(data) + 1)[start]
-    return mix(h + (end - start).astype(np.uint64), 1), np.searchsorted(start, offsets)
+    h = mix(h + (end - start).astype(np.uint64), 1)
+    # sums of powers modulo 2**64 can be alike for long words that are not
+    for k in np.flatnonzero(end - start > LONG):
+        h[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return h, np.searchsorted(start, offsets)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:

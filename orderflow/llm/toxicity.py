@@ -4,10 +4,13 @@ Stems (beginnings of words, and whole words) that labelled rows associate with e
 into lexicon voters; patterns of style vote as well.  A generative model takes each voter to fire with
 one probability per class, estimates these over the votes of all documents that may be learnt from,
 and measures how far voters agree beyond their class; what they only repeat of each other is
-discounted.  Its posterior labels train a logistic regression over stems, which scores every text.
+discounted.  Its posterior labels, of unlabelled documents and of labelled ones, whose label is a vote, train a logistic regression
+over stems, which scores every text.  Scale and bias of its scores come from the labels of rows that
+were left out while it was fitted on the others.
 
 Only rows whose ``crc32(doc_id)`` mod 5 is not 0 teach anything; language, source and id score nothing.
-The labelled rows used are at most ``labelled``, drawn by hash; everything else covers all rows.
+The rows that induce lexicons and train are at most ``labelled`` with labels and ``unlabelled`` without,
+drawn by hash; votes are counted, and scores given, over all rows.
 """
 
 from __future__ import annotations
@@ -25,9 +28,11 @@ from orderflow.llm.common import documents, hash_sample, string_buffers, text_of
 from orderflow.session import stage
 
 LENGTHS = (4, 5, 6)  # bytes of the beginnings of words
-LONGEST = 16  # longer words are known by their beginnings alone
+LONGEST = 16  # longer words have their beginnings, and every stretch of GRAM bytes, instead of the whole
+GRAM = 6
 VOCABULARY = 4096
-HINT, PROOF = 8.0, 16.0  # log-likelihood gain for a stem to be a feature, and to be in a lexicon
+TRUST = 0.98  # how often a given label is taken to be right
+HINT, PROOF = 4.0, 16.0  # log-likelihood gain for a stem to be a feature, and to be in a lexicon
 LEXICONS, BENIGN = 24, 8  # voters for either class
 # Patterns of style that vote for toxicity until the model knows better.
 PATTERNS = (r"\b[A-Z]{4,}\b", r"!{2,}", r"(?i)\byou(?:'re| are)\b", r"(?i)\b(?:idiot|moron|stupid|loser|scum|trash)s?\b", r"(\p{L})\1{3}")
@@ -46,7 +51,7 @@ def words_of(text: Column) -> Column:
 
 
 def stems(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(word, stem) of every stem of distinct words, stems as 64-bit hashes."""
+    """(word, stem) of every stem of distinct words, stems as 64-bit hashes; all of a long word is in some stem."""
     lengths = np.diff(offsets)
     h = np.zeros(len(lengths), np.uint64)
     owners, found = [], []
@@ -60,6 +65,14 @@ def stems(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
             found.append((h[longer] ^ np.uint64(k)) * np.uint64(0xC2B2AE3D27D4EB4F))
         more = np.flatnonzero(lengths > k)
         h[more] = (h[more] ^ data[offsets[more] + k]) * np.uint64(0x100000001B3) + np.uint64(0x1465)
+    long_ = np.flatnonzero(lengths > LONGEST)
+    grams = lengths[long_] - GRAM + 1
+    owners.append(np.repeat(long_, grams))
+    at = np.arange(grams.sum()) + np.repeat(offsets[long_] - (np.cumsum(grams) - grams), grams)
+    gram = np.full(len(at), 0x5851F42D4C957F2D, np.uint64)
+    for k in range(GRAM):
+        gram = (gram ^ data[at + k]) * np.uint64(0x100000001B3) + np.uint64(0x1465)
+    found.append(gram * np.uint64(0xC2B2AE3D27D4EB4F))
     return np.concatenate(owners), np.concatenate(found).view(np.int64)
 
 
@@ -173,21 +186,49 @@ def _fit(rows: list[np.ndarray], target: np.ndarray, size: int, steps: int = 300
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
+def _calibrated(rows: list[np.ndarray], target: np.ndarray, label: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+    """The classifier on posterior labels, its scores scaled and shifted to fit the labels (-1: none) of rows not fitted on."""
+    w, b = _fit(rows, target, size)
+    fold = np.arange(len(rows)) % 2
+    logit = np.zeros(len(rows))
+    for k in range(2):
+        kept = np.flatnonzero(fold != k)
+        if not len(kept):
+            continue
+        own_w, own_b = _fit([rows[i] for i in kept], target[kept], size)
+        for i in np.flatnonzero(fold == k):
+            logit[i] = own_b + own_w[rows[i]].sum()
+    told = label >= 0
+    x, y = logit[told], label[told].astype(float)
+    scale, shift = 1.0, 0.0
+    for _ in range(30):  # Newton's method, held near a scale of 1 by one row's worth of doubt
+        p = 1 / (1 + np.exp(-np.clip(scale * x + shift, -50, 50)))
+        grad = np.array([((p - y) * x).sum() + (scale - 1), (p - y).sum() + 0.01 * shift])
+        v = np.maximum(p * (1 - p), 1e-9)
+        hess = np.array([[(v * x * x).sum() + 1, (v * x).sum()], [(v * x).sum(), v.sum() + 0.01]])
+        step = np.linalg.solve(hess, grad)
+        scale, shift = scale - np.clip(step[0], -1, 1), shift - np.clip(step[1], -2, 2)
+    scale = max(scale, 0.1)
+    return w * scale, float(b * scale + shift)
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000, unlabelled: int = 10_000) -> Model:
     """Learn from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``toxic``).
 
-    ``labelled`` bounds the labelled rows that induce lexicons and carry posterior labels into the
-    classifier.  Labels other than 0 and 1 and rows with a null id teach nothing; of several labels of
-    a document the largest counts.
+    ``labelled`` bounds the labelled rows that induce lexicons and train the classifier, ``unlabelled`` the
+    others that train it.  Labels other than 0 and 1 and rows with a null id teach nothing; of several
+    labels of a document the largest counts.
     """
     spark = docs.sparkSession
     teach = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
     teach = teach.filter(taught(F.col("doc_id")) & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     teach = stage(hash_sample(teach, labelled, "doc_id", "toxic"), "toxic-labels")
     rows = documents(docs).filter(taught(F.col("doc_id")))
+    others = hash_sample(rows.select("doc_id"), unlabelled, "doc_id").distinct().withColumn("toxic", F.lit(-1))
+    drawn_ids = stage(teach.unionByName(others).groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-drawn")
     patterns = [F.col("text").rlike(p).cast("long") for p in PATTERNS]
     cut = rows.select("doc_id", words_of(F.col("text")).alias("words"), sum((F.shiftleft(p, k) for k, p in enumerate(patterns)), F.lit(0).cast("long")).alias("style"))
-    sample = cut.join(F.broadcast(teach), "doc_id")  # bounded by ``labelled`` labels
+    sample = cut.join(F.broadcast(drawn_ids), "doc_id")  # bounded by ``labelled`` and ``unlabelled`` ids
 
     def list_stems(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in tables:
@@ -198,9 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
                 yield pa.record_batch([*(piece.column(c) for c in ("doc_id", "toxic", "style")), sketch, own], ["doc_id", "toxic", "style", "sketch", "stems"])
 
     drawn = sample.mapInArrow(list_stems, "doc_id long, toxic int, style long, sketch long, stems array<long>")
-    # one of each group of copies, or a copied text would pass off all its words as evidence
-    own = F.min_by(F.struct("toxic", "style", "stems"), "doc_id").alias("own")
-    taken = stage(drawn.groupBy("sketch").agg(own).select("own.*"), "toxic-sample")
+    # one of each group of copies, or a copied text would pass off all its words as evidence; a labelled one if there is one
+    own = F.min_by(F.struct("toxic", "style", "stems"), F.struct(F.col("toxic") < 0, "doc_id")).alias("own")
+    every = stage(drawn.groupBy("sketch").agg(own).select("sketch", "own.*"), "toxic-sample")
+    taken = every.filter("toxic >= 0")
     n = {r.toxic: r.n for r in taken.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:  # nothing to tell apart
@@ -247,13 +289,15 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
     combined = stage(cut.select("words", "style").mapInArrow(vote, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")), "toxic-votes")
 
     def shrink(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value[0]
         for t in tables:
             own = [np.searchsorted(known, s) for s in (np.intersect1d(np.asarray(x), known) for x in t.column("stems").to_numpy(zero_copy_only=False))]
-            yield pa.record_batch([t.column("toxic"), t.column("style"), pa.array(own, pa.list_(pa.int64()))], ["toxic", "style", "at"])
+            yield pa.record_batch([t.column("sketch"), t.column("toxic"), t.column("style"), pa.array(own, pa.list_(pa.int16()))], ["sketch", "toxic", "style", "at"])
 
-    small = taken.mapInArrow(shrink, "toxic int, style long, at array<long>").collect()  # at most ``labelled`` rows of known stems
-    at = [np.array(r["at"], np.int64) for r in small]
-    label, style = np.array([r.toxic for r in small]), np.array([r.style for r in small], np.int64)
+    # at most ``labelled`` + ``unlabelled`` rows, with places among the known stems
+    small = every.mapInArrow(shrink, "sketch long, toxic int, style long, at array<smallint>").orderBy("sketch").toArrow().combine_chunks()
+    at = [np.asarray(x, np.int64) for x in small.column("at").to_numpy(zero_copy_only=False)]
+    label, style = np.asarray(small.column("toxic")), np.array(small.column("style"), np.int64)
     owner = np.repeat(np.arange(len(at)), [len(a) for a in at])
     fires = ((votes_of(owner, np.concatenate(at), voter, style)[:, None] >> np.arange(n_voters)) & 1).astype(float)
     firings = np.stack([np.append(fires[label == y].sum(0), (label == y).sum()) for y in range(2)])
@@ -261,24 +305,35 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> Model:
     rates, rho, weight = _label_model(combined, n_voters, prior, firings)
     llr = weight * (np.log(rates[1] / rates[0]) - np.log((1 - rates[1]) / (1 - rates[0])))
     base = np.log(prior / (1 - prior)) + (weight * np.log((1 - rates[1]) / (1 - rates[0]))).sum()
-    posterior = 1 / (1 + np.exp(-np.clip(base + fires @ llr, -50, 50)))
-    weights, bias = _fit(at, posterior, len(known))
+    # a given label is one more vote
+    told = np.where(label < 0, 0.0, (2 * label - 1) * np.log(TRUST / (1 - TRUST)))
+    posterior = 1 / (1 + np.exp(-np.clip(base + fires @ llr + told, -50, 50)))
+    weights, bias = _calibrated(at, posterior, label, len(known))
     return Model(known, weights, bias, {"rates": rates, "correlation": rho, "weight": weight, "posterior": posterior, "label": label})
 
 
+def _logits(m: Model, words: pa.Array) -> np.ndarray:
+    """One per row of an array of lists of words, worked on in pieces."""
+    out = [np.empty(0)]
+    for piece, distinct, word, ends in batches(pa.record_batch([words], ["words"]), "words", SLICE):
+        row, at = _inside(m.known, distinct, word, ends)
+        out.append(m.bias + np.bincount(row, m.weights[at], piece.num_rows))
+    return np.concatenate(out)
+
+
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that the model does not call toxic."""
+    """The rows of ``docs``, all columns as they are, that the model does not call toxic.
+
+    Python sees the words alone and answers with a boolean; the rows stay where they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def clean(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for table in tables:
-            for piece, words, word, ends in batches(table, "__words", SLICE):
-                row, at = _inside(m.known, words, word, ends)
-                calm = m.bias + np.bincount(row, m.weights[at], piece.num_rows) < 0
-                yield piece.drop_columns(["__words"]).filter(pa.array(calm))
+    @F.arrow_udf("boolean")
+    def calm(words: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in words:
+            yield pa.array(_logits(shared.value, part) < 0)
 
-    return docs.withColumn("__words", words_of(text_of(docs))).mapInArrow(clean, docs.schema)
+    return docs.filter(calm(words_of(text_of(docs))))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -288,21 +343,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     cut = documents(docs).select("doc_id", words_of(F.col("text")).alias("words"))
 
     def rate(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for table in tables:
-            for piece, words, word, ends in batches(table, "words", SLICE):
-                row, at = _inside(m.known, words, word, ends)
-                logit = m.bias + np.bincount(row, m.weights[at], piece.num_rows)
-                yield pa.record_batch([piece.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(logit, -50, 50))))], ["doc_id", "score"])
+            logit = _logits(shared.value, table.column("words"))
+            yield pa.record_batch([table.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(logit, -50, 50))))], ["doc_id", "score"])
 
     scored = cut.mapInArrow(rate, "doc_id long, score double")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = 10_000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, labelled: int = 10_000, unlabelled: int = 10_000) -> DataFrame:
     """Train on ``docs`` and ``labels``, then score every row of ``docs``.
 
     Null texts count as empty; a null id is scored, its ``held_out`` is null and it teaches nothing;
     repeated rows are scored each; further columns are ignored; an empty table gives an empty one.
     """
-    return score(docs, train(docs, labels, labelled))
+    return score(docs, train(docs, labels, labelled, unlabelled))

@@ -32,6 +32,7 @@ from orderflow.session import stage
 
 FILE_BYTES = 1 << 29  # an archive file is closed beyond this size
 LINES = 3000  # captures in a block of the index
+TASK_BYTES = 1 << 20  # of records worth a task of reading back; a task reads at most 64 times as much
 MIN_REVISIT = 100  # payloads shorter than this are always stored
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _OUT = 64  # records handed on at once
@@ -47,13 +48,18 @@ def surt(url: Column) -> Column:
     return F.when(host == "", url).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), port, F.lit(")"), path))
 
 
-def _record(page: int | None, url: str | None, digest: str, refers: int | None, payload: bytes) -> bytes:
+def _uri(url: str) -> str:
+    return quote(url, safe=":/?#[]@!$&'()*+,;=%-._~")
+
+
+def _record(page: int | None, url: str | None, digest: str, refers: int | None, payload: bytes, place: str = "", refers_url: str | None = None) -> bytes:
+    """A record; ``place`` is where it is written, which makes its identifier its own.  A revisit names its response's page and url."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers is not None else http + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {url} {digest}')}>",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place} {page} {url} {digest}')}>",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha256:{digest}",
         "Content-Type: application/http; msgtype=response",
@@ -62,9 +68,11 @@ def _record(page: int | None, url: str | None, digest: str, refers: int | None,
     if page is not None:
         head.append(f"X-Page-ID: {page}")
     if url is not None:
-        head.append("WARC-Target-URI: " + quote(url, safe=":/?#[]@!$&'()*+,;=%-._~"))
+        head.append("WARC-Target-URI: " + _uri(url))
     if refers is not None:
-        head += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page: {refers}"]
+        head += [f"WARC-Profile: {_PROFILE}", f"X-Refers-To-Page: {refers}", "WARC-Refers-To-Date: 1970-01-01T00:00:00Z"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + _uri(refers_url))
     return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 6, mtime=0)
 
 
@@ -98,9 +106,9 @@ def write_archives(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     page = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html"))
     page = page.withColumn("digest", F.sha2("html", 256)).withColumn("key", surt(F.col("url")))
-    long_ = page.filter(F.octet_length("html") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
+    long_ = page.filter(F.octet_length("html") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"), F.count("*").alias("n"))
     # staged, so that its true size decides how it meets the pages
-    copies = stage(long_.filter((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first"), "warc-copies")
+    copies = stage(long_.filter((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first", "first_url"), "warc-copies")
     marked = page.join(copies, "digest", "left").withColumn("refers", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")))
     folder = shared_uri(spark, "warc")
 
@@ -110,13 +118,13 @@ def write_archives(pages: DataFrame) -> DataFrame:
         out, name, at = None, "", 0
         for table in tables:
             rows = []
-            for key, page, url, digest, refers, html in zip(*(table.column(c).to_pylist() for c in ("key", "page_id", "url", "digest", "refers", "html")), strict=True):
+            for key, page, url, digest, refers, html, first_url in zip(*(table.column(c).to_pylist() for c in ("key", "page_id", "url", "digest", "refers", "html", "first_url")), strict=True):
                 if out is None or at >= FILE_BYTES:
                     if out is not None:
                         out.close()
                     name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = fs.open_output_stream(f"{root}/{name}", compression=None)
-                raw = _record(page, url, digest, refers, html.encode())
+                raw = _record(page, url, digest, refers, html.encode(), f"{name} {at}", first_url)
                 out.write(raw)
                 rows.append((key, page, name, at, len(raw)))
                 at += len(raw)
@@ -125,7 +133,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
         if out is not None:
             out.close()
 
-    written = marked.select("key", "page_id", "url", "digest", "refers", "html").mapInArrow(write, "key string, page_id long, file string, offset long, length long")
+    written = marked.select("key", "page_id", "url", "digest", "refers", "html", "first_url").mapInArrow(write, "key string, page_id long, file string, offset long, length long")
     return stage(written.withColumn("folder", F.lit(folder)), "captures")
 
 
@@ -175,8 +183,25 @@ def build_index(captures: DataFrame) -> list[tuple]:
     return sorted(((_order(f.key, f.page_id), f.path, f.offset, f.length) for f in files), key=lambda f: f[0])
 
 
-def lookup(wanted: DataFrame, index: list[tuple]) -> DataFrame:
-    """The records under each distinct ``key`` and ``page_id`` of ``wanted``, read from the archives.
+class _Files:
+    """Files kept open, the least recently used closed beyond a number."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.open = most, {}
+
+    def __call__(self, path: str):
+        file = self.open.pop(path, None)
+        if file is None:
+            fs, name = FileSystem.from_uri(path)
+            file = fs.open_input_file(name)
+        self.open[path] = file
+        if len(self.open) > self.most:
+            self.open.pop(next(iter(self.open))).close()
+        return file
+
+
+def lookup(wanted: DataFrame, index: list[tuple], tasks: int | None = None) -> DataFrame:
+    """The records under each distinct ``key`` and ``page_id`` of ``wanted``, read from the archives in ``tasks`` tasks.
 
     Columns: ``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type``, ``refers_to``, ``payload`` (null
     for a revisit).  What the archives do not hold gives no row.
@@ -184,10 +209,7 @@ def lookup(wanted: DataFrame, index: list[tuple]) -> DataFrame:
     firsts = [f[0] for f in index]
 
     def read(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(maxsize=64)
-        def opened(path: str):
-            fs, name = FileSystem.from_uri(path)
-            return fs.open_input_file(name)
+        opened = _Files(64)
 
         @lru_cache(maxsize=8)
         def directory(k: int) -> tuple[list[tuple], list[list]]:
@@ -223,7 +245,9 @@ def lookup(wanted: DataFrame, index: list[tuple]) -> DataFrame:
             for at in range(0, len(found), _OUT):
                 yield _columns([_read_record(opened(f"{f}/{name}").read_at(length, offset)) for _, _, f, name, offset, length in found[at : at + _OUT]], names, kinds)
 
-    keys = wanted.select("key", "page_id").distinct().repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    distinct = wanted.select("key", "page_id").distinct()
+    ranges = distinct.repartitionByRange(tasks, "key", "page_id") if tasks else distinct.repartitionByRange("key", "page_id")
+    keys = ranges.sortWithinPartitions("key", "page_id")
     return keys.mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
@@ -233,4 +257,7 @@ def archive(pages: DataFrame) -> DataFrame:
     Repeated rows are records each; null urls share an empty key; an empty table gives no record.
     """
     captures = write_archives(pages)
-    return lookup(captures, build_index(captures))
+    # keys are short and their records long: tasks are counted by what they read
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES), -(-size // (64 * TASK_BYTES)))
+    return lookup(captures, build_index(captures), tasks)
