@@ -577,3 +577,62 @@ def custom_entity(spark: SparkSession, sf: str) -> DataFrame:
     sink.write_entity(items, start, ITEM)
     convert(spark, start, end, ITEM)
     return read_entity(spark, end, ITEM).select(*ITEM.columns)
+
+
+# A fifth entity whose job follows from the declared table alone: composite key, two references.
+ORDER_LINE = Entity("line", (Attr("menuitem_id", "long"), Attr("order_id", "long"), Attr("quantity", "long")), table="menuitem_order")
+
+
+def _order_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem")
+    return lines.select(F.col("l_partkey").alias("menuitem_id"), F.col("l_orderkey").alias("order_id"), F.col("l_quantity").cast("long").alias("quantity"))
+
+
+def _line_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    returned = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    return {
+        "menuitem_order": returned.select(F.col("l_partkey").alias("menuitem_id"), F.col("l_orderkey").alias("order_id")),
+        "menuitem": table(spark, sf, "part").filter(F.col("p_size") > 10).select(F.col("p_partkey").alias("id")),
+        "order": table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("id")),
+    }
+
+
+@query(
+    "ingest_declared",
+    """WITH held AS (SELECT DISTINCT l_partkey AS p, l_orderkey AS o FROM lineitem WHERE l_returnflag = 'R'),
+    checked AS (SELECT l_partkey AS p, l_orderkey AS o, CASE WHEN held.p IS NOT NULL THEN 'menuitem_order_exists'
+        WHEN l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10) THEN 'no_menuitem'
+        WHEN l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') THEN 'no_order' END AS reason
+      FROM lineitem LEFT JOIN held ON held.p = l_partkey AND held.o = l_orderkey)
+    SELECT coalesce(reason, CASE WHEN n = 1 THEN 'accepted' ELSE 'duplicate_in_batch' END) AS outcome, count(*) AS n
+    FROM (SELECT *, row_number() OVER (PARTITION BY p, o, reason) AS n FROM checked) GROUP BY 1""",
+)
+def ingest_declared(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of all orders, those returned being stored already."""
+    path = scratch_file(spark, "lines.json")
+    sink.write_entity(_order_lines(spark, sf), path, ORDER_LINE)
+    return ingest.ingest_entity(spark, path, ORDER_LINE, _line_tables(spark, sf)).outcome
+
+
+@query(
+    "save_again",
+    with_("owners")
+    + f""", {RESTAURANT_ROWS}, ok AS (SELECT * FROM rest WHERE reject_reason IS NULL AND p_brand <> 'Brand#1' AND owner_id IN (SELECT id FROM owners))
+    SELECT count(*) AS restaurants, count(*) AS addresses, count(*) AS restaurant_ids, count(*) AS address_ids, 0::BIGINT AS orphans FROM ok""",
+)
+def save_again(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of restaurants is ingested and saved, saved once more, and ingested and saved by another run."""
+    path = scratch_file(spark, "restaurants.csv")
+    write_lines(restaurant_lines(spark, sf, RESTAURANT.columns), path)
+    tables = {"owner": owners(spark, sf), "address": addresses(spark, sf), "restaurant": restaurants(spark, sf)}
+    root = scratch_file(spark, "store")
+    for _ in range(2):
+        job = ingest.ingest_restaurants(spark, path, tables)
+        job.save(root)
+        job.save(root)
+    shops, places = table(spark, root, "restaurant"), table(spark, root, "address").select(F.col("id").alias("place"))
+    both = shops.join(places, shops.address_id == places.place, "full")
+    return both.agg(
+        F.count("id").alias("restaurants"), F.count("place").alias("addresses"), F.countDistinct("id").alias("restaurant_ids"),
+        F.countDistinct("place").alias("address_ids"), F.count(F.when(F.col("id").isNull() | F.col("place").isNull(), 1)).alias("orphans"),
+    )

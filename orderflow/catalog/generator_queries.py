@@ -31,6 +31,7 @@ from orderflow.operators import generate
 from orderflow.operators.keys import dense_index, max_id
 from orderflow.operators.relational import concat_batches, without_match
 from orderflow.schema import TABLES
+from orderflow.session import stage
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -335,6 +336,9 @@ def gen_dependency_set(spark: SparkSession, sf: str) -> DataFrame:
     made = generate.dependency_set(
         _customer_rows(spark, sf), suppliers, orders, SEED, suppliers.count(), orders.count(), _tops(spark, sf)
     )
+    # Keys and references are met several times below, so they are made once.
+    referring = {name: [fk for fk in TABLES[name].foreign_keys if fk.parent in made and fk.column in df.columns] for name, df in made.items()}
+    made = {name: stage(df.select(*dict.fromkeys(["id", *[fk.column for fk in referring[name]]])), f"made-{name}") for name, df in made.items()}
     # Keys are 16 bytes of digest or dense numbers: grouping them is a shuffle of ids only.
     sizes = [
         df.groupBy("id").agg(F.count(F.lit(1)).alias("c")).agg(F.lit(name).alias("table_name"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_ids"))
@@ -343,8 +347,7 @@ def gen_dependency_set(spark: SparkSession, sf: str) -> DataFrame:
     loose = [
         df.join(made[fk.parent].select(F.col(fk.parent_column).alias(fk.column)), fk.column, "left_anti").select(F.lit(name).alias("table_name"))
         for name, df in made.items()
-        for fk in TABLES[name].foreign_keys
-        if fk.parent in made
+        for fk in referring[name]
     ]
     dangling = concat_batches(*loose).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_dangling"))
     return concat_batches(*sizes).join(dangling, "table_name", "left").fillna(0, ["n_dangling"])

@@ -95,10 +95,12 @@ def pick_parent(
     The pick is uniform, so the join on the parent's index has no hot key.  The optimizer
     broadcasts the parents when they are small and shuffles both sides when not.
     """
+    # counted, bucketed and numbered, so made once
+    parents = stage(parents.select(F.col(parent_key).alias(name), *(carry or [])), "parents")
     n = parents.count()
     if n == 0:
         raise ValueError(f"no parents to pick {name} from")
-    indexed = dense_by_hash(parents.select(F.col(parent_key).alias(name), *(carry or [])), name, bucket_count(n), seed, "_idx")
+    indexed = dense_by_hash(parents, name, bucket_count(n), seed, "_idx")
     return (
         child.withColumn("_idx", pick_below(seed, f"pick-{name}", F.col(row_id), n))
         .join(indexed, "_idx")

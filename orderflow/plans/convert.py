@@ -13,7 +13,8 @@ from orderflow.sources.files import CONTROL, extension_of, read_entity
 def convert(
     spark: SparkSession, source: str, target: str, entity: Entity, layout: str = "array", quoted: bool = False, source_layout: str = "document"
 ) -> None:
-    """Both extensions are checked before anything is read; no row is lost on the way.
+    """Both extensions are checked before anything is read; no row is lost on the way, and the order of rows is kept:
+    part files one after another have the rows of the source's files, by their names, one after another.
 
     JSON comes as one array per part file unless ``layout`` asks for JSON Lines, which Spark and
     most tools split more easily.  CSV is read and written without quoting unless ``quoted`` is set: a
@@ -26,4 +27,5 @@ def convert(
     refused = rows.filter("reject_reason IS NOT NULL").select("reject_reason", "_file").first()
     if refused is not None:
         raise IngestError(refused["reject_reason"], refused["_file"])
-    write_entity(rows.drop(*CONTROL), target, entity, layout=layout, quoted=quoted)
+    ordered = rows.repartitionByRange("_file", "_pos").sortWithinPartitions("_file", "_pos")
+    write_entity(ordered.drop(*CONTROL), target, entity, layout=layout, quoted=quoted)

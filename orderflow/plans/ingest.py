@@ -1,9 +1,13 @@
 """Ingest jobs: read, check, append, report.
 
+What is checked and appended follows from the declarations in ``schema``; the jobs of the four file
+entities differ in nothing else, and a further entity needs a declaration only.
+
 Each job returns an ``Ingest`` whose rows carry a reason or none.  ``save`` appends the accepted
 rows.  The file is parsed once, into a staged table; the checks stage only the few keys that break
 a rule, so counting outcomes, listing rejects and saving each are one scan of the staged rows.
-Rows already stored are refused by their key, so a job that failed half way can be run again.
+A save may be repeated, also by another run over the same file: rows stored already are known by
+their key, and keys that were assigned by the ledger (``sinks.ledger``).
 """
 
 from __future__ import annotations
@@ -15,32 +19,29 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.functions.casts import domain_violation
-from orderflow.operators.rules import (
-    check_rules,
-    foreign_key_rules,
-    mark_conflicts,
-    mark_duplicates,
-    must_be_new,
-    outcome_counts,
-)
-from orderflow.schema import DRIVER, ORDER, RESTAURANT, TABLES, USER, Entity, Table
+from orderflow.operators.keys import max_id
+from orderflow.operators.rules import outcome_counts
+from orderflow.plans import constraints
+from orderflow.plans.constraints import Tables
+from orderflow.schema import DRIVER, ORDER, RESTAURANT, TABLES, USER, Entity
+from orderflow.sinks import ledger
 from orderflow.sinks import tables as sink
 from orderflow.sources.files import CONTROL, read_entity
 
-Tables = dict[str, DataFrame]
-
 
 @dataclass(frozen=True)
 class Ingest:
-    """Checked rows and, per table, the rows to append, which are planned when first asked for."""
+    """Checked rows and, per table, the rows to append, which are planned when first asked for.
+
+    ``plan_inserts`` is given the root of the stored tables, or None to plan them without a ledger.
+    """
 
     rows: DataFrame
-    plan_inserts: Callable[[], Tables]
+    plan_inserts: Callable[[str | None], Tables]
 
     @cached_property
     def inserts(self) -> Tables:
-        return self.plan_inserts()
+        return self.plan_inserts(None)
 
     @property
     def rejected(self) -> DataFrame:
@@ -51,81 +52,86 @@ class Ingest:
         return outcome_counts(self.rows)
 
     def save(self, root: str) -> None:
-        """Parents first, as the dictionary is ordered."""
-        for name, df in self.inserts.items():
-            sink.append_table(df, root, name)
+        """Append what is not stored yet, parents first, as the dictionary is ordered."""
+        for name, df in self.plan_inserts(root).items():
+            ledger.append_new(df, root, name, list(TABLES[name].primary_key), sink.append_table)
 
 
 def _good(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("reject_reason").isNull())
 
 
-def _check_domain(rows: DataFrame, table: Table, columns: list[str]) -> DataFrame:
-    return rows.withColumn("reject_reason", F.coalesce("reject_reason", domain_violation(table, columns)))
-
-
 def check_users(rows: DataFrame, users: DataFrame) -> DataFrame:
     """Column limits, then key and e-mail against the table, then both inside the batch."""
-    table = TABLES["user"]
-    rows = _check_domain(rows, table, ["id", "user_role", "password", "email"])
-    rules = [must_be_new("user_exists", "id", users), must_be_new("email_exists", "email", users, "email", ignore_case=True)]
-    checked = check_rules(rows, rules).withColumn("_mail", F.lower("email"))
-    return mark_conflicts(checked, {"id": "duplicate_in_batch", "_mail": "duplicate_email"}, "_pos").drop("_mail")
-
+    return constraints.check(rows, USER, {"user": users})
 
-def check_orders(rows: DataFrame, tables: Tables) -> DataFrame:
-    """Existing id, then customer, restaurant, delivery; then first-wins inside the batch."""
-    rules = [must_be_new("order_exists", "id", tables["order"]), *foreign_key_rules(TABLES["order"], tables)]
-    return mark_duplicates(check_rules(rows, rules), ["id"], ["_pos"])
 
+def _top(table: DataFrame | None) -> int:
+    """The largest key of a table, 1 if it is empty or not given."""
+    return 1 if table is None else max_id(table).first()["max_id"]
 
-def check_drivers(rows: DataFrame, tables: Tables) -> DataFrame:
-    table = TABLES["driver"]
-    named = _check_domain(
-        rows.withColumnRenamed("user_id", "id"), table, ["first_name", "last_name", "phone", "dob", "license_num", "status"]
-    )
-    rules = [must_be_new("driver_exists", "id", tables["driver"]), *foreign_key_rules(table, tables)]
-    return mark_duplicates(check_rules(named, rules), ["id"], ["_pos"])
 
+def plan_rows(rows: DataFrame, entity: Entity, tables: Tables, root: str | None) -> Tables:
+    """Rows to append per target of the entity.
 
-def check_restaurants(rows: DataFrame, tables: Tables) -> DataFrame:
-    place = rows.withColumn("line1", F.col("street"))
-    place = _check_domain(place, TABLES["address"], ["line1", "city", "state", "zip"]).drop("line1")
-    price = place.withColumn("_price", F.col("price_category")).withColumn("price_category", F.col("_price").cast("string"))
-    shop = _check_domain(price, TABLES["restaurant"], ["name", "price_category", "phone", "picture"])
-    shop = shop.withColumn("price_category", F.col("_price")).drop("_price")
-    # The address does not exist yet: it is made from the accepted rows.
-    rules = foreign_key_rules(TABLES["restaurant"], {"owner": tables["owner"]})
-    return check_rules(shop, rules)
+    Keys that are made come from the ledger under ``root``; without a root from a dense numbering of
+    the batch.  Either way a parent and its child share one row's keys.
+    """
+    good = _good(rows)
+    made = {(t.table, c): f"_{t.table}_{c}" for t in constraints.targets_of(entity) for c in t.made if c in TABLES[t.table].primary_key}
+    if made:
+        tops = {name: _top(tables.get(table)) for (table, _), name in made.items()}
+        good = ledger.keyed(ledger.with_source(rows).filter("reject_reason is null"), root, entity.name, tops) if root else sink.numbered(good, tops, ["_pos"])
+    out: Tables = {}
+    for target in constraints.targets_of(entity):
+        table = TABLES[target.table]
+        columns = constraints.columns_from(entity, target)
+        for fk in table.foreign_keys:
+            if fk.column in target.made:
+                columns[fk.column] = made[fk.parent, fk.parent_column]
+        columns |= {c: made[target.table, c] for c in target.made if (target.table, c) in made}
+        out[target.table] = sink.target_rows(good, table, columns, target.fixed)
+    return out
 
 
-def _read(spark: SparkSession, path: str, entity: Entity, strict: bool, **options) -> DataFrame:
-    return read_entity(spark, path, entity, strict, **options)
+def ingest_entity(spark: SparkSession, path: str, entity: Entity, tables: Tables, strict: bool = True, **options) -> Ingest:
+    """The job of any declared entity; ``tables`` holds the stored tables that are to be looked at."""
+    rows = constraints.check(read_entity(spark, path, entity, strict, **options), entity, tables)
+    return Ingest(rows, lambda root: plan_rows(rows, entity, tables, root))
 
 
 def ingest_users(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
-    rows = check_users(_read(spark, path, USER, strict, **options), tables["user"])
-    return Ingest(rows, lambda: {"user": sink.user_rows(_good(rows))})
+    return ingest_entity(spark, path, USER, {"user": tables["user"]}, strict, **options)
 
 
 def ingest_orders(spark: SparkSession, path: str, tables: Tables, strict: bool = True, **options) -> Ingest:
-    rows = check_orders(_read(spark, path, ORDER, strict, **options), tables)
-    return Ingest(rows, lambda: {"order": sink.order_rows(_good(rows), tables["order"], ["_pos"])})
+    """Orders may come without id, which is then assigned after the largest of the table and the batch."""
+    checked = ingest_entity(spark, path, ORDER, tables, strict, **options)
+
+    def plan(root: str | None) -> Tables:
+        good = _good(checked.rows)
+        if root is None or good.filter("id is null").isEmpty():
+            return {"order": sink.order_rows(good, tables["order"], ["_pos"])}
+        sourced = ledger.with_source(checked.rows).filter("reject_reason is null")
+        given = sourced.filter("id is not null")
+        top = max(_top(tables["order"]), _top(given))
+        unnamed = ledger.keyed(sourced.filter("id is null"), root, "order", {"_key": top}).withColumn("id", F.col("_key"))
+        return {"order": given.select(*ORDER.columns).unionByName(unnamed.select(*ORDER.columns))}
+
+    return Ingest(checked.rows, plan)
 
 
 def ingest_drivers(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
-    rows = check_drivers(_read(spark, path, DRIVER, strict, **options), tables)
-    return Ingest(rows, lambda: {"driver": sink.driver_rows(_good(rows))})
+    return ingest_entity(spark, path, DRIVER, tables, strict, **options)
 
 
 def ingest_restaurants(spark: SparkSession, path: str, tables: Tables, strict: bool = False, **options) -> Ingest:
     """Addresses are made for accepted restaurants only."""
-    rows = check_restaurants(_read(spark, path, RESTAURANT, strict, **options), tables)
-    return Ingest(rows, lambda: sink.address_and_restaurant_rows(_good(rows), tables["address"], tables["restaurant"], ["_pos"]))
+    return ingest_entity(spark, path, RESTAURANT, tables, strict, **options)
 
 
 def ingest_with(
     spark: SparkSession, path: str, entity: Entity, mapper: Callable[[DataFrame], DataFrame], strict: bool = False, **options
 ) -> DataFrame:
     """Read any entity and hand its accepted rows to ``mapper``, a DataFrame function."""
-    return mapper(_good(_read(spark, path, entity, strict, **options)).drop(*CONTROL))
+    return mapper(_good(read_entity(spark, path, entity, strict, **options)).drop(*CONTROL))

@@ -258,17 +258,33 @@ ROLE_EMPLOYEE = "ROLE_EMPLOYEE"
 ROLE_DRIVER = "ROLE_DRIVER"
 
 
+@dataclass(frozen=True)
+class Target:
+    """A table that an entity's rows go to.
+
+    ``columns`` names the file's column for those of the table that are called otherwise, ``fixed`` has
+    values stored whatever the file says, ``made`` names keys that are assigned when rows are saved.
+    """
+
+    table: str
+    columns: dict[str, str] = field(default_factory=dict)
+    fixed: dict[str, object] = field(default_factory=dict)
+    made: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class Entity:
     """An entity as it arrives in a file: field names in file order and the kind each is cast to.
 
-    ``derive`` is the extension point: extra columns added after typing, as a plain
-    ``DataFrame -> DataFrame`` function.
+    ``targets`` are the tables its rows go to, parents first; with none, ``table`` alone.  ``derive`` is
+    the extension point: extra columns added after typing, as a plain ``DataFrame -> DataFrame``
+    function.
     """
 
     name: str
     fields: tuple[Attr, ...]
     table: str | None = None
+    targets: tuple[Target, ...] = field(default=(), compare=False)
     derive: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
     casts: dict[str, Callable[[Column], Column]] = field(default_factory=dict, compare=False)
 
@@ -322,6 +338,8 @@ DRIVER = Entity(
         Attr("status"),
     ),
     table="driver",
+    # Picture and status stored with every driver.
+    targets=(Target("driver", {"id": "user_id"}, {"picture": "https://temp.url/", "status": "active"}),),
 )
 RESTAURANT = Entity(
     "restaurant",
@@ -339,4 +357,8 @@ RESTAURANT = Entity(
         Attr("picture"),
     ),
     table="restaurant",
+    targets=(
+        Target("address", {"line1": "street"}, {"line2": ""}, made=("id",)),
+        Target("restaurant", made=("id", "address_id")),
+    ),
 )

@@ -11,9 +11,9 @@ from orderflow.catalog.registry import scratch_file
 from orderflow.errors import IngestError
 from orderflow.functions import casts
 from orderflow.operators import maintain
-from orderflow.plans import ingest
+from orderflow.plans import constraints, ingest
 from orderflow.plans.convert import convert
-from orderflow.schema import DELETE_ORDER, ORDER, RESTAURANT, TABLES, USER
+from orderflow.schema import DELETE_ORDER, DRIVER, ORDER, RESTAURANT, TABLES, USER, Attr, Entity
 from orderflow.sinks import files as sink
 from orderflow.sinks.tables import append_table
 from orderflow.sources.files import read_entity
@@ -207,3 +207,131 @@ def test_every_reference_names_a_table_and_a_column():
 
 def test_scratch_paths_are_fresh(spark):
     assert scratch_file(spark, "x.csv") != scratch_file(spark, "x.csv")
+
+
+ORDERS_DDL = "id long, customer_id string, restaurant_id long, delivery_id long, confirmation_code string"
+
+
+def _order_tables(spark):
+    ids = spark.createDataFrame([(10,), (100,)], "id long")
+    return {"order": ids.limit(0), "customer": spark.createDataFrame([("c1",)], "id string"), "restaurant": ids, "delivery": ids}
+
+
+RESTAURANT_LINES = [f"{i} A St,Phoenix,AZ,0508{i % 10},{'o1' if i % 4 else 'none'},R{i % 3},5,1,407,1,p" for i in range(40)]
+
+
+def test_saving_again_adds_nothing(spark, users, tmp_path):
+    root = str(tmp_path / "store")
+    path = str(tmp_path / "u.csv")
+    sink.write_entity(users, path, USER)
+    job = ingest.ingest_users(spark, path, {"user": users.limit(0)})
+    job.save(root)
+    job.save(root)
+    assert table(spark, root, "user").count() == 2
+    # orders without id get theirs once, whoever saves
+    batch = spark.createDataFrame([(i if i % 2 else None, "c1", 10, 100, f"x{i}") for i in range(6)], ORDERS_DDL).coalesce(1)
+    rows = batch.select("*", F.lit("f").alias("_file"), F.monotonically_increasing_id().alias("_pos"), F.lit(None).cast("string").alias("reject_reason"))
+    checked = ingest.constraints.check(rows, ORDER, _order_tables(spark))
+    for _ in range(2):
+        keyed = ingest.ledger.keyed(ingest.ledger.with_source(checked).filter("id is null"), root, "order", {"_key": 5})
+        assert sorted((r["_key"], r["confirmation_code"]) for r in keyed.collect()) == [(6, "x0"), (7, "x2"), (8, "x4")]
+
+
+@pytest.mark.parametrize("size", ["128m", "400b"])
+def test_restaurants_are_saved_once_however_often_and_however_split(spark, tmp_path, size):
+    (tmp_path / "r.csv").mkdir()
+    (tmp_path / "r.csv" / "a").write_text("\n".join(RESTAURANT_LINES))
+    (tmp_path / "r.csv" / "b").write_text("\n".join(RESTAURANT_LINES))  # the same rows in another file are other restaurants
+    tables = {"owner": spark.createDataFrame([("o1",)], "id string"), "address": spark.range(0), "restaurant": spark.range(0)}
+    root = str(tmp_path / "store")
+    first = ingest.ingest_restaurants(spark, str(tmp_path / "r.csv"), tables)
+    first.save(root)
+    held = {n: sorted(map(tuple, table(spark, root, n).collect())) for n in ("address", "restaurant")}
+    first.save(root)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        ingest.ingest_restaurants(spark, str(tmp_path / "r.csv"), tables).save(root)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert held == {n: sorted(map(tuple, table(spark, root, n).collect())) for n in ("address", "restaurant")}
+    assert len(held["address"]) == len(held["restaurant"]) == 60
+    assert [r[0] for r in held["restaurant"]] == list(range(2, 62))
+
+
+def test_a_save_that_broke_is_healed(spark, tmp_path, monkeypatch):
+    (tmp_path / "r.csv").write_text("\n".join(RESTAURANT_LINES))
+    tables = {"owner": spark.createDataFrame([("o1",)], "id string"), "address": spark.range(0), "restaurant": spark.range(0)}
+    root = str(tmp_path / "store")
+    plain = ingest.sink.append_table
+
+    def breaks(df, where, name):
+        if name == "restaurant":
+            raise OSError("gone")
+        plain(df, where, name)
+
+    monkeypatch.setattr(ingest.sink, "append_table", breaks)
+    with pytest.raises(OSError):
+        ingest.ingest_restaurants(spark, str(tmp_path / "r.csv"), tables).save(root)
+    monkeypatch.setattr(ingest.sink, "append_table", plain)
+    assert table(spark, root, "address").count() == 30
+    with (tmp_path / "r.csv").open("a") as file:
+        file.write("\n99 New St,Phoenix,AZ,05080,o1,New,5,1,407,1,p")
+    ingest.ingest_restaurants(spark, str(tmp_path / "r.csv"), tables).save(root)
+    shops = {r["address_id"]: r["name"] for r in table(spark, root, "restaurant").collect()}
+    places = {r["id"]: r["line1"] for r in table(spark, root, "address").collect()}
+    assert len(shops) == len(places) == 31 and shops.keys() == places.keys()
+    assert all(shops[k] == ("New" if places[k] == "99 New St" else f"R{int(places[k].split()[0]) % 3}") for k in shops)
+
+
+@pytest.mark.parametrize("first", ["csv", "json", "xml"])
+@pytest.mark.parametrize("second", ["csv", "json", "xml"])
+def test_conversion_keeps_the_order(spark, tmp_path, first, second):
+    a, b = str(tmp_path / f"a.{first}"), str(tmp_path / f"b.{second}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        n = 600
+        # files of very different sizes, which are read in order of size
+        orders = spark.range(n).select("id", F.lit("c").alias("customer_id"), *[F.col("id").alias(c) for c in ORDER.columns[2:4]], F.lit("x").alias("confirmation_code"))
+        part = F.when(F.col("id") < 10, 0).when(F.col("id") < 400, 1).when(F.col("id") < 420, 2).otherwise(3)
+        sink.write_entity(orders.withColumn("p", part).repartitionByRange(4, "p").sortWithinPartitions("id"), a, ORDER, layout="array")
+        convert(spark, a, b, ORDER)
+        texts = [p.read_text() for p in sorted(Path(b).glob("part-*"))]
+        if second == "csv":
+            got = [int(line.split(",")[0]) for t in texts for line in t.splitlines()]
+        elif second == "json":
+            got = [o["id"] for t in texts if t.strip() for o in json.loads(t)]
+        else:
+            got = [int(e.find("id").text) for t in texts if t.strip() for e in ElementTree.fromstring(t)]
+        assert got == list(range(n))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_the_four_entities_are_checked_as_declared():
+    planned = {}
+    for entity in (USER, ORDER, DRIVER, RESTAURANT):
+        for target in constraints.targets_of(entity):
+            t, columns = TABLES[target.table], constraints.columns_from(entity, target)
+            names = dict.fromkeys(["user", "order", "driver", "restaurant", "customer", "delivery", "owner", "address"], None)
+            tables = {n: "stored" for n in names}
+            planned[entity.name, t.name] = [(r.reason, r.columns) for r in constraints.stored_rules(t, columns, tables, target.made)]
+    assert planned == {
+        ("user", "user"): [("user_exists", ("id",)), ("email_exists", ("email",))],
+        ("order", "order"): [("order_exists", ("id",)), ("no_customer", ("customer_id",)), ("no_restaurant", ("restaurant_id",)), ("no_delivery", ("delivery_id",))],
+        ("driver", "driver"): [("driver_exists", ("user_id",)), ("no_address", ("address_id",)), ("no_user", ("user_id",))],
+        ("restaurant", "address"): [],
+        ("restaurant", "restaurant"): [("no_owner", ("owner_id",))],
+    }
+
+
+def test_a_fifth_entity_needs_its_declaration_only(spark, tmp_path):
+    line = Entity("line", (Attr("menuitem_id", "long"), Attr("order_id", "long"), Attr("quantity", "long")), table="menuitem_order")
+    (tmp_path / "l.csv").write_text("1,1,5\n1,1,6\n1,2,1\n9,2,1\n2,9,1\n2,2,1\n")
+    held = spark.createDataFrame([(2, 2, 1), (2, 3, 1)], "menuitem_id long, order_id long, quantity long")
+    tables = {"menuitem_order": held, "menuitem": spark.range(3), "order": spark.range(3)}
+    job = ingest.ingest_entity(spark, str(tmp_path / "l.csv"), line, tables)
+    assert {tuple(r) for r in job.outcome.collect()} == {("accepted", 2), ("duplicate_in_batch", 1), ("no_menuitem", 1), ("no_order", 1), ("menuitem_order_exists", 1)}
+    root = str(tmp_path / "store")
+    job.save(root)
+    job.save(root)
+    assert {tuple(r) for r in table(spark, root, "menuitem_order").collect()} == {(1, 1, 5), (1, 2, 1)}
