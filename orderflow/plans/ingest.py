@@ -27,6 +27,7 @@ from orderflow.schema import DRIVER, ORDER, RESTAURANT, TABLES, USER, Entity
 from orderflow.sinks import ledger
 from orderflow.sinks import tables as sink
 from orderflow.sources.files import CONTROL, read_entity
+from orderflow.sources.tables import max_key
 
 
 @dataclass(frozen=True)
@@ -66,9 +67,12 @@ def check_users(rows: DataFrame, users: DataFrame) -> DataFrame:
     return constraints.check(rows, USER, {"user": users})
 
 
-def _top(table: DataFrame | None) -> int:
-    """The largest key of a table, 1 if it is empty or not given."""
-    return 1 if table is None else max_id(table).first()["max_id"]
+def _top(spark: SparkSession, name: str, tables: Tables, root: str | None) -> int:
+    """The largest key in use, 1 if there is none: of the stored table by its footers, else of the one given."""
+    held = max_key(spark, root, name) if root else None
+    if held is not None:
+        return held
+    return max_id(tables[name]).first()["max_id"] if name in tables else 1
 
 
 def plan_rows(rows: DataFrame, entity: Entity, tables: Tables, root: str | None) -> Tables:
@@ -80,7 +84,7 @@ def plan_rows(rows: DataFrame, entity: Entity, tables: Tables, root: str | None)
     good = _good(rows)
     made = {(t.table, c): f"_{t.table}_{c}" for t in constraints.targets_of(entity) for c in t.made if c in TABLES[t.table].primary_key}
     if made:
-        tops = {name: _top(tables.get(table)) for (table, _), name in made.items()}
+        tops = {name: _top(rows.sparkSession, table, tables, root) for (table, _), name in made.items()}
         good = ledger.keyed(ledger.with_source(rows).filter("reject_reason is null"), root, entity.name, tops) if root else sink.numbered(good, tops, ["_pos"])
     out: Tables = {}
     for target in constraints.targets_of(entity):
@@ -114,7 +118,7 @@ def ingest_orders(spark: SparkSession, path: str, tables: Tables, strict: bool =
             return {"order": sink.order_rows(good, tables["order"], ["_pos"])}
         sourced = ledger.with_source(checked.rows).filter("reject_reason is null")
         given = sourced.filter("id is not null")
-        top = max(_top(tables["order"]), _top(given))
+        top = max(_top(spark, "order", tables, root), max_id(given).first()["max_id"])
         unnamed = ledger.keyed(sourced.filter("id is null"), root, "order", {"_key": top}).withColumn("id", F.col("_key"))
         return {"order": given.select(*ORDER.columns).unionByName(unnamed.select(*ORDER.columns))}
 

@@ -11,19 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.operators.keys import dense_index, max_id
+from orderflow.operators.keys import dense_index
 from orderflow.operators.probe import Asked, ask, stored_among
 from orderflow.operators.rules import without_existing
 from orderflow.session import stage
+from orderflow.sources.tables import exists, max_key
 
 SOURCE = "_source"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def stored(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     path = f"{root.rstrip('/')}/{name}.parquet"
     return spark.read.parquet(path) if exists(spark, path) else None
@@ -57,7 +53,7 @@ def keyed(rows: DataFrame, root: str, name: str, tops: dict[str, int]) -> DataFr
     if ledger is not None:
         known = stage(stored_among(ledger.select(SOURCE), asked), "known-sources")
         fresh = fresh.join(known, SOURCE, "left_anti")
-        tops = {c: max(top, max_id(ledger, c, top).first()["max_id"]) for c, top in tops.items()}
+        tops = {c: max(top, max_key(spark, root, ledger_name, c) or top) for c, top in tops.items()}
     numbered = dense_index(fresh, [SOURCE], "_n", 1)
     entries = numbered.select(SOURCE, *[(F.col("_n") + top).alias(c) for c, top in tops.items()])
     entries.write.mode("append").parquet(f"{root.rstrip('/')}/{ledger_name}.parquet")

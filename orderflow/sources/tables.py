@@ -10,6 +10,44 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def _with_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose minima, maxima and counts come from the footers of its files.
+
+    Spark's second Parquet reader does so where it is allowed to; which reader serves a frame is decided
+    when the frame is made.
+    """
+    setting = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, ",".join(s for s in before.split(",") if s.strip() != "parquet"))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def max_key_plan(spark: SparkSession, root: str, name: str, column: str = "id") -> DataFrame:
+    """One row ``max_id``: the largest key of a stored table, null if it has none."""
+    return _with_footers(spark, f"{root.rstrip('/')}/{name}.parquet").agg(F.max(column).cast("long").alias("max_id"))
+
+
+def max_key(spark: SparkSession, root: str, name: str, column: str = "id") -> int | None:
+    """The largest key of a stored table without reading its rows; None if there is no table or no key."""
+    if not exists(spark, f"{root.rstrip('/')}/{name}.parquet"):
+        return None
+    setting = "spark.sql.parquet.aggregatePushdown"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        return max_key_plan(spark, root, name, column).first()["max_id"]
+    finally:
+        spark.conf.set(setting, before)
+
+
 def keys(df: DataFrame, column: str = "id") -> DataFrame:
     return df.select(F.col(column).alias("id"))
 

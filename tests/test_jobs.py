@@ -17,6 +17,7 @@ from orderflow.schema import DELETE_ORDER, DRIVER, ORDER, RESTAURANT, TABLES, US
 from orderflow.sinks import files as sink
 from orderflow.sinks.tables import append_table
 from orderflow.sources.files import read_entity
+from orderflow.sources import tables as tables_
 from orderflow.sources.tables import table
 
 USERS = [
@@ -335,3 +336,20 @@ def test_a_fifth_entity_needs_its_declaration_only(spark, tmp_path):
     job.save(root)
     job.save(root)
     assert {tuple(r) for r in table(spark, root, "menuitem_order").collect()} == {(1, 1, 5), (1, 2, 1)}
+
+
+def test_the_largest_key_is_read_from_footers(spark, tmp_path):
+    root = str(tmp_path)
+    assert tables_.max_key(spark, root, "order") is None
+    spark.range(0).write.parquet(f"{root}/order.parquet")
+    assert tables_.max_key(spark, root, "order") is None
+    spark.range(500).repartition(3).withColumn("note", F.lit("x")).write.mode("append").parquet(f"{root}/order.parquet")
+    assert tables_.max_key(spark, root, "order") == 499
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    try:
+        plan = tables_.max_key_plan(spark, root, "order")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.parquet.aggregatePushdown")
+    assert "PushedAggregation: [MAX(id)]" in plan and "ReadSchema: struct<max(id):bigint>" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "BatchScan" not in table(spark, root, "order")._jdf.queryExecution().executedPlan().toString()
