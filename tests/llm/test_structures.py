@@ -118,10 +118,30 @@ def test_exact_top_k(spark, monkeypatch):
         score = m @ m[np.flatnonzero(ids == q)[0]]
         order = [k for k in np.lexsort((ids, -score)) if ids[k] != q][:10]
         want += [(q, rank + 1, int(ids[k]), int(score[k])) for rank, k in enumerate(order)]
+    read = []
+    plain = vafile.stage
+    monkeypatch.setattr(vafile, "stage", lambda df, label: read.append((label, out := plain(df, label))) or out)
     assert sorted(map(tuple, vafile.top_k(frame).collect())) == want
+    sizes = {label: df.count() for label, df in read}
+    pairs = len(good) * len({q for q, *_ in want})
+    assert sizes["va-candidates"] < pairs / 4 and sizes["va-first"] <= 20 * len({q for q, *_ in want})
     assert vafile.top_k(frame.limit(0)).count() == 0
 
 
+def test_bounds_hold_and_scores_beyond_64_bits_raise(spark):
+    rng = np.random.default_rng(8)
+    for scale in (3, 1000, 10**9, 10**15):
+        exact = rng.integers(-scale, scale + 1, (200, 7))
+        queries = rng.integers(-scale, scale + 1, (20, 7))
+        about, below, above = vafile.bounds(queries, *vafile.approximate(exact))
+        true = [[sum(int(x) * int(y) for x, y in zip(q, v, strict=True)) for v in exact] for q in queries]
+        for q in range(20):
+            assert all(a - below[q] <= t <= a + above[q] for a, t in zip(about[q], true[q], strict=True))
+    big = spark.createDataFrame([(i, [2.0**40, 1.0]) for i in range(3)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        vafile.top_k(big).collect()
+
+
 def test_tree_finds_neighbours(spark, monkeypatch):
     monkeypatch.setattr(kmeans_tree, "PROBES", 64)
     rows, frame = _vectors(spark)
