@@ -31,6 +31,7 @@ from orderflow.session import stage
 SAMPLE = 20_000  # texts that tell which shingles are common
 COMMON = 200_000  # of them remembered at most
 RANGE = 1 << 21  # signatures a task sorts at once
+WIDE = 4 * RANGE  # a range that holds more has some very common ones, and is dealt out by rows
 CHUNK = 1024  # sets of a group compared in one task, and
 CHUNK_SHINGLES = 1 << 20  # the shingles they have together, on average
 KNOWN = 1 << 16  # sets a task remembers, to work on copies once
@@ -271,17 +272,20 @@ def join(docs: DataFrame) -> DataFrame:
                 for a, b in zip(cuts, np.append(cuts[1:], len(key))[: len(cuts)], strict=True):
                     who, line = np.unique(owner[a:b], return_inverse=True)
                     steps = np.diff(key[a:b], prepend=np.uint64(0))
-                    out.append((int(target[a]), _planes(steps), line.astype(np.uint32).tobytes(), first[who].tobytes()))
+                    out.append((int(target[a]), int(b - a), _planes(steps), line.astype(np.uint32).tobytes(), first[who].tobytes()))
                 if out:
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["r", "keys", "lines", "sets"])
+                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["r", "n", "keys", "lines", "sets"])
 
-    def gather(table: pa.Table) -> pa.Table:
-        """Sets under each shared signature of a range, around the smallest."""
-        keys, nodes = [], []
+    def unpack(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        keys, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for raw, lines, sets in zip(*(table.column(c).to_pylist() for c in ("keys", "lines", "sets")), strict=True):
             keys.append(np.cumsum(_unplane(raw), dtype=np.uint64))
             nodes.append(np.frombuffer(sets, np.int64)[np.frombuffer(lines, np.uint32)])
-        key, node = np.concatenate(keys), np.concatenate(nodes)
+        return np.concatenate(keys), np.concatenate(nodes)
+
+    def gather(table: pa.Table) -> pa.Table:
+        """Sets under each shared signature of a range, around the smallest."""
+        key, node = unpack(table)
         order = np.argsort(key, kind="stable")
         key, node = key[order], node[order]
         begins = np.append(True, key[1:] != key[:-1])
@@ -294,8 +298,23 @@ def join(docs: DataFrame) -> DataFrame:
             pairs = pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(1))]
         return pa.table({"centre": pairs[:, 0], "member": pairs[:, 1]})
 
-    signed = rows.filter(F.col("doc_id").isNotNull()).select("text").mapInArrow(sign, "r long, keys binary, lines binary, sets binary")
-    around = stage(signed.groupBy("r").applyInArrow(gather, "centre long, member long"), "join-around")
+    def spread(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in tables:
+            key, node = unpack(table)
+            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(node)], ["key", "node"])
+
+    signed = stage(rows.filter(F.col("doc_id").isNotNull()).select("text").mapInArrow(sign, "r long, n long, keys binary, lines binary, sets binary"), "join-signed")
+    wide = stage(signed.groupBy("r").agg(F.sum("n").alias("held")).filter(F.col("held") > WIDE).select(F.col("r").alias("wide"), "held"), "join-wide")
+    n_wide = wide.count()
+    dealt = left_join_unique(signed, wide, F.col("r"), "wide", n_wide) if n_wide else signed.withColumn("held", F.lit(None).cast("long"))
+    around = dealt.filter("held is null").groupBy("r").applyInArrow(gather, "centre long, member long")
+    if n_wide:
+        # the sets under a very common signature are never in one task: its smallest set is a partial minimum, which
+        # they meet by a join whose hot keys Spark splits
+        common_ = dealt.filter("held is not null").mapInArrow(spread, "key long, node long")
+        least = common_.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last").drop("last")
+        around = around.unionByName(common_.join(least, "key").filter("node <> centre").select("centre", F.col("node").alias("member")))
+    around = stage(around, "join-around")
     around = stage(around.groupBy("centre", "member").agg(F.lit(1).alias("one")).select("centre", "member"), "join-groups")
     members = around.unionByName(around.select("centre", F.col("centre").alias("member")).distinct())
 

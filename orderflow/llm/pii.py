@@ -170,21 +170,22 @@ def counts() -> list[Column]:
 
 
 def redact(docs: DataFrame, **options: float) -> DataFrame:
-    """The rows of ``docs`` with every span replaced by its kind in square brackets."""
+    """The rows of ``docs`` with every span replaced by its kind in square brackets; other columns as they are, whatever their names."""
+    longest = max(map(len, docs.columns), default=0)
+    whole, tid, held = (f"__{c}" + "_" * longest for c in ("text", "tid", "spans"))  # longer than any name there
     found = find(docs, **options)
     spans = stage(found.filter(F.size("spans") > 0).select("tid", "spans").dropDuplicates(["tid"]), "pii-spans")
     names = F.array(*map(F.lit, KINDS))
     text = text_of(docs)
-    marked = docs.withColumns({"__text": text, "__tid": F.md5(text)}).join(spans.withColumnRenamed("tid", "__tid").withColumnRenamed("spans", "__spans"), "__tid", "left")
+    marked = docs.withColumns({whole: text, tid: F.md5(text)}).join(spans.select(F.col("tid").alias(tid), F.col("spans").alias(held)), tid, "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def cut(seen: Column, s: Column) -> Column:
         begin = F.greatest(seen["at"], s["start"])
         label = F.when(s["end"] > seen["at"], F.concat(F.lit("["), F.upper(F.get(names, s["kind"])), F.lit("]"))).otherwise("")
-        gap = F.substr(F.col("__text"), seen["at"] + 1, begin - seen["at"])
+        gap = F.substr(F.col(whole), seen["at"] + 1, begin - seen["at"])
         return F.struct(F.greatest(seen["at"], s["end"]).alias("at"), F.concat(seen["out"], gap, label).alias("out"))
 
-    by_start = F.array_sort("__spans", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
-    rest = F.aggregate(by_start, start, cut, lambda seen: F.concat(seen["out"], F.substr(F.col("__text"), seen["at"] + 1)))
-    return marked.withColumn("text", F.when(F.col("__spans").isNotNull(), rest).otherwise(docs["text"])).drop("__tid", "__spans", "__text")
-
+    by_start = F.array_sort(held, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
+    rest = F.aggregate(by_start, start, cut, lambda seen: F.concat(seen["out"], F.substr(F.col(whole), seen["at"] + 1)))
+    return marked.withColumn("text", F.when(F.col(held).isNotNull(), rest).otherwise(docs["text"])).drop(tid, held, whole)

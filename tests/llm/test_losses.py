@@ -120,7 +120,7 @@ def test_label_model_is_that_of_brute_force(spark):
 def test_clashing_names_pass_the_pipeline(spark):
     a, b = (" ".join(f"{x}{i}" for i in range(30)) for x in "ab")
     rows = [(1, a, "s"), (2, a, "s"), (3, b, "s"), (3, a + " x", "s"), (4, None, "s"), (None, a, "s")]
-    clash = {"first": "f", "rows": "r", "copy_id": "c", "_text_key": "k", "_digest": "d", "_first": "g", "_Rows": "h", "__words": "w", "n_shingles": "n"}
+    clash = {"first": "f", "rows": "r", "copy_id": "c", "_text_key": "k", "_digest": "d", "_first": "g", "_Rows": "h", "__words": "w", "n_shingles": "n", "__text": "t", "tid": "i", "__spans": "p", "spans": "q"}
     docs = spark.createDataFrame([(*r, *clash.values()) for r in rows], "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in clash))
     kept = corpus_pipeline.keep_one_of_copies(spark, docs, "")
     assert kept.columns == docs.columns
@@ -164,8 +164,9 @@ def test_long_words_that_differ_have_other_hashes():
     assert hashes[0] != hashes[1]
 
 
-@pytest.mark.parametrize("ids, shingles_", [(1 << 22, 40), (0, 1 << 20)])
-def test_join_with_small_chunks_and_without_filters(spark, monkeypatch, ids, shingles_):
+@pytest.mark.parametrize("ids, shingles_, wide", [(1 << 22, 40, 10), (0, 1 << 20, 0), (0, 1 << 20, 1 << 20)])
+def test_join_with_small_chunks_without_filters_and_by_rows(spark, monkeypatch, ids, shingles_, wide):
+    monkeypatch.setattr(partenum, "WIDE", wide)
     monkeypatch.setattr(partenum, "FILTER_IDS", ids)
     monkeypatch.setattr(partenum, "CHUNK_SHINGLES", shingles_)
     monkeypatch.setattr(partenum, "KNOWN", 3)

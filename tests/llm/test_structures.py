@@ -63,8 +63,10 @@ def near(spark):
     return docs
 
 
-def test_join_equals_brute_force(spark, near, monkeypatch):
+@pytest.mark.parametrize("wide", [partenum.WIDE, 100])
+def test_join_equals_brute_force(spark, near, monkeypatch, wide):
     monkeypatch.setattr(partenum, "CHUNK", 8)  # groups are met chunk by chunk
+    monkeypatch.setattr(partenum, "WIDE", wide)  # ranges with common signatures are dealt out by rows
     frame = spark.createDataFrame([(i, t, 7) for i, t in near], "doc_id long, text string, rep int")
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in partenum.join(frame).collect())
     assert got == _components(near)
