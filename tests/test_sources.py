@@ -4,6 +4,7 @@ import csv
 import io
 import json
 import random
+import re
 from contextlib import contextmanager
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from orderflow.errors import IngestError
 from orderflow.schema import DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
+from orderflow.sinks import files as sink
 from orderflow.sources import chunks, records
 from orderflow.sources.files import read_entity, text_lines
 
@@ -412,3 +414,36 @@ def test_lenient_csv_line_break_inside_quotes(spark, tmp_path):
 def test_strict_csv_quoted(spark, tmp_path):
     path = put(tmp_path, "i.csv", '1,"a, ""b"""\n2,"c\nd"\n3,\n')
     assert rows(read_entity(spark, path, ITEM, quoted=True), "id", "name") == [(1, 'a, "b"'), (2, "c\nd"), (3, "")]
+
+
+def test_documents_hold_a_bounded_number_of_records(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "FILE_RECORDS", 3)
+    made = spark.range(0, 20, 1, 2).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    for name, layout in (("i.xml", "lines"), ("i.json", "array")):
+        path = tmp_path / name
+        sink.write_entity(made, str(path), ITEM, layout=layout)
+        texts = [p.read_text() for p in sorted(path.glob("part-*"))]
+        if layout == "array":
+            found = [[r["id"] for r in json.loads(t)] for t in texts]
+        else:
+            found = [[int(i) for i in re.findall(r"<id>(\d+)</id>", t)] for t in texts]
+        assert [len(f) for f in found] == [3, 3, 3, 1] * 2
+        assert sum(found, []) == list(range(20))
+        assert sorted(r["id"] for r in read_entity(spark, str(path), ITEM).collect()) == list(range(20))
+    sink.write_entity(made.limit(0), str(tmp_path / "none.json"), ITEM, layout="array")
+    assert read_entity(spark, str(tmp_path / "none.json"), ITEM).count() == 0
+
+
+def test_json_lines_are_split_and_arrays_beside_them_are_whole(spark, tmp_path):
+    lines = "".join(f'{{"id": {i}, "name": "[{i}"}}\n' for i in range(200))
+    put(tmp_path, "d.json/lines", lines)
+    with splits(spark, 1000):
+        alone = records.json_records(spark, str(tmp_path / "d.json"))
+        assert alone.rdd.getNumPartitions() > 3
+        put(tmp_path, "d.json/an array", " \n[\n" + ",\n".join(f'{{"id": {i}, "name": "b"}}' for i in range(200, 300)) + ", null]")
+        put(tmp_path, "d.json/blank", " \n \n")
+        got = read_entity(spark, str(tmp_path / "d.json"), ITEM)
+        found = got.select("id", "_pos", "_file").collect()
+    assert sorted(r["id"] for r in found) == list(range(300)) and len({r["_pos"] for r in found}) == 300
+    own = sorted((r["_pos"], r["id"]) for r in found if r["_file"].endswith("lines"))
+    assert [i for _, i in own] == list(range(200))
