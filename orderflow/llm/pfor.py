@@ -38,8 +38,9 @@ SPREAD_BYTES = 1 << 22  # with less text than this for each shuffle partition th
 READ_BLOCKS = 512  # blocks read at once
 MAGIC = b"PFOR0001"
 _HEAD = np.dtype([("least", "<u4"), ("n", "<u2"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
-SLICE = 1 << 20  # words encoded at once
+SLICE = 1 << 18  # words encoded at once
 KNOWN = 1 << 19  # words, and parts of words, whose ids a worker remembers
+ENCODED = 1 << 19  # characters given to the library at once, whose encodings are far larger than their ids
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -236,14 +237,22 @@ class Words:
 
     def _learn_parts(self, parts: list[str], between: str) -> None:
         texts = [parts[a : a + self.JOINED] for a in range(0, len(parts), self.JOINED)]
-        coded = self.library.encode_batch_fast([between.join(t) for t in texts], add_special_tokens=False)
-        for own, text in zip(coded, texts, strict=True):
-            ids = np.array(own.ids, np.int64)
-            if between == " ":
-                self._add_parts(text, ids, np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0))
-            else:
-                cuts = np.flatnonzero(ids == self.mark[0])
-                self._add_parts(text, np.delete(ids, cuts), np.diff(np.concatenate(([-1], cuts, [len(ids)]))) - 1)
+        joined = [between.join(t) for t in texts]
+        held = offsets_of(np.array([len(t) for t in joined], np.int64))[:-1] // ENCODED
+        cuts = [0, *(np.flatnonzero(np.diff(held)) + 1).tolist(), len(joined)]
+        found = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            found += [np.array(own.ids, np.int32) for own in self.library.encode_batch_fast(joined[a:b], add_special_tokens=False)]
+        if between == " ":
+            sizes = [np.diff(np.flatnonzero(self.ends[ids]) + 1, prepend=0) for ids in found]
+        else:
+            marks = [np.flatnonzero(ids == self.mark[0]) for ids in found]
+            sizes = [np.diff(np.concatenate(([-1], at, [len(ids)]))) - 1 for ids, at in zip(found, marks, strict=True)]
+            found = [np.delete(ids, at) for ids, at in zip(found, marks, strict=True)]
+        if [len(n) for n in sizes] != [len(t) for t in texts]:
+            raise ValueError("words and their ids do not add up")
+        if found:
+            self._add_parts(parts, np.concatenate(found), np.concatenate(sizes))
 
     def _coded(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, one after another, and how many each has."""

@@ -207,6 +207,29 @@ def test_files_hold_the_librarys_ids(spark, monkeypatch, file_bytes, known):
     assert pfor.binary_output(docs.limit(0), WORDS, 2).count() == 0
 
 
+def test_the_library_is_given_a_bounded_text_at_once(monkeypatch):
+    class Watched:
+        most = 0
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.most = max(self.most, sum(map(len, texts)))
+            return library.encode_batch_fast(texts, **options)
+
+    library, watched = Tokenizer.from_file(WORDS), Watched()
+    monkeypatch.setattr(pfor, "ENCODED", 4000)
+    monkeypatch.setattr(pfor.Words, "JOINED", 50)
+    rng = np.random.default_rng(3)
+    made = ["".join(rng.choice(list("abcdeéß"), 8)) + end for end in ("", ",", "-x9", "\u0001") for _ in range(1000)]
+    words = np.array(list(dict.fromkeys(made)), object)
+    ids, lengths = pfor.Words(watched).encode(words, np.arange(len(words)))
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert ids.tolist() == sum(want, []) and lengths.tolist() == list(map(len, want))
+    assert 0 < watched.most < 2 * 4000
+
+
 def test_queries_on_the_test_tables(spark):
     sf = "/root/testdata/sf0.001"
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
