@@ -28,9 +28,9 @@ from orderflow.catalog.registry import (
 )
 from orderflow.functions import draws
 from orderflow.operators import generate
-from orderflow.operators.keys import dense_index, max_id
+from orderflow.operators.keys import BUCKET_ROWS, dense_index, max_id
 from orderflow.operators.relational import concat_batches, without_match
-from orderflow.schema import TABLES
+from orderflow.schema import TABLES, ForeignKey
 from orderflow.session import stage
 
 RUN_DATE = dt.date(2024, 1, 31)
@@ -339,16 +339,23 @@ def gen_dependency_set(spark: SparkSession, sf: str) -> DataFrame:
     # Keys and references are met several times below, so they are made once.
     referring = {name: [fk for fk in TABLES[name].foreign_keys if fk.parent in made and fk.column in df.columns] for name, df in made.items()}
     made = {name: stage(df.select(*dict.fromkeys(["id", *[fk.column for fk in referring[name]]])), f"made-{name}") for name, df in made.items()}
-    # Keys are 16 bytes of digest or dense numbers: grouping them is a shuffle of ids only.
+    # Keys are 16 bytes of digest or dense numbers: grouping them is a shuffle of ids only, dealt over as many
+    # tasks as there are rows for, since nearly all are distinct and a task holds all that it is dealt.
+    dealt = {name: -(-df.count() // BUCKET_ROWS) + 1 for name, df in made.items()}
     sizes = [
-        df.groupBy("id").agg(F.count(F.lit(1)).alias("c")).agg(F.lit(name).alias("table_name"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_ids"))
+        df.repartition(dealt[name], "id")
+        .groupBy("id")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .agg(F.lit(name).alias("table_name"), F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_ids"))
         for name, df in made.items()
     ]
-    loose = [
-        df.join(made[fk.parent].select(F.col(fk.parent_column).alias(fk.column)), fk.column, "left_anti").select(F.lit(name).alias("table_name"))
-        for name, df in made.items()
-        for fk in referring[name]
-    ]
+
+    def loose_of(name: str, fk: ForeignKey) -> DataFrame:
+        n = max(dealt[name], dealt[fk.parent])
+        parents = made[fk.parent].select(F.col(fk.parent_column).alias(fk.column)).repartition(n, fk.column)
+        return made[name].repartition(n, fk.column).join(parents, fk.column, "left_anti").select(F.lit(name).alias("table_name"))
+
+    loose = [loose_of(name, fk) for name in made for fk in referring[name]]
     dangling = concat_batches(*loose).groupBy("table_name").agg(F.count(F.lit(1)).alias("n_dangling"))
     return concat_batches(*sizes).join(dangling, "table_name", "left").fillna(0, ["n_dangling"])
 

@@ -1,10 +1,12 @@
 """Invariants of generated rows."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderflow.catalog import generator_queries
 from orderflow.errors import IngestError
 from orderflow.functions import draws
 from orderflow.operators import generate
@@ -116,3 +118,12 @@ def test_drivers_from_seed(spark, five):
     assert len(got) == 5 and {r["dob"] for r in got} == {"09/03/2024"}
     assert all(r["email"] == f"{r['first_name']}.{r['last_name']}@mail.com" for r in got)
     assert all(0 <= r["rating"] < 5 and 10000 <= int(r["license_num"]) <= 99999 for r in got)
+
+
+def test_keys_of_a_set_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(generator_queries, "BUCKET_ROWS", 100)
+    got = generator_queries.gen_dependency_set(spark, "/root/testdata/sf0.001")
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(id#\d+L?, (\d+)\), REPARTITION_BY_NUM", got._jdf.queryExecution().executedPlan().toString())]
+    counts = {r.table_name: r for r in got.collect()}
+    assert all(r.n == r.n_ids and r.n_dangling == 0 for r in counts.values())
+    assert dealt and max(r.n for r in counts.values()) / max(dealt) <= 100
