@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderflow.operators import probe, rules
 from orderflow.operators.components import components
 from orderflow.schema import TABLES
+from orderflow.session import stage
 
 
 def insert_one_by_one(rows, existing_ids, existing_mails):
@@ -265,3 +266,18 @@ def test_existing_keys_are_left_out_of_a_batch(spark):
     assert sorted(r["v"] for r in rules.without_existing(batch, spark.range(2), ["id"]).collect()) == ["w", "y", "z"]
     assert rules.without_existing(batch.limit(0), spark.range(2), ["id"]).count() == 0
     assert rules.without_existing(batch, spark.range(0), ["id"]).count() == 4
+
+
+def test_checks_by_shuffle_move_keys_and_places_only(spark):
+    stored = spark.range(0, 40, 2).select("id", F.concat(F.lit("k"), "id").alias("key"))
+    rows = [(i, f"k{i % 50}" if i % 7 else None, i % 45 if i % 5 else None, "ballast") for i in range(300)]
+    batch = stage(spark.createDataFrame(rows, "_pos long, name string, number long, code string"), "batch")
+    both = [rules.must_exist("no_number", "number", stored), rules.must_exist("no_name", "name", stored, "key")]
+    checked = rules.check_rules(batch, both, lookup_rows=0)
+
+    def expected(name, number):
+        return "no_number" if number is None or number % 2 or number >= 40 else "no_name" if name is None or int(name[1:]) % 2 or int(name[1:]) >= 40 else None
+
+    assert {r._pos: (r.reject_reason, r.code) for r in checked.collect()} == {p: (expected(n, k), c) for p, n, k, c in rows}
+    plan = rules.outcome_counts(checked)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [line for line in plan if "code" in line and "Relation" not in line]
