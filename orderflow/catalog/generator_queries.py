@@ -37,11 +37,11 @@ RUN_DATE = dt.date(2024, 1, 31)
 
 
 def _customer_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "customer").select(F.col("c_custkey").alias("i"))
+    return generate.dealt(table(spark, sf, "customer").select(F.col("c_custkey").alias("i")))
 
 
 def _order_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("i"))
+    return generate.dealt(table(spark, sf, "orders").select(F.col("o_orderkey").alias("i")))
 
 
 # Generated keys go on after the largest ones of these tables.
@@ -331,7 +331,7 @@ def gen_deliveries(spark: SparkSession, sf: str) -> DataFrame:
 )
 def gen_dependency_set(spark: SparkSession, sf: str) -> DataFrame:
     """Rows, distinct keys and references to nothing per generated table."""
-    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("i"))
+    suppliers = generate.dealt(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("i")))
     orders = _order_rows(spark, sf)
     made = generate.dependency_set(
         _customer_rows(spark, sf), suppliers, orders, SEED, suppliers.count(), orders.count(), _tops(spark, sf)

@@ -31,6 +31,8 @@ MAX_RATING = 5.0
 STATUS_ACTIVE, STATUS_WAITING = "ACTIVE", "waiting"
 DOB_FORMAT = "dd/MM/yyyy"
 
+TASK_ROWS = 25_000  # rows that a task makes, of a table
+
 def _i() -> Column:
     return F.col("i")
 
@@ -39,6 +41,12 @@ def row_numbers(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).select(F.col("id").alias("i"))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` over as many tasks as there is work for: numbers are few bytes, by which Spark deals out
+    a scan, but what is made of each takes long."""
+    return rows.repartition(max(1, -(-rows.count() // TASK_ROWS)))
+
+
 def user_id(seed: int, kind: str, i: Column | None = None) -> Column:
     return draws.uuid4_hex(seed, f"user-{kind}", _i() if i is None else i)
 

@@ -127,3 +127,14 @@ def test_keys_of_a_set_are_dealt_by_their_number(spark, monkeypatch):
     counts = {r.table_name: r for r in got.collect()}
     assert all(r.n == r.n_ids and r.n_dangling == 0 for r in counts.values())
     assert dealt and max(r.n for r in counts.values()) / max(dealt) <= 100
+
+
+def test_rows_are_dealt_by_their_number(spark, tmp_path):
+    """However few bytes their numbers are in: one file, of one row group, is one task."""
+    generate.row_numbers(spark, 60_000).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    customers = rows.select(F.col("i").alias("c_custkey"))
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    got = generator_queries._customer_rows(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 1 and got.rdd.getNumPartitions() == 3
+    assert same(got, rows)
