@@ -447,3 +447,12 @@ def test_json_lines_are_split_and_arrays_beside_them_are_whole(spark, tmp_path):
     assert sorted(r["id"] for r in found) == list(range(300)) and len({r["_pos"] for r in found}) == 300
     own = sorted((r["_pos"], r["id"]) for r in found if r["_file"].endswith("lines"))
     assert [i for _, i in own] == list(range(200))
+
+
+def test_files_of_one_block_are_read_once(spark, tmp_path, monkeypatch):
+    text = '[{"id": 1, "name": "}, [{"}, {"id": 2, "name": "\\"]"}]'
+    path = put(tmp_path, "i.json", text)
+    monkeypatch.setattr(chunks, "block_starts", lambda sums: pytest.fail("summed up first"))
+    assert rows(read_entity(spark, path, ITEM, layout="records"), "id", "name") == [(1, "}, [{"), (2, '"]')]
+    with pytest.raises(IngestError, match="malformed"):
+        read_entity(spark, put(tmp_path, "j.json", text[:-1]), ITEM, layout="records")
