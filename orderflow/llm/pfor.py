@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from orderflow.llm.bpe import batches
-from orderflow.llm.common import documents, offsets_of, ragged_take, shared_uri
+from orderflow.llm.common import documents, offsets_of, ragged_take, shared_uri, string_buffers
 from orderflow.session import stage
 
 BLOCK = 1024  # ids in a block
@@ -202,7 +202,7 @@ class Words:
     """
 
     MARK = "\u0001"
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)").fullmatch  # letters that no normal form changes
+    PLAIN, MARKS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$", ",.;:!?"  # letters that no normal form changes, and what may follow them
     JOINED = 2000  # words of one text
 
     def __init__(self, library: Tokenizer) -> None:
@@ -212,8 +212,6 @@ class Words:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}  # place of each word's ids
-        self.ids, self.offsets = np.empty(0, np.int32), np.zeros(1, np.int64)
         self.parts: dict[str, int] = {"": 0}  # places of letters without marks, of marks, and of other words
         self.part_ids, self.part_offsets = np.empty(0, np.int32), np.zeros(2, np.int64)
 
@@ -254,53 +252,46 @@ class Words:
         if found:
             self._add_parts(parts, np.concatenate(found), np.concatenate(sizes))
 
-    def _coded(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words, one after another, and how many each has."""
-        letters, others, marks, pairs = {}, [], {}, []
-        for word in fresh:
-            m = self.PLAIN(word)
-            if m is None:
-                pair = (word, "")
-                if self.MARK in word:
-                    marks[word] = None
-                elif word not in self.parts:
-                    others.append(word)
-            else:
-                pair = (m[1].lower(), m[2])
-                if pair[0] not in self.parts:
-                    letters[pair[0]] = None
-                if pair[1] not in self.parts:
-                    marks[pair[1]] = None
-            pairs.append(pair)
-        self._learn_parts(list(letters), " ")
-        self._learn_parts(others, f" {self.MARK} ")
-        for word in marks:
-            ids = np.array(self.library.encode(word, add_special_tokens=False).ids, np.int64)
-            self._add_parts([word], ids, np.array([len(ids)]))
-        places = np.fromiter((self.parts[x] for pair in pairs for x in pair), np.int64, 2 * len(pairs))
-        ids, sizes = ragged_take(self.part_ids, self.part_offsets, places)
-        return ids, sizes[::2] + sizes[1::2]
-
-    def encode(self, words: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _learn_whole(self, parts: list[str]) -> None:
+        for part in parts:
+            ids = np.array(self.library.encode(part, add_special_tokens=False).ids, np.int64)
+            self._add_parts([part], ids, np.array([len(ids)]))
+
+    @staticmethod
+    def _ends(words: pa.Array, heads: pa.Array) -> pa.Array:
+        """What follows ``heads`` in the ``words`` that begin with them: the even ones of the stretches they cut the bytes into."""
+        data, at = string_buffers(words)
+        bounds = np.stack([at[:-1] + np.asarray(pc.binary_length(heads)), at[1:]], 1).ravel()
+        cut = pa.LargeStringArray.from_buffers(max(2 * len(words) - 1, 0), pa.py_buffer(bounds.tobytes()), pa.py_buffer(data))
+        return cut.take(pa.array(np.arange(0, len(cut), 2)))
+
+    def _places(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.parts.__getitem__, parts), np.int64, len(parts))
+
+    def encode(self, words: pa.Array, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids, one after another, and their number, of the ``word``-th of the distinct ``words`` each.
 
-        Words met more than once are remembered, and the parts of all.
+        Words are taken apart all at once; the ids of their parts are remembered.
         """
-        if max(len(self.known), len(self.parts)) > KNOWN:
+        if len(self.parts) > KNOWN:
             self._forget()
-        place = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
-        unseen = np.flatnonzero(place < 0)
-        ids, offsets = self.ids, self.offsets
-        if len(unseen):
-            often = np.bincount(word, minlength=len(words))[unseen] > 1
-            unseen = np.concatenate([unseen[often], unseen[~often]])
-            more, sizes = self._coded(words[unseen].tolist())
-            place[unseen] = np.arange(len(offsets) - 1, len(offsets) - 1 + len(unseen))
-            ids, offsets = np.concatenate([ids, more]), np.concatenate([offsets, offsets[-1] + np.cumsum(sizes)])
-            n = len(self.offsets) + int(often.sum())
-            self.known.update(zip(words[unseen[: int(often.sum())]].tolist(), range(len(self.offsets) - 1, n - 1), strict=True))
-            self.ids, self.offsets = ids[: offsets[n - 1]], offsets[:n]
-        return ragged_take(ids, offsets, place[word])
+        words = pa.array(words, pa.string()) if isinstance(words, np.ndarray) else words
+        letters = pc.ascii_rtrim(words, characters=self.MARKS)
+        is_plain = pc.match_substring_regex(letters, self.PLAIN)
+        plain = np.asarray(is_plain)
+        place = np.zeros((len(words), 2), np.int64)  # of letters and of marks; the empty part is at 0
+        marks = self._ends(words, letters).filter(is_plain).dictionary_encode()
+        letters = pc.utf8_lower(letters.filter(is_plain)).dictionary_encode()
+        heads, others, tails = (a.to_numpy(zero_copy_only=False).tolist() for a in (letters.dictionary, words.filter(pc.invert(is_plain)), marks.dictionary))
+        for parts, between in ((heads, " "), ([w for w in others if self.MARK not in w], f" {self.MARK} ")):
+            self._learn_parts([x for x in parts if x not in self.parts], between)
+        whole = [*tails, *[w for w in others if self.MARK in w]]
+        self._learn_whole([x for x in whole if x not in self.parts])
+        for k, (parts, coded) in enumerate(((heads, letters), (tails, marks))):
+            place[plain, k] = self._places(parts)[np.asarray(coded.indices)]
+        place[~plain, 0] = self._places(others)
+        ids, sizes = ragged_take(self.part_ids, self.part_offsets, place.ravel())
+        return ragged_take(ids, offsets_of(sizes[::2] + sizes[1::2]), word)
 
 
 @lru_cache(maxsize=1)
@@ -336,7 +327,7 @@ def write_files(docs: DataFrame, tokenizer: str, end: int) -> DataFrame:
         for table in tables:
             for piece, distinct, word, ends in batches(table, "words", SLICE):
                 writer = writer or Writer(fs.open_output_stream(f"{root}/{name}", compression=None))
-                ids, lengths = words.encode(distinct.to_numpy(zero_copy_only=False), word)
+                ids, lengths = words.encode(distinct, word)
                 ends = offsets_of(lengths)[ends]
                 for doc, a, b in zip(piece.column("doc_id").to_pylist(), ends[:-1], ends[1:], strict=True):
                     writer.add(doc, np.append(ids[a:b], end))

@@ -247,3 +247,13 @@ def test_queries_on_the_test_tables(spark):
         ids = [*library.encode(text or "", add_special_tokens=False).ids, 2]
         assert (files[doc].start, files[doc].n_tokens, files[doc].ids_crc32) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+def test_words_are_taken_apart_as_arrow_text():
+    library = Tokenizer.from_file(WORDS)
+    made = ["Word", "word,", "word,,", ",", "été!", "ß.", "ÿ;:", "x-9", "a,b", "\u0001", "b\u0001,", "日本、", "İ!", "×", "</w>", "word"]
+    column = pa.array(["cut off", *made]).slice(1)
+    ids, lengths = pfor.Words(library).encode(column, np.arange(len(made)))
+    want = [library.encode(w, add_special_tokens=False).ids for w in made]
+    assert ids.tolist() == sum(want, []) and lengths.tolist() == list(map(len, want))
+    assert pfor.Words(library).encode(column.slice(0, 0), np.empty(0, np.int64))[0].tolist() == []
