@@ -8,6 +8,7 @@ import re
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from orderflow.errors import IngestError
 from orderflow.schema import DRIVER, ORDER, RESTAURANT, USER, Attr, Entity
 from orderflow.sinks import files as sink
-from orderflow.sources import chunks, records
+from orderflow.sources import chunks, files, records
 from orderflow.sources.files import read_entity, text_lines
 
 ITEM = Entity("item", (Attr("id", "long"), Attr("name")))
@@ -456,3 +457,32 @@ def test_files_of_one_block_are_read_once(spark, tmp_path, monkeypatch):
     assert rows(read_entity(spark, path, ITEM, layout="records"), "id", "name") == [(1, "}, [{"), (2, '"]')]
     with pytest.raises(IngestError, match="malformed"):
         read_entity(spark, put(tmp_path, "j.json", text[:-1]), ITEM, layout="records")
+
+
+def test_each_text_is_cast_once(spark):
+    entity = Entity("x", (Attr("n", "long"), Attr("k", "hex"), Attr("t")))
+    rows = spark.createDataFrame([("5", "{A-b}", "x"), ("1_0", "c", "y"), (None, "d", "z"), ("99999999999999999999", "e", "w")], "n string, k string, t string")
+    rows = rows.select("*", *[F.lit(None).cast(k).alias(c) for c, k in (("_mark", "string"), ("_file", "string"), ("_pos", "long"), ("reject_reason", "string"), ("reject_detail", "string"))])
+    typed = files.type_rows(rows, entity)
+    assert [(r.n, r.k, r.t, r.reject_reason, r.reject_detail) for r in typed.collect()] == [
+        (5, "ab", "x", None, None),
+        (None, "c", "y", "bad_value", "n"),
+        (None, "d", "z", "missing_field", "n"),
+        (None, "e", "w", "bad_value", "n"),
+    ]
+    # the plan over rows that it does not know, so that nothing is folded away
+    unknown = spark.range(1).select(*[F.col("id").cast("string").alias(c) for c in "nkt"], *[F.lit(None).cast("string").alias(c) for c in ("_mark", "_file", "reject_reason", "reject_detail")], F.col("id").alias("_pos"))
+    plan = files.type_rows(unknown, entity)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == 1 and plan.count("regexp_replace(") == 1
+
+
+def test_json_arrays_are_put_together_by_arrow():
+    def batch(*lines):
+        return pa.record_batch([pa.array(lines, pa.string())], ["value"])
+
+    def arrays(*batches):
+        return [t.column(0).to_pylist() for t in sink._bracketed(iter(batches), 2)]
+
+    assert arrays() == [["[", "]"]] and arrays(batch(), batch("a")) == [["[", "a", "]"]]
+    assert arrays(batch("a"), batch("b", "c", "d"), batch("\u00e4,")) == [["[", "a,", "b", "]"], ["[", "c,", "d", "]"], ["[", "\u00e4,", "]"]]
+    assert arrays(batch("a", "b")) == [["[", "a,", "b", "]"]]
