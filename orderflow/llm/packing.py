@@ -21,8 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import Bpe, encode, pretokens
-from orderflow.llm.common import documents
-from orderflow.session import stage
+from orderflow.llm.common import documents, released, stage
 
 MAX_QUEUES = 1024  # bound of what the driver sees of the sources; the rest shares one queue
 REST = "rest"  # its name; queues of one source are named s:source
@@ -133,7 +132,7 @@ def pack(
                 )
 
     cut = documents(docs, "source").select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), pretokens(F.col("text"), bpe).alias("pre"))
-    coded = stage(cut.mapInArrow(tokenize, "part int, doc_id long, source string, before long, n long, ids binary"), "pack")
+    coded = stage(cut.mapInArrow(released(tokenize), "part int, doc_id long, source string, before long, n long, ids binary"), "pack")
 
     sums = coded.groupBy("source", "part").agg(F.sum("n").alias("n"))
     by_source = sums.groupBy("source").agg(F.sum("n").alias("n"))
@@ -181,4 +180,4 @@ def pack(
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     ready = placed.select("doc_id", "queue", (F.col("base") + F.col("before")).alias("at"), "n", "ids")
-    return ready.mapInArrow(lay, "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return ready.mapInArrow(released(lay), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")

@@ -23,10 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import documents, hash_sample
+from orderflow.llm.common import documents, hash_sample, released, released_groups, stage
 from orderflow.llm.shingles import digests, mix, slices
 from orderflow.operators.skew import left_join_unique
-from orderflow.session import stage
 
 SAMPLE = 20_000  # texts that tell which shingles are common
 COMMON = 200_000  # of them remembered at most
@@ -225,7 +224,7 @@ def join(docs: DataFrame) -> DataFrame:
                 first, second = digests(sets, ends)
                 yield pa.record_batch([piece.column("doc_id"), pa.array(np.diff(ends)), pa.array(first), pa.array(second)], ["doc_id", "n", "d1", "d2"])
 
-    sized = stage(rows.mapInArrow(sets_of, "doc_id long, n long, d1 long, d2 long"), "join-sizes")
+    sized = stage(rows.mapInArrow(released(sets_of), "doc_id long, n long, d1 long, d2 long"), "join-sizes")
     # equal sets are one class, named by its smallest id
     classes = sized.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     classes = stage(classes, "join-classes")
@@ -240,7 +239,7 @@ def join(docs: DataFrame) -> DataFrame:
                 own = pa.ListArray.from_arrays(pa.array(ends[np.append(True, n > 0)], pa.int32()), pa.array(sets.view(np.int64)))
                 yield pa.record_batch([pa.array(sets[ends[:-1][n > 0]].view(np.int64)), own], ["sketch", "sets"])
 
-    sampled = rows.join(F.broadcast(drawn), "doc_id").select("text").mapInArrow(list_sets, "sketch long, sets array<long>")
+    sampled = rows.join(F.broadcast(drawn), "doc_id").select("text").mapInArrow(released(list_sets), "sketch long, sets array<long>")
     one = sampled.groupBy("sketch").agg(F.min("sets").alias("sets"))
     often = one.select(F.explode("sets").alias("h")).groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
     held = often.orderBy(F.desc("n"), "h").limit(COMMON).select("h").toArrow().column("h")
@@ -288,11 +287,13 @@ def join(docs: DataFrame) -> DataFrame:
         key, node = unpack(table)
         order = np.argsort(key, kind="stable")
         key, node = key[order], node[order]
+        del order
         begins = np.append(True, key[1:] != key[:-1])
         run = np.cumsum(begins) - 1
         centre = np.minimum.reduceat(node, np.flatnonzero(begins))[run]
         other = node != centre
         pairs = np.stack([centre[other], node[other]], 1)
+        del key, node, begins, run, centre, other
         pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
         if len(pairs):
             pairs = pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(1))]
@@ -303,15 +304,15 @@ def join(docs: DataFrame) -> DataFrame:
             key, node = unpack(table)
             yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(node)], ["key", "node"])
 
-    signed = stage(rows.filter(F.col("doc_id").isNotNull()).select("text").mapInArrow(sign, "r long, n long, keys binary, lines binary, sets binary"), "join-signed")
+    signed = stage(rows.filter(F.col("doc_id").isNotNull()).select("text").mapInArrow(released(sign), "r long, n long, keys binary, lines binary, sets binary"), "join-signed")
     wide = stage(signed.groupBy("r").agg(F.sum("n").alias("held")).filter(F.col("held") > WIDE).select(F.col("r").alias("wide"), "held"), "join-wide")
     n_wide = wide.count()
     dealt = left_join_unique(signed, wide, F.col("r"), "wide", n_wide) if n_wide else signed.withColumn("held", F.lit(None).cast("long"))
-    around = dealt.filter("held is null").groupBy("r").applyInArrow(gather, "centre long, member long")
+    around = dealt.filter("held is null").groupBy("r").applyInArrow(released_groups(gather), "centre long, member long")
     if n_wide:
         # the sets under a very common signature are never in one task: its smallest set is a partial minimum, which
         # they meet by a join whose hot keys Spark splits
-        common_ = dealt.filter("held is not null").mapInArrow(spread, "key long, node long")
+        common_ = dealt.filter("held is not null").mapInArrow(released(spread), "key long, node long")
         least = common_.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre <> last").drop("last")
         around = around.unionByName(common_.join(least, "key").filter("node <> centre").select("centre", F.col("node").alias("member")))
     around = stage(around, "join-around")
@@ -338,7 +339,7 @@ def join(docs: DataFrame) -> DataFrame:
 
         texts = rows.filter(F.col("doc_id").isNotNull())
         if n <= FILTER_IDS:
-            for r in reps.coalesce(2).mapInArrow(fill, "bits binary").toLocalIterator():
+            for r in reps.coalesce(2).mapInArrow(released(fill), "bits binary").toLocalIterator():
                 bloom |= np.frombuffer(r.bits, np.uint8)
         else:
             bloom[:] = 255
@@ -362,7 +363,7 @@ def join(docs: DataFrame) -> DataFrame:
                     raw = pa.array([values[k].tobytes() for k in fresh], pa.binary())
                     yield pa.record_batch([*(pa.array([keys[k][c] for k in fresh], pa.int64()) for c in range(3)), raw], ["rep", "d1", "d2", made])
 
-        return texts.mapInArrow(fetch, f"rep long, d1 long, d2 long, {made} binary")
+        return texts.mapInArrow(released(fetch), f"rep long, d1 long, d2 long, {made} binary")
 
     # groups beyond a chunk meet chunk by chunk, so that no task holds a whole one
     place = stage(members.join(wanted.select("rep", F.col("d1").alias("member"), "d2", "n"), "member"), "join-members")
@@ -386,7 +387,7 @@ def join(docs: DataFrame) -> DataFrame:
 
     sketched = again(wanted.select("rep"), "sketch").join(place, ["rep", "d1", "d2"]).select("centre", "low", "high", "mine", "rep", "d1", "d2", "n", "sketch")
     kept = "centre long, low long, high long, mine long, rep long, d1 long, d2 long"
-    left_over = stage(sketched.groupBy("centre", "low", "high").applyInArrow(sift, kept), "join-sifted")
+    left_over = stage(sketched.groupBy("centre", "low", "high").applyInArrow(released_groups(sift), kept), "join-sifted")
     ready = again(left_over.select("rep").distinct(), "shingles").join(left_over, ["rep", "d1", "d2"]).select("centre", "low", "high", "mine", "rep", "shingles")
 
     def link(table: pa.Table) -> pa.Table:
@@ -399,7 +400,7 @@ def join(docs: DataFrame) -> DataFrame:
             a, b = stars(reps[left[i]], reps[right[j]])
         return pa.table({"a": a, "b": b})
 
-    links = ready.groupBy("centre", "low", "high").applyInArrow(link, "a long, b long")
+    links = ready.groupBy("centre", "low", "high").applyInArrow(released_groups(link), "a long, b long")
     named = stage(sized.join(classes.select("d1", "d2", "rep"), ["d1", "d2"], "left").select("doc_id", "n", "rep"), "join-named")
     # an id under several texts ties their classes together
     several = named.filter("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).filter("x < y").select("doc_id")

@@ -24,8 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import batches
-from orderflow.llm.common import documents, hash_sample, string_buffers, text_of
-from orderflow.session import stage
+from orderflow.llm.common import documents, give_back, hash_sample, released, stage, string_buffers, text_of
 
 LENGTHS = (4, 5, 6)  # bytes of the beginnings of words
 LONGEST = 16  # longer words have their beginnings, and every stretch of GRAM bytes, instead of the whole
@@ -238,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000, unlabelled
                 sketch = pa.array(_sketch(words, word, ends))
                 yield pa.record_batch([*(piece.column(c) for c in ("doc_id", "toxic", "style")), sketch, own], ["doc_id", "toxic", "style", "sketch", "stems"])
 
-    drawn = sample.mapInArrow(list_stems, "doc_id long, toxic int, style long, sketch long, stems array<long>")
+    drawn = sample.mapInArrow(released(list_stems), "doc_id long, toxic int, style long, sketch long, stems array<long>")
     # one of each group of copies, or a copied text would pass off all its words as evidence; a labelled one if there is one
     own = F.min_by(F.struct("toxic", "style", "stems"), F.struct(F.col("toxic") < 0, "doc_id")).alias("own")
     every = stage(drawn.groupBy("sketch").agg(own).select("sketch", "own.*"), "toxic-sample")
@@ -286,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = 10_000, unlabelled
                 yield pa.record_batch([pa.array(combined), pa.array(counts)], ["votes", "n"])
 
     # every document that may be learnt from votes; equal combinations are one row
-    combined = stage(cut.select("words", "style").mapInArrow(vote, "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")), "toxic-votes")
+    combined = stage(cut.select("words", "style").mapInArrow(released(vote), "votes long, n long").groupBy("votes").agg(F.sum("n").alias("n")), "toxic-votes")
 
     def shrink(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value[0]
@@ -330,8 +329,11 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("boolean")
     def calm(words: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for part in words:
-            yield pa.array(_logits(shared.value, part) < 0)
+        try:
+            for part in words:
+                yield pa.array(_logits(shared.value, part) < 0)
+        finally:
+            give_back()
 
     return docs.filter(calm(words_of(text_of(docs))))
 
@@ -347,7 +349,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             logit = _logits(shared.value, table.column("words"))
             yield pa.record_batch([table.column("doc_id"), pa.array(1 / (1 + np.exp(-np.clip(logit, -50, 50))))], ["doc_id", "score"])
 
-    scored = cut.mapInArrow(rate, "doc_id long, score double")
+    scored = cut.mapInArrow(released(rate), "doc_id long, score double")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

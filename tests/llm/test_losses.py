@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from orderflow.llm import kmeans_tree, packing, partenum, shingles, toxicity
+from orderflow.llm import common, kmeans_tree, packing, partenum, shingles, toxicity
 from orderflow.llm.common import string_buffers
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -174,3 +174,34 @@ def test_join_with_small_chunks_without_filters_and_by_rows(spark, monkeypatch,
     docs = [(i, " ".join([*base[:i], f"x{i}", *base[i:]])) for i in range(30)] + [(100 + i, " ".join(f"y{i}{k}" for k in range(20))) for i in range(30)] + [(200, " ".join(base))] * 3
     got = {r.doc_id: r.component_id for r in partenum.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert all(got[i] == 0 for i in [*range(30), 200]) and all(got[100 + i] == 100 + i for i in range(30))
+
+
+@pytest.mark.parametrize("operator", [packing, partenum, toxicity])
+def test_staged_texts_come_to_python_in_short_batches(spark, operator):
+    def sizes(tables):
+        for t in tables:
+            yield pa.record_batch([pa.array([t.num_rows])], ["n"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    rows = spark.range(2500).coalesce(1)
+    assert [r.n for r in operator.stage(rows.mapInArrow(sizes, "n long")).collect()] == [1000, 1000, 500]
+    assert spark.conf.get(setting) == before
+    spark.conf.set(setting, "400")
+    try:
+        assert max(r.n for r in operator.stage(rows.mapInArrow(sizes, "n long")).collect()) == 400
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_memory_is_given_back_at_the_end_of_a_task_and_after_large_groups(monkeypatch):
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    work = common.released(lambda batches: (b + 1 for b in batches))
+    assert list(work(iter([1, 2]))) == [2, 3] and len(given) == 1
+    next(half := work(iter([1, 2])))
+    half.close()  # a task whose reader wants no more
+    assert len(given) == 2
+    group = common.released_groups(lambda t: t.slice(0, 1))
+    assert group(pa.table({"x": np.arange(9)})).num_rows == 1 and len(given) == 2
+    assert group(pa.table({"x": np.arange(1 << 18)})).num_rows == 1 and len(given) == 3
