@@ -23,8 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import Bpe, batches, pretokens, word_ids
-from orderflow.llm.common import documents, list_offsets, offsets_of, ragged_take
-from orderflow.session import stage
+from orderflow.llm.common import documents, list_offsets, offsets_of, ragged_take, released, stage
 
 SPACE = "▁"  # how pieces write a space
 LANES = 4096  # stretches of the shorter list that gallop side by side
@@ -196,7 +195,7 @@ def encode_both(docs: DataFrame, v: Vocabularies) -> DataFrame:
                     out.append(pa.array([raw[size * x : size * y] if ok else b"" for x, y, ok in zip(ends[:-1], ends[1:], same, strict=True)], pa.binary()))
                 yield pa.record_batch([piece.column("doc_id"), *out], ["doc_id", "a", "b"])
 
-    return cut.mapInArrow(encode, "doc_id long, a binary, b binary")
+    return cut.mapInArrow(released(encode), "doc_id long, a binary, b binary")
 
 
 def _aligned(table: pa.RecordBatch, v: Vocabularies) -> Iterator[tuple]:
@@ -233,7 +232,7 @@ def link_counts(coded: DataFrame, v: Vocabularies) -> np.ndarray:
         yield pa.record_batch([pa.array(met), pa.array(n[met])], ["pair", "n"])
 
     out = np.zeros(len(v.links), np.int64)
-    counted = stage(coded.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "link-counts")
+    counted = stage(coded.mapInArrow(released(count), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "link-counts")
     for r in counted.collect():  # at most a row per linkable pair
         out[r.pair] = r.n
     return out
@@ -286,7 +285,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 groups = pa.array([raw[x : y - 1].decode() if y > x else "" for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.string())
                 yield pa.record_batch([piece.column("doc_id"), *map(pa.array, numbers), groups], ["doc_id", *_NUMBERS, "groups"])
 
-    return coded.mapInArrow(lay, f"doc_id long, {', '.join(f'{c} long' for c in _NUMBERS)}, groups string")
+    return coded.mapInArrow(released(lay), f"doc_id long, {', '.join(f'{c} long' for c in _NUMBERS)}, groups string")
 
 
 _NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from orderflow.llm import alignment, pfor, queries, spelling
+from orderflow.llm import alignment, common, pfor, queries, spelling
 
 BYTES, PIECES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"))
 ODD = [
@@ -85,6 +85,27 @@ def test_alignment_is_that_of_the_libraries(spark, monkeypatch, size):
     assert alignment.align(docs.limit(0), BYTES, PIECES).count() == 0
 
 
+def test_alignment_takes_texts_in_short_batches_and_gives_memory_back(spark, monkeypatch, tmp_path):
+    sizes, given = tmp_path / "sizes", tmp_path / "given"
+
+    def noted(table, *more, pieces=alignment.batches):
+        with open(sizes, "a") as file:
+            print(table.num_rows, file=file)
+        return pieces(table, *more)
+
+    def give_back():
+        with open(given, "a") as file:
+            print(1, file=file)
+
+    monkeypatch.setattr(alignment, "batches", noted)
+    monkeypatch.setattr(common, "give_back", give_back)
+    docs = spark.range(2500).coalesce(1).selectExpr("id as doc_id", "'a b' as text")
+    rows = alignment.align(docs, BYTES, PIECES).collect()
+    assert sorted(r.doc_id for r in rows) == [*range(2500)] and {r.count_sum for r in rows} == {5000}
+    assert sizes.read_text().split() == ["1000", "1000", "500"]
+    assert len(given.read_text().split()) >= 3  # a task each that encodes, counts and lays out
+
+
 def test_linkable_pairs_share_their_ends():
     a, b = [b"x", b"ab", b"", b"b"], [b"b", b"cab", b"b", b"x"]
     assert alignment.linkable(a, b).tolist() == [3, 4, 5, 6, 12, 13, 14]
